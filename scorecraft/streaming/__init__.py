@@ -1,0 +1,8 @@
+"""Streaming.
+
+The reference has no stream sources, watermarks, event-time windows or state,
+so nothing is built here. Every operator in ``scorecraft.operators`` is a plain
+DataFrame function and therefore also accepts a streaming DataFrame wherever
+Spark allows the same operations on one (projections, filters, and keyed
+aggregations with a watermark).
+"""
