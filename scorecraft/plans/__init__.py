@@ -5,4 +5,4 @@ from .registry import ORACLES, QUERIES, register  # noqa: F401
 
 def load_all() -> None:
     """Import every query module so that it registers its keys."""
-    from . import q_evaluation  # noqa: F401
+    from . import q_basic, q_evaluation  # noqa: F401

@@ -6,7 +6,7 @@ from ..operators import evaluation as ev
 from .registry import register
 from .views import SCORE_ORDER_SQL, SCORE_VIEW_SQL, score_order, score_view, with_views
 
-_DECILES_SQL = f"""
+DECILES_SQL = f"""
 d AS (SELECT label, score, prediction,
              ntile(10) OVER (ORDER BY {SCORE_ORDER_SQL}) AS deciles FROM score_view),
 g AS (SELECT deciles, count(*) AS total, CAST(sum(label) AS BIGINT) AS label,
@@ -30,11 +30,11 @@ def _decile_table(spark, sf_dir):
     return ev.decile_table(score_view(spark, sf_dir), "label", score_order())
 
 
-register("decile_table", with_views(_DECILES_SQL + "SELECT * FROM t",
+register("decile_table", with_views(DECILES_SQL + "SELECT * FROM t",
                                     score_view=SCORE_VIEW_SQL))(_decile_table)
 
 
-@register("ks_statistic", with_views(_DECILES_SQL +
+@register("ks_statistic", with_views(DECILES_SQL +
                                      "SELECT round(max(spread), 2) AS ks FROM t",
                                      score_view=SCORE_VIEW_SQL))
 def _ks(spark, sf_dir):
