@@ -178,3 +178,96 @@ def precision_recall_f1(df: DataFrame, label: str = "label",
     rec = F.try_divide(F.col("tp").cast("double"), F.col("tp") + F.col("fn"))
     return agg.select(F.round(prec, 6).alias("precision"), F.round(rec, 6).alias("recall"),
                       F.round(F.try_divide(2 * prec * rec, prec + rec), 6).alias("f1"))
+
+
+# ------------------------------------------------- metrics per (model, dataset)
+def auc_by_group(df: DataFrame, group: Sequence[str], score: str = "score",
+                 label: str = "label", digits: int = 6) -> DataFrame:
+    """AUC per group by the rank-sum statistic with mid-ranks for ties:
+    (sum of positive mid-ranks - P(P+1)/2) / (P * N). Rows are first reduced
+    to distinct (group, score) counts; ranks are running counts along score."""
+    from .ordering import grouped_running_sum
+
+    sc = df.groupBy(*group, F.col(score).alias("_score")).agg(
+        F.sum(F.col(label)).cast("long").alias("_pos"),
+        F.count(F.lit(1)).alias("_cnt"))
+    run = grouped_running_sum(sc, group, [F.col("_score").asc()], ["_cnt"], prefix="cum")
+    midrank = F.col("cum_cnt") - F.col("_cnt") + (F.col("_cnt") + 1) / 2.0
+    agg = run.groupBy(*group).agg(F.sum(F.col("_pos") * midrank).alias("_rsum"),
+                                  F.sum("_pos").alias("_P"), F.sum("_cnt").alias("_n"))
+    p, n = F.col("_P").cast("double"), (F.col("_n") - F.col("_P")).cast("double")
+    auc = F.try_divide(F.col("_rsum") - p * (p + 1) / 2.0, p * n)
+    return agg.select(*group, F.round(auc, digits).alias("auc"))
+
+
+def ks_by_group(df: DataFrame, group: Sequence[str], order: Sequence[Column | str],
+                label: str = "label", k: int = 10) -> DataFrame:
+    """KS (max |cumulative target % - cumulative non-target %| over k tiles)
+    per group, 2 dp. Tiles come from a skew-safe grouped ntile; the cumulative
+    part runs on k rows per group."""
+    from .ordering import grouped_ntile
+
+    tiled = grouped_ntile(df, group, order, k, out="_tile")
+    g = tiled.groupBy(*group, "_tile").agg(F.sum(F.col(label)).alias("_t"),
+                                           F.sum(1 - F.col(label)).alias("_nt"))
+    run = Window.partitionBy(*group).orderBy("_tile").rowsBetween(Window.unboundedPreceding, 0)
+    tot = Window.partitionBy(*group)
+    spread = F.abs(_pct(F.sum("_t").over(run), F.sum("_t").over(tot))
+                   - _pct(F.sum("_nt").over(run), F.sum("_nt").over(tot)))
+    return g.select(*group, spread.alias("_spread")).groupBy(*group).agg(
+        F.round(F.max("_spread"), 2).alias("ks"))
+
+
+def accuracy_by_group(df: DataFrame, group: Sequence[str], label: str = "label",
+                      prediction: str = "prediction", digits: int = 6) -> DataFrame:
+    hit = F.when(F.col(prediction).cast("double") == F.col(label).cast("double"), 1).otherwise(0)
+    return df.groupBy(*group).agg(F.round(F.avg(hit), digits).alias("accuracy"))
+
+
+def metrics_long(df: DataFrame, group: Sequence[str], order: Sequence[Column | str],
+                 score: str = "score", label: str = "label",
+                 prediction: str = "prediction") -> DataFrame:
+    """``group…, metric, value`` with metric in {roc, accuracy, ks}."""
+    auc = auc_by_group(df, group, score, label)
+    acc = accuracy_by_group(df, group, label, prediction)
+    ks = ks_by_group(df, group, order, label)
+    wide = auc.join(acc, list(group)).join(ks, list(group))
+    rows = F.explode(F.array(
+        F.struct(F.lit("roc").alias("metric"), F.col("auc").alias("value")),
+        F.struct(F.lit("accuracy").alias("metric"), F.col("accuracy").alias("value")),
+        F.struct(F.lit("ks").alias("metric"), F.col("ks").cast("double").alias("value"))))
+    return wide.select(*group, rows.alias("r")).select(*group, "r.metric", "r.value")
+
+
+DATASETS = ["train", "valid", "test", "oot1", "oot2"]
+METRICS = ["roc", "accuracy", "ks"]
+
+
+def metrics_pivot(long: DataFrame, model: str = "model", dataset: str = "dataset") -> DataFrame:
+    """One row per model, columns ``<metric>_<dataset>`` (15 for the reference's
+    3 metrics x 5 datasets). Pivot values are listed, so no distinct pass."""
+    names = [f"{m}_{d}" for d in DATASETS for m in METRICS]
+    key = F.concat_ws("_", F.col("metric"), F.col(dataset))
+    return long.withColumn("_key", key).groupBy(model).pivot("_key", names).agg(
+        F.first("value"))
+
+
+def select_champion(metrics: DataFrame, criterion: str = "roc", dataset: str = "test",
+                    model: str = "model", checker: float = 0.03) -> DataFrame:
+    """Champion/challenger: ``counter`` = number of the five datasets whose
+    ``criterion`` differs from the chosen dataset's by more than ``checker``
+    (x100 for KS); order by counter asc, chosen metric desc; label the first two.
+    A missing value counts 0 (NaN comparisons are false in the reference)."""
+    crit = criterion.lower()
+    chk = checker * 100 if crit == "ks" else checker
+    chosen = F.col(f"{crit}_{dataset.lower()}")
+    counter = None
+    for ds in DATASETS:
+        term = F.coalesce((F.abs(chosen - F.col(f"{crit}_{ds}")) > chk).cast("int"), F.lit(0))
+        counter = term if counter is None else counter + term
+    t = metrics.withColumn("counter", counter)
+    # one row per model: a bounded table, so an unpartitioned window is fine
+    w = Window.orderBy(F.col("counter").asc(), chosen.desc_nulls_last(), F.col(model).asc())
+    rn = F.row_number().over(w)
+    return t.withColumn("selected_model", F.when(rn == 1, "Champion").when(rn == 2, "Challenger")
+                        .otherwise(""))

@@ -38,28 +38,28 @@ def _numbered(df: DataFrame, order: Sequence[Column | str], num_partitions: int
     tagged = (
         df.repartitionByRange(n, *cols)
         .sortWithinPartitions(*cols)
-        .withColumn("_mid", F.monotonically_increasing_id())
-        .withColumn("_pid", F.shiftright(F.col("_mid"), _PID_SHIFT))
-        .withColumn("_pos", F.col("_mid") - F.shiftleft(F.col("_pid"), _PID_SHIFT))
-        .drop("_mid")
+        .withColumn("_sc_mid", F.monotonically_increasing_id())
+        .withColumn("_sc_pid", F.shiftright(F.col("_sc_mid"), _PID_SHIFT))
+        .withColumn("_sc_pos", F.col("_sc_mid") - F.shiftleft(F.col("_sc_pid"), _PID_SHIFT))
+        .drop("_sc_mid")
     ).checkpoint(eager=True)
     return tagged, n
 
 
 def _partition_offsets(tagged: DataFrame, sums: Sequence[str] = ()) -> DataFrame:
     """One row per partition: rows (and value sums) in all earlier partitions."""
-    aggs = [F.count(F.lit(1)).alias("_cnt")] + [F.sum(c).alias(f"_tot_{c}") for c in sums]
-    per_part = tagged.groupBy("_pid").agg(*aggs)
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    aggs = [F.count(F.lit(1)).alias("_sc_cnt")] + [F.sum(c).alias(f"_sc_tot_{c}") for c in sums]
+    per_part = tagged.groupBy("_sc_pid").agg(*aggs)
+    before = Window.orderBy("_sc_pid").rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.partitionBy(F.lit(1))
     cols = [
-        F.col("_pid"),
-        F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"),
-        F.sum("_cnt").over(everything).alias("_n"),
+        F.col("_sc_pid"),
+        F.coalesce(F.sum("_sc_cnt").over(before), F.lit(0)).alias("_sc_off"),
+        F.sum("_sc_cnt").over(everything).alias("_sc_n"),
     ]
     for c in sums:
-        cols.append(F.coalesce(F.sum(f"_tot_{c}").over(before), F.lit(0)).alias(f"_off_{c}"))
-        cols.append(F.sum(f"_tot_{c}").over(everything).alias(f"_all_{c}"))
+        cols.append(F.coalesce(F.sum(f"_sc_tot_{c}").over(before), F.lit(0)).alias(f"_sc_off_{c}"))
+        cols.append(F.sum(f"_sc_tot_{c}").over(everything).alias(f"_sc_all_{c}"))
     return per_part.select(*cols)
 
 
@@ -72,11 +72,11 @@ def global_row_number(df: DataFrame, order: Sequence[Column | str], out: str = "
     """
     tagged, _ = _numbered(df, order, num_partitions)
     offsets = _partition_offsets(tagged)
-    res = tagged.join(F.broadcast(offsets), "_pid").withColumn(
-        out, (F.col("_off") + F.col("_pos") + 1).cast("long"))
+    res = tagged.join(F.broadcast(offsets), "_sc_pid").withColumn(
+        out, (F.col("_sc_off") + F.col("_sc_pos") + 1).cast("long"))
     if total:
-        res = res.withColumn(total, F.col("_n").cast("long"))
-    return res.drop("_pid", "_pos", "_off", "_n")
+        res = res.withColumn(total, F.col("_sc_n").cast("long"))
+    return res.drop("_sc_pid", "_sc_pos", "_sc_off", "_sc_n")
 
 
 def ntile_from_rank(rn: Column, n_rows: Column, k: int) -> Column:
@@ -113,14 +113,14 @@ def global_running_sum(df: DataFrame, order: Sequence[Column | str], values: Seq
     """
     tagged, _ = _numbered(df, order, num_partitions)
     offsets = _partition_offsets(tagged, values)
-    within = Window.partitionBy("_pid").orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
-    res = tagged.select("*", *[F.sum(v).over(within).alias(f"_in_{v}") for v in values])
-    res = res.join(F.broadcast(offsets), "_pid")
+    within = Window.partitionBy("_sc_pid").orderBy("_sc_pos").rowsBetween(Window.unboundedPreceding, 0)
+    res = tagged.select("*", *[F.sum(v).over(within).alias(f"_sc_in_{v}") for v in values])
+    res = res.join(F.broadcast(offsets), "_sc_pid")
     for v in values:
-        res = res.withColumn(f"{prefix}{v}", F.col(f"_off_{v}") + F.col(f"_in_{v}"))
+        res = res.withColumn(f"{prefix}{v}", F.col(f"_sc_off_{v}") + F.col(f"_sc_in_{v}"))
         if totals:
-            res = res.withColumn(f"total_{v}", F.col(f"_all_{v}"))
-    drop = ["_pid", "_pos", "_off", "_n"] + [f"_{p}_{v}" for v in values for p in ("in", "off", "all")]
+            res = res.withColumn(f"total_{v}", F.col(f"_sc_all_{v}"))
+    drop = ["_sc_pid", "_sc_pos", "_sc_off", "_sc_n"] + [f"_sc_{p}_{v}" for v in values for p in ("in", "off", "all")]
     return res.drop(*drop)
 
 
@@ -143,3 +143,44 @@ def flag_max(df: DataFrame, value: str, group: Sequence[str] = (), out: str = "i
                                              F.lit(0)))
     mx = df.agg(F.max(value)).scalar()
     return df.withColumn(out, F.coalesce((F.col(value) == mx).cast("int"), F.lit(0)))
+
+
+def grouped_row_number(df: DataFrame, group: Sequence[str], order: Sequence[Column | str],
+                       out: str = "row_number", size: str | None = None,
+                       num_partitions: int | None = None) -> DataFrame:
+    """``row_number().over(partitionBy(group).orderBy(order))`` without putting
+    a group into one task: one global numbering on (group, order), minus the
+    group's first number (from a grouped aggregate, one row per group)."""
+    g = [F.col(c) for c in group]
+    numbered = global_row_number(df, g + _sort_cols(order), out="_grn",
+                                 num_partitions=num_partitions)
+    firsts = numbered.groupBy(*group).agg(F.min("_grn").alias("_gfirst"),
+                                          F.count(F.lit(1)).alias("_gsize"))
+    res = numbered.join(firsts, list(group)).withColumn(
+        out, F.col("_grn") - F.col("_gfirst") + 1)
+    if size:
+        res = res.withColumn(size, F.col("_gsize"))
+    return res.drop("_grn", "_gfirst", "_gsize")
+
+
+def grouped_ntile(df: DataFrame, group: Sequence[str], order: Sequence[Column | str], k: int,
+                  out: str = "ntile", num_partitions: int | None = None) -> DataFrame:
+    """``ntile(k)`` within each group, skew-safe (see ``grouped_row_number``)."""
+    res = grouped_row_number(df, group, order, out="_rn_g", size="_n_g",
+                             num_partitions=num_partitions)
+    return res.withColumn(out, ntile_from_rank(F.col("_rn_g"), F.col("_n_g"), k)).drop(
+        "_rn_g", "_n_g")
+
+
+def grouped_running_sum(df: DataFrame, group: Sequence[str], order: Sequence[Column | str],
+                        values: Sequence[str], prefix: str = "cum_") -> DataFrame:
+    """Running sums of non-negative ``values`` within each group along ``order``
+    (the group start is the smallest running sum minus the row value)."""
+    g = [F.col(c) for c in group]
+    res = global_running_sum(df, g + _sort_cols(order), values, prefix=prefix)
+    starts = res.groupBy(*group).agg(*[F.min(F.col(f"{prefix}{v}") - F.col(v)).alias(f"_s_{v}")
+                                       for v in values])
+    res = res.join(starts, list(group))
+    for v in values:
+        res = res.withColumn(f"{prefix}{v}", F.col(f"{prefix}{v}") - F.col(f"_s_{v}"))
+    return res.drop(*[f"_s_{v}" for v in values])

@@ -172,3 +172,48 @@ def with_views(sql: str, **views: str) -> str:
     if body[:6].upper() in ("SELECT", "(SELEC") or body[:4].upper() == "FROM":
         return f"WITH {ctes}\n{body}"
     return f"WITH {ctes},\n{body}"
+
+
+# ------------------------------------------------------ model × dataset scores
+# Five fixed-score "models" over lineitem, each row assigned to one of the five
+# datasets by key arithmetic. Feeds the metrics table and model selection.
+MODEL_SCORES = {
+    "quantity": "(l_quantity - 25.5) / 10.0",
+    "discount": "(l_discount - 0.05) * 20.0",
+    "tax": "(l_tax - 0.04) * 50.0",
+    "blend": "(l_quantity - 25.5) / 10.0 + (l_tax - 0.04) * 7.0",
+    "price": "(l_extendedprice - 36000.0) / 20000.0",
+}
+DATASET_CUTS = [(40, "train"), (60, "valid"), (80, "test"), (90, "oot1")]
+
+
+def _dataset_expr_sql() -> str:
+    cases = " ".join(f"WHEN (l_orderkey * 7919) % 100 < {c} THEN '{n}'" for c, n in DATASET_CUTS)
+    return f"CASE {cases} ELSE 'oot2' END"
+
+
+def model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem")
+    bucket = F.pmod(F.col("l_orderkey") * F.lit(7919), F.lit(100))
+    ds = None
+    for cut, name in DATASET_CUTS:
+        ds = F.when(bucket < cut, name) if ds is None else ds.when(bucket < cut, name)
+    ds = ds.otherwise("oot2")
+    models = F.array(*[F.struct(F.lit(m).alias("model"),
+                                (1.0 / (1.0 + F.exp(-F.expr(z)))).alias("score"))
+                       for m, z in MODEL_SCORES.items()])
+    base = li.select(*SCORE_TIE_KEYS, ds.alias("dataset"),
+                     ((F.col("l_quantity") > 25) != ((F.col("l_orderkey") % 5) == 0))
+                     .cast("int").alias("label"),
+                     F.explode(models).alias("m"))
+    return base.select("m.model", "dataset", *SCORE_TIE_KEYS, "label", "m.score",
+                       (F.col("m.score") >= 0.5).cast("int").alias("prediction"))
+
+
+MODEL_SCORES_SQL = "\nUNION ALL\n".join(
+    f"""SELECT '{m}' AS model, {_dataset_expr_sql()} AS dataset,
+       l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice,
+       CAST(((l_quantity > 25) <> (l_orderkey % 5 = 0)) AS INTEGER) AS label,
+       1.0 / (1.0 + exp(-({z}))) AS score,
+       CAST(1.0 / (1.0 + exp(-({z}))) >= 0.5 AS INTEGER) AS prediction
+FROM lineitem""" for m, z in MODEL_SCORES.items())
