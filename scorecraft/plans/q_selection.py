@@ -177,7 +177,7 @@ def _vote_scores_sql() -> str:
     smd = "\nUNION ALL\n".join(
         f"SELECT 'mean_gap' AS method, '{c}' AS feature, "
         f"abs(avg({c}) FILTER (WHERE label = 1) - avg({c}) FILTER (WHERE label = 0)) "
-        f"/ stddev_samp({c}) AS score FROM bank_view" for c in CORR_COLS)
+        f"/ stddev_samp({c}) AS score FROM cv" for c in CORR_COLS)
     rng = "\nUNION ALL\n".join(
         f"SELECT 'iqr_gap' AS method, '{c}' AS feature, "
         f"abs(quantile_disc({c}, 0.5) FILTER (WHERE label = 1) - "
