@@ -20,6 +20,22 @@ def _pct(num: Column, den: Column) -> Column:
     return F.try_divide(num * F.lit(100.0), den.cast("double"))
 
 
+def order_columns(order: Sequence[Column | str], available: Sequence[str]) -> list[str] | None:
+    """Names of the plain columns a sort spec refers to, or None when an entry
+    is an expression (then nothing is narrowed). Used to shuffle and
+    checkpoint only those columns before a global ordering."""
+    names: list[str] = []
+    for o in order:
+        text = o if isinstance(o, str) else str(o)
+        if not isinstance(o, str):
+            text = text.removeprefix("Column<'").removesuffix("'>").split(" ")[0].strip("`")
+        if text not in available:
+            return None
+        if text not in names:
+            names.append(text)
+    return names
+
+
 def assign_deciles(df: DataFrame, order: Sequence[Column | str], k: int = 10,
                    out: str = "deciles") -> DataFrame:
     """Tile 1..k over a total order (best score first): ``ntile(k)`` at scale."""
@@ -33,7 +49,12 @@ def decile_table(df: DataFrame, label: str, order: Sequence[Column | str], k: in
 
     ``spread`` is |target_dist - non_target_dist| by default, signed on request.
     """
-    tiled = df if decile_col in df.columns else assign_deciles(df, order, k, decile_col)
+    if decile_col in df.columns:
+        tiled = df
+    else:
+        cols = order_columns(order, df.columns)
+        narrow = df.select(*dict.fromkeys(cols + [label])) if cols else df
+        tiled = assign_deciles(narrow, order, k, decile_col)
     g = tiled.groupBy(decile_col).agg(
         F.count(F.lit(1)).alias("total"),
         F.sum(F.col(label)).cast("long").alias(label),
@@ -207,7 +228,9 @@ def ks_by_group(df: DataFrame, group: Sequence[str], order: Sequence[Column | st
     part runs on k rows per group."""
     from .ordering import grouped_ntile
 
-    tiled = grouped_ntile(df, group, order, k, out="_tile")
+    cols = order_columns(order, df.columns)
+    narrow = df.select(*dict.fromkeys(list(group) + cols + [label])) if cols else df
+    tiled = grouped_ntile(narrow, group, order, k, out="_tile")
     g = tiled.groupBy(*group, "_tile").agg(F.sum(F.col(label)).alias("_t"),
                                            F.sum(1 - F.col(label)).alias("_nt"))
     run = Window.partitionBy(*group).orderBy("_tile").rowsBetween(Window.unboundedPreceding, 0)

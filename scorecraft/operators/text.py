@@ -32,8 +32,11 @@ def tokenize(df: DataFrame, text: str = "text", out: str = "tokens",
     """Drop NULL texts; trim, lower, split on single spaces; keep purely
     alphabetic (Unicode letters) tokens of >= min_length characters; remove
     stop words (duplicates kept). Whole texts are processed."""
-    toks = F.split(F.lower(F.trim(F.col(text))), " ")
-    kept = F.filter(toks, lambda t: t.rlike(r"^\p{L}+$") & (F.length(t) >= min_length))
+    # A space-delimited token that is all letters and at least min_length long
+    # is a letter run with a space (or the text edge) on both sides: one
+    # regex pass per text instead of splitting and testing every token.
+    token = rf"(?<![^ ])\p{{L}}{{{min_length},}}(?![^ ])"
+    kept = F.regexp_extract_all(F.lower(F.trim(F.col(text))), F.lit(token), 0)
     res = df.filter(F.col(text).isNotNull()).withColumn("_raw_tokens", kept)
     res = StopWordsRemover(inputCol="_raw_tokens", outputCol=out, stopWords=STOP_WORDS,
                            caseSensitive=False).transform(res)
@@ -79,16 +82,19 @@ def idf_table(cv_model, idf_model, spark, digits: int = 6) -> DataFrame:
     return spark.createDataFrame(rows, "term string, idf double")
 
 
-def tfidf_terms(tfidf_df: DataFrame, cv_model, doc: str = "doc_id", digits: int = 6):
-    """Long ``doc, term, tfidf`` table from the sparse vectors (explode of the
-    non-zero entries; the vocabulary is bounded by vocab_size and broadcast)."""
-    from pyspark.ml.functions import vector_to_array
-
-    spark = tfidf_df.sparkSession
-    vocab = spark.createDataFrame(list(enumerate(cv_model.vocabulary)), "idx int, term string")
-    arr = tfidf_df.select(doc, F.posexplode(vector_to_array("tfidf")).alias("idx", "w"))
-    return (arr.filter(F.col("w") != 0).join(F.broadcast(vocab), "idx")
-            .select(doc, "term", F.round("w", digits).alias("tfidf")))
+def tfidf_terms(tokens: DataFrame, cv_model, idf_model, doc: str = "doc_id",
+                col: str = "tokens", digits: int = 6) -> DataFrame:
+    """Long ``doc, term, tfidf`` table: per-document term counts (explode +
+    grouped count) times the term's IDF. The vocabulary with its IDF has at
+    most vocab_size rows and is broadcast; no dense vectors are expanded."""
+    spark = tokens.sparkSession
+    weights = spark.createDataFrame(
+        [(t, float(v)) for t, v in zip(cv_model.vocabulary, idf_model.idf.toArray())],
+        "term string, idf double")
+    per_doc = tokens.select(doc, F.explode(col).alias("term")).groupBy(doc, "term").agg(
+        F.count(F.lit(1)).alias("n"))
+    return per_doc.join(F.broadcast(weights), "term").select(
+        doc, "term", F.round(F.col("n") * F.col("idf"), digits).alias("tfidf"))
 
 
 def lda_fit(tfidf_df: DataFrame, k: int = 10, max_iter: int = 100, seed: int = 12345):

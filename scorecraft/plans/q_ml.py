@@ -541,8 +541,9 @@ def idf_table(spark, d):
 SELECT pd.doc_id, pd.term, round(pd.n * ln((m + 1.0) / (vocab.df + 1.0)), 6) AS tfidf
 FROM pd JOIN vocab ON pd.term = vocab.term, m""")
 def tfidf_terms(spark, d):
-    w, cv, _ = tx.tfidf(tx.tokenize(_docs(spark, d)))
-    return tx.tfidf_terms(w, cv)
+    toks = tx.tokenize(_docs(spark, d))
+    _, cv, idf = tx.tfidf(toks)
+    return tx.tfidf_terms(toks, cv, idf)
 
 
 def _lda(spark, d):
