@@ -8,7 +8,6 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import columns as C
 from ..operators import clustering as cl
 from ..operators import evaluation as ev
 from ..operators import features as fe
@@ -281,10 +280,14 @@ def leave_one_group_out(spark, d):
     df, _ = _indexed(spark, d)
     frame = md.stable(md.assembled(df, MODEL_FEATURES, "label", keep=BANK_KEYS + ["c_mktsegment"]),
                       BANK_KEYS).persist()
-    groups = [r[0] for r in frame.select("c_mktsegment").distinct().orderBy("c_mktsegment")
-              .collect()]  # a handful of segments
-    return md.leave_one_group_out(frame, "c_mktsegment", groups,
-                                  lambda t: md.logistic(t, "binomial", max_iter=10))
+    try:
+        groups = [r[0] for r in frame.select("c_mktsegment").distinct().orderBy("c_mktsegment")
+                  .collect()]  # a handful of segments
+        out = md.leave_one_group_out(frame, "c_mktsegment", groups,
+                                     lambda t: md.logistic(t, "binomial", max_iter=10))
+    finally:
+        frame.unpersist()
+    return out
 
 
 @register("chi_square_select")
@@ -548,7 +551,8 @@ def tfidf_terms(spark, d):
 
 def _lda(spark, d):
     w, cv, _ = tx.tfidf(tx.tokenize(_docs(spark, d)))
-    w = md.stable(w, ["doc_id"]).persist()
+    # iterations re-read the input: materialise it once (reliable checkpoint)
+    w = md.stable(w, ["doc_id"]).checkpoint()
     return w, cv, tx.lda_fit(w, k=10, max_iter=100)
 
 
