@@ -101,26 +101,59 @@ def global_ntile(df: DataFrame, order: Sequence[Column | str], k: int, out: str
     return res
 
 
+def _running_sums_in_partition(tagged: DataFrame, values: Sequence[str]) -> DataFrame:
+    """Append ``_sc_in_<v>``: running sums of ``values`` along ``_sc_pos`` inside
+    each numbered partition, computed where the partition already is (Arrow
+    batches, numpy cumsum with a carry between batches), so no shuffle on the
+    partition id is needed. Sums are of the value's own type widened to
+    long/double; NULL counts as 0."""
+    from pyspark.sql import types as T
+
+    fields = list(tagged.schema.fields)
+    out_types = {}
+    for v in values:
+        dt = tagged.schema[v].dataType
+        integral = isinstance(dt, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
+        out_types[v] = T.LongType() if integral else T.DoubleType()
+        fields.append(T.StructField(f"_sc_in_{v}", out_types[v], True))
+    schema = T.StructType(fields)
+    kinds = {v: "int64" if isinstance(t, T.LongType) else "float64" for v, t in out_types.items()}
+
+    def run(batches):
+        carry = {v: 0 for v in values}
+        for pdf in batches:
+            for v in values:
+                col = pdf[v].fillna(0).astype(kinds[v])
+                cum = col.cumsum() + carry[v]
+                if len(cum):
+                    carry[v] = cum.iloc[-1]
+                pdf[f"_sc_in_{v}"] = cum
+            yield pdf
+
+    ordered = tagged.sortWithinPartitions("_sc_pos")
+    return ordered.mapInPandas(run, schema)
+
+
 def global_running_sum(df: DataFrame, order: Sequence[Column | str], values: Sequence[str],
                        prefix: str = "cum_", totals: bool = False,
                        num_partitions: int | None = None) -> DataFrame:
     """Running sums of ``values`` over a total order, rows up to and including
     the current one, plus optional grand totals (``total_<v>``).
 
-    Within a range partition the running sum is a window over that partition
-    only (its rows are all present in the task after one shuffle on ``_pid``);
-    earlier partitions contribute a broadcast offset.
+    Inside a range partition the running sum is taken in place (see
+    ``_running_sums_in_partition``); earlier partitions contribute an offset
+    from the one-row-per-partition table, broadcast back.
     """
     tagged, _ = _numbered(df, order, num_partitions)
     offsets = _partition_offsets(tagged, values)
-    within = Window.partitionBy("_sc_pid").orderBy("_sc_pos").rowsBetween(Window.unboundedPreceding, 0)
-    res = tagged.select("*", *[F.sum(v).over(within).alias(f"_sc_in_{v}") for v in values])
+    res = _running_sums_in_partition(tagged, values)
     res = res.join(F.broadcast(offsets), "_sc_pid")
     for v in values:
         res = res.withColumn(f"{prefix}{v}", F.col(f"_sc_off_{v}") + F.col(f"_sc_in_{v}"))
         if totals:
             res = res.withColumn(f"total_{v}", F.col(f"_sc_all_{v}"))
-    drop = ["_sc_pid", "_sc_pos", "_sc_off", "_sc_n"] + [f"_sc_{p}_{v}" for v in values for p in ("in", "off", "all")]
+    drop = (["_sc_pid", "_sc_pos", "_sc_off", "_sc_n"]
+            + [f"_sc_{p}_{v}" for v in values for p in ("in", "off", "all")])
     return res.drop(*drop)
 
 
