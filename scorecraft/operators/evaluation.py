@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
 from .ordering import global_ntile, global_running_sum
 
 
@@ -204,57 +205,128 @@ def precision_recall_f1(df: DataFrame, label: str = "label",
 # ------------------------------------------------- metrics per (model, dataset)
 def auc_by_group(df: DataFrame, group: Sequence[str], score: str = "score",
                  label: str = "label", digits: int = 6) -> DataFrame:
-    """AUC per group by the rank-sum statistic with mid-ranks for ties:
-    (sum of positive mid-ranks - P(P+1)/2) / (P * N). Rows are first reduced
-    to distinct (group, score) counts; ranks are running counts along score."""
-    from .ordering import grouped_running_sum
+    """AUC per group by the rank-sum statistic with mid-ranks for ties, from
+    the distinct-score runs (see ``score_runs_by_group``)."""
+    return auc_accuracy_from_runs(score_runs_by_group(df, group, score, label), group, digits)
 
-    sc = df.groupBy(*group, F.col(score).alias("_score")).agg(
-        F.sum(F.col(label)).cast("long").alias("_pos"),
-        F.count(F.lit(1)).alias("_cnt"))
-    run = grouped_running_sum(sc, group, [F.col("_score").asc()], ["_cnt"], prefix="cum")
-    midrank = F.col("cum_cnt") - F.col("_cnt") + (F.col("_cnt") + 1) / 2.0
-    agg = run.groupBy(*group).agg(F.sum(F.col("_pos") * midrank).alias("_rsum"),
-                                  F.sum("_pos").alias("_P"), F.sum("_cnt").alias("_n"))
-    p, n = F.col("_P").cast("double"), (F.col("_n") - F.col("_P")).cast("double")
-    auc = F.try_divide(F.col("_rsum") - p * (p + 1) / 2.0, p * n)
-    return agg.select(*group, F.round(auc, digits).alias("auc"))
 
+def score_runs_by_group(df: DataFrame, group: Sequence[str], score: str = "score",
+                        label: str = "label", prediction: str | None = None) -> DataFrame:
+    """Distinct (group, score) runs, best score first: ``_s, _cnt, _pos`` (rows,
+    positives), ``_hit`` (rows with prediction == label, when given),
+    ``_before`` (rows of the group with a better score) and ``_n`` (group rows).
 
-def ks_by_group(df: DataFrame, group: Sequence[str], order: Sequence[Column | str],
-                label: str = "label", k: int = 10) -> DataFrame:
-    """KS (max |cumulative target % - cumulative non-target %| over k tiles)
-    per group, 2 dp. Tiles come from a skew-safe grouped ntile; the cumulative
-    part runs on k rows per group."""
-    from .ordering import grouped_ntile
-
-    cols = order_columns(order, df.columns)
-    narrow = df.select(*dict.fromkeys(list(group) + cols + [label])) if cols else df
-    tiled = grouped_ntile(narrow, group, order, k, out="_tile")
-    g = tiled.groupBy(*group, "_tile").agg(F.sum(F.col(label)).alias("_t"),
-                                           F.sum(1 - F.col(label)).alias("_nt"))
+    Rows are reduced by a map-side combined aggregation first; the running
+    count is a skew-safe grouped running sum on that (usually far smaller)
+    table, so one hot group or one hot score never lands in one task."""
+    from .ordering import grouped_running_sum
+
+    aggs = [F.count(F.lit(1)).alias("_cnt"), F.sum(F.col(label)).cast("long").alias("_pos")]
+    if prediction:
+        hit = F.when(F.col(prediction).cast("double") == F.col(label).cast("double"), 1)
+        aggs.append(F.sum(hit.otherwise(0)).cast("long").alias("_hit"))
+    runs = df.groupBy(*group, F.col(score).alias("_s")).agg(*aggs)
+    cum = grouped_running_sum(runs, group, [F.col("_s").desc()], ["_cnt"], prefix="_cum",
+                              totals=True)
+    # checkpointed: AUC, accuracy and the KS tiles all read this table
+    ensure_checkpoint_dir(df.sparkSession)
+    return cum.withColumn("_before", F.col("_cum_cnt") - F.col("_cnt")).withColumnRenamed(
+        "total__cnt", "_n").drop("_cum_cnt").checkpoint(eager=True)
+
+
+def auc_accuracy_from_runs(runs: DataFrame, group: Sequence[str], digits: int = 6) -> DataFrame:
+    """AUC by the rank-sum statistic with mid-ranks for ties, and accuracy when
+    the runs carry ``_hit``: (sum of positive mid-ranks - P(P+1)/2) / (P * N)."""
+    below = F.col("_n") - F.col("_before") - F.col("_cnt")
+    midrank = below + (F.col("_cnt") + 1) / 2.0
+    aggs = [F.sum(F.col("_pos") * midrank).alias("_rsum"), F.sum("_pos").alias("_P"),
+            F.max("_n").alias("_N")]
+    has_hit = "_hit" in runs.columns
+    if has_hit:
+        aggs.append(F.sum("_hit").alias("_H"))
+    agg = runs.groupBy(*group).agg(*aggs)
+    p, n = F.col("_P").cast("double"), (F.col("_N") - F.col("_P")).cast("double")
+    out = [*group, F.round(F.try_divide(F.col("_rsum") - p * (p + 1) / 2.0, p * n),
+                           digits).alias("auc")]
+    if has_hit:
+        out.append(F.round(F.try_divide(F.col("_H").cast("double"), F.col("_N")),
+                           digits).alias("accuracy"))
+    return agg.select(*out)
+
+
+def tile_counts_by_group(df: DataFrame, runs: DataFrame, group: Sequence[str], score: str,
+                         ties: Sequence[Column | str], label: str, k: int = 10) -> DataFrame:
+    """Rows and positives per (group, tile) for ``ntile(k)`` over (score desc,
+    ties) within each group: ``group…, _tile, _rows, _t``.
+
+    A score run lying inside one tile adds its counts to that tile directly.
+    Only runs straddling a tile boundary (at most k-1 per group) are resolved
+    row by row: their rows are joined back (the straddling table is small and
+    broadcast by AQE when its measured size allows) and numbered inside the run
+    by the tie keys with the skew-safe grouped row number."""
+    from .ordering import grouped_row_number, ntile_from_rank
+
+    first = ntile_from_rank(F.col("_before") + 1, F.col("_n"), k)
+    last = ntile_from_rank(F.col("_before") + F.col("_cnt"), F.col("_n"), k)
+    r = runs.select(*group, "_s", "_cnt", "_pos", "_before", "_n",
+                    first.alias("_t1"), last.alias("_t2"))
+    whole = r.filter(F.col("_t1") == F.col("_t2")).select(
+        *group, F.col("_t1").alias("_tile"), F.col("_cnt").alias("_rows"),
+        F.col("_pos").alias("_t"))
+    keys = list(group) + ["_s"]
+    strad = r.filter(F.col("_t1") != F.col("_t2")).select(
+        *[F.col(c).alias(f"_k{c}") for c in keys], "_before", "_n")
+    rows = df.withColumn("_s", F.col(score))
+    cond = [F.col(c).eqNullSafe(F.col(f"_k{c}")) for c in keys]
+    tie_cols = order_columns(ties, df.columns)
+    if tie_cols is not None:
+        rows = rows.select(*dict.fromkeys(list(group) + ["_s"] + tie_cols + [label]))
+    # checkpointed once, so the range sampling and the shuffle of the numbering
+    # read these rows instead of scanning and joining the input twice
+    j = rows.join(strad, cond).drop(*[f"_k{c}" for c in keys]).checkpoint(eager=True)
+    numbered = grouped_row_number(j, keys, ties, out="_rn", keep=[label, "_before", "_n"])
+    part = numbered.select(*group, ntile_from_rank(F.col("_before") + F.col("_rn"), F.col("_n"),
+                                                   k).alias("_tile"),
+                           F.lit(1).cast("long").alias("_rows"),
+                           F.col(label).cast("long").alias("_t"))
+    return whole.unionByName(part).groupBy(*group, "_tile").agg(
+        F.sum("_rows").alias("_rows"), F.sum("_t").alias("_t"))
+
+
+def ks_from_tiles(tiles: DataFrame, group: Sequence[str]) -> DataFrame:
+    """KS (max |cumulative target % - cumulative non-target %| over tiles) per
+    group, 2 dp, from a table of k rows per group."""
     run = Window.partitionBy(*group).orderBy("_tile").rowsBetween(Window.unboundedPreceding, 0)
     tot = Window.partitionBy(*group)
+    nt = F.col("_rows") - F.col("_t")
     spread = F.abs(_pct(F.sum("_t").over(run), F.sum("_t").over(tot))
-                   - _pct(F.sum("_nt").over(run), F.sum("_nt").over(tot)))
-    return g.select(*group, spread.alias("_spread")).groupBy(*group).agg(
+                   - _pct(F.sum(nt).over(run), F.sum(nt).over(tot)))
+    return tiles.select(*group, spread.alias("_spread")).groupBy(*group).agg(
         F.round(F.max("_spread"), 2).alias("ks"))
 
 
+def ks_by_group(df: DataFrame, group: Sequence[str], score: str, ties: Sequence[Column | str],
+                label: str = "label", k: int = 10) -> DataFrame:
+    """KS over k tiles of (score desc, ties) per group, 2 dp."""
+    runs = score_runs_by_group(df, group, score, label)
+    return ks_from_tiles(tile_counts_by_group(df, runs, group, score, ties, label, k), group)
+
+
 def accuracy_by_group(df: DataFrame, group: Sequence[str], label: str = "label",
                       prediction: str = "prediction", digits: int = 6) -> DataFrame:
     hit = F.when(F.col(prediction).cast("double") == F.col(label).cast("double"), 1).otherwise(0)
     return df.groupBy(*group).agg(F.round(F.avg(hit), digits).alias("accuracy"))
 
 
-def metrics_long(df: DataFrame, group: Sequence[str], order: Sequence[Column | str],
+def metrics_long(df: DataFrame, group: Sequence[str], ties: Sequence[Column | str],
                  score: str = "score", label: str = "label",
-                 prediction: str = "prediction") -> DataFrame:
-    """``group…, metric, value`` with metric in {roc, accuracy, ks}."""
-    auc = auc_by_group(df, group, score, label)
-    acc = accuracy_by_group(df, group, label, prediction)
-    ks = ks_by_group(df, group, order, label)
-    wide = auc.join(acc, list(group)).join(ks, list(group))
+                 prediction: str = "prediction", k: int = 10) -> DataFrame:
+    """``group…, metric, value`` with metric in {roc, accuracy, ks}; KS tiles
+    follow (score desc, ties). One aggregation to score runs feeds all three."""
+    runs = score_runs_by_group(df, group, score, label, prediction)
+    aa = auc_accuracy_from_runs(runs, group)
+    ks = ks_from_tiles(tile_counts_by_group(df, runs, group, score, ties, label, k), group)
+    wide = aa.join(ks, list(group))
     rows = F.explode(F.array(
         F.struct(F.lit("roc").alias("metric"), F.col("auc").alias("value")),
         F.struct(F.lit("accuracy").alias("metric"), F.col("accuracy").alias("value")),

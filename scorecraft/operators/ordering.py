@@ -30,7 +30,11 @@ def _sort_cols(order: Sequence[Column | str]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in order]
 
 
-def _numbered(df: DataFrame, order: Sequence[Column | str], num_partitions: int | None):
+def _numbered(df: DataFrame, order: Sequence[Column | str], num_partitions: int | None,
+              keep: Sequence[str] | None = None):
+    """Range-partition and sort on ``order``, tag partition id and position,
+    and checkpoint. ``keep`` (column names) narrows what is checkpointed: the
+    sort keys are usually not needed once positions are assigned."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     n = num_partitions or shuffle_partitions(spark)
@@ -42,8 +46,10 @@ def _numbered(df: DataFrame, order: Sequence[Column | str], num_partitions: int
         .withColumn("_sc_pid", F.shiftright(F.col("_sc_mid"), _PID_SHIFT))
         .withColumn("_sc_pos", F.col("_sc_mid") - F.shiftleft(F.col("_sc_pid"), _PID_SHIFT))
         .drop("_sc_mid")
-    ).checkpoint(eager=True)
-    return tagged, n
+    )
+    if keep is not None:
+        tagged = tagged.select(*dict.fromkeys(list(keep)), "_sc_pid", "_sc_pos")
+    return tagged.checkpoint(eager=True), n
 
 
 def _partition_offsets(tagged: DataFrame, sums: Sequence[str] = ()) -> DataFrame:
@@ -178,42 +184,139 @@ def flag_max(df: DataFrame, value: str, group: Sequence[str] = (), out: str = "i
     return df.withColumn(out, F.coalesce((F.col(value) == mx).cast("int"), F.lit(0)))
 
 
+def _group_offsets(tagged: DataFrame, group: Sequence[str], sums: Sequence[str] = (),
+                   totals: bool = False) -> DataFrame:
+    """One row per (partition, group) of a numbered table sorted on (group,
+    order): the group's first position in the partition, its rows (and value
+    sums) in earlier partitions, and its totals. A group spans a contiguous run
+    of partitions, so the table has at most partitions + groups rows and the
+    window below sees at most one row per partition for any group, however
+    large the group is."""
+    aggs = [F.count(F.lit(1)).alias("_sc_cnt"), F.min("_sc_pos").alias("_sc_first")]
+    aggs += [F.sum(c).alias(f"_sc_tot_{c}") for c in sums]
+    per = tagged.groupBy("_sc_pid", *group).agg(*aggs)
+    before = Window.partitionBy(*group).orderBy("_sc_pid").rowsBetween(
+        Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*group)
+    cols = [F.col("_sc_pid"), *[F.col(g) for g in group], F.col("_sc_first"),
+            F.coalesce(F.sum("_sc_cnt").over(before), F.lit(0)).alias("_sc_off"),
+            F.sum("_sc_cnt").over(whole).alias("_sc_n")]
+    for c in sums:
+        cols.append(F.coalesce(F.sum(f"_sc_tot_{c}").over(before), F.lit(0)).alias(f"_sc_off_{c}"))
+        if totals:
+            cols.append(F.sum(f"_sc_tot_{c}").over(whole).alias(f"_sc_all_{c}"))
+    return per.select(*cols)
+
+
+def _join_group_offsets(rows: DataFrame, offsets: DataFrame, group: Sequence[str]) -> DataFrame:
+    """Attach the (partition, group) offsets; NULL group keys match (null-safe).
+    The offsets side is small (partitions + groups rows): AQE broadcasts it
+    when its measured size allows, otherwise it stays a shuffle join."""
+    o = offsets.select(*[F.col(c).alias(f"_sc_o_{c}") for c in offsets.columns])
+    cond = [F.col("_sc_pid") == F.col("_sc_o__sc_pid")]
+    cond += [F.col(g).eqNullSafe(F.col(f"_sc_o_{g}")) for g in group]
+    res = rows.join(o, cond)
+    res = res.drop("_sc_o__sc_pid", *[f"_sc_o_{g}" for g in group])
+    rename = {f"_sc_o_{c}": c for c in offsets.columns if c != "_sc_pid" and c not in group}
+    return res.withColumnsRenamed(rename)
+
+
 def grouped_row_number(df: DataFrame, group: Sequence[str], order: Sequence[Column | str],
                        out: str = "row_number", size: str | None = None,
-                       num_partitions: int | None = None) -> DataFrame:
+                       num_partitions: int | None = None,
+                       keep: Sequence[str] | None = None) -> DataFrame:
     """``row_number().over(partitionBy(group).orderBy(order))`` without putting
-    a group into one task: one global numbering on (group, order), minus the
-    group's first number (from a grouped aggregate, one row per group)."""
+    a group into one task: one range partitioning on (group, order); the
+    number is the group's rows in earlier partitions plus the position after
+    the group's first row in this partition. ``keep`` narrows the output (and
+    the checkpoint) to those columns plus ``group``."""
     g = [F.col(c) for c in group]
-    numbered = global_row_number(df, g + _sort_cols(order), out="_grn",
-                                 num_partitions=num_partitions)
-    firsts = numbered.groupBy(*group).agg(F.min("_grn").alias("_gfirst"),
-                                          F.count(F.lit(1)).alias("_gsize"))
-    res = numbered.join(firsts, list(group)).withColumn(
-        out, F.col("_grn") - F.col("_gfirst") + 1)
+    keep_cols = None if keep is None else list(group) + [c for c in keep if c not in group]
+    tagged, _ = _numbered(df, g + _sort_cols(order), num_partitions, keep=keep_cols)
+    res = _join_group_offsets(tagged, _group_offsets(tagged, group), group).withColumn(
+        out, (F.col("_sc_off") + F.col("_sc_pos") - F.col("_sc_first") + 1).cast("long"))
     if size:
-        res = res.withColumn(size, F.col("_gsize"))
-    return res.drop("_grn", "_gfirst", "_gsize")
+        res = res.withColumn(size, F.col("_sc_n").cast("long"))
+    return res.drop("_sc_pid", "_sc_pos", "_sc_first", "_sc_off", "_sc_n")
 
 
 def grouped_ntile(df: DataFrame, group: Sequence[str], order: Sequence[Column | str], k: int,
-                  out: str = "ntile", num_partitions: int | None = None) -> DataFrame:
+                  out: str = "ntile", num_partitions: int | None = None,
+                  keep: Sequence[str] | None = None) -> DataFrame:
     """``ntile(k)`` within each group, skew-safe (see ``grouped_row_number``)."""
     res = grouped_row_number(df, group, order, out="_rn_g", size="_n_g",
-                             num_partitions=num_partitions)
+                             num_partitions=num_partitions, keep=keep)
     return res.withColumn(out, ntile_from_rank(F.col("_rn_g"), F.col("_n_g"), k)).drop(
         "_rn_g", "_n_g")
 
 
+def _grouped_sums_in_partition(tagged: DataFrame, group: Sequence[str],
+                               values: Sequence[str]) -> DataFrame:
+    """Append ``_sc_in_<v>``: running sums of ``values`` restarting at each
+    group inside each numbered partition (groups are contiguous there), taken
+    where the partition already is, with a carry for a group that continues
+    into the next Arrow batch. NULL counts as 0."""
+    import pandas as pd
+    from pyspark.sql import types as T
+
+    fields = list(tagged.schema.fields)
+    kinds = {}
+    for v in values:
+        dt = tagged.schema[v].dataType
+        integral = isinstance(dt, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
+        kinds[v] = "int64" if integral else "float64"
+        fields.append(T.StructField(f"_sc_in_{v}", T.LongType() if integral else T.DoubleType(),
+                                    True))
+    schema = T.StructType(fields)
+    gcols = list(group)
+
+    def same(a, b) -> bool:
+        return all((x == y) or (pd.isna(x) and pd.isna(y)) for x, y in zip(a, b))
+
+    def run(batches):
+        last_key, carry = None, {v: 0 for v in values}
+        for pdf in batches:
+            if len(pdf) == 0:
+                for v in values:
+                    pdf[f"_sc_in_{v}"] = pd.Series([], dtype=kinds[v])
+                yield pdf
+                continue
+            change = pd.Series(False, index=pdf.index)
+            for c in gcols:
+                col, prev = pdf[c], pdf[c].shift()
+                change |= ~((col == prev) | (col.isna() & prev.isna()))
+            change.iloc[0] = True
+            seg = change.cumsum()
+            first = tuple(pdf[c].iloc[0] for c in gcols)
+            cont = last_key is not None and same(first, last_key)
+            for v in values:
+                cum = pdf[v].fillna(0).astype(kinds[v]).groupby(seg).cumsum()
+                if cont:
+                    cum = cum + (seg == 1) * carry[v]
+                carry[v] = cum.iloc[-1]
+                pdf[f"_sc_in_{v}"] = cum
+            last_key = tuple(pdf[c].iloc[-1] for c in gcols)
+            yield pdf
+
+    return tagged.sortWithinPartitions("_sc_pos").mapInPandas(run, schema)
+
+
 def grouped_running_sum(df: DataFrame, group: Sequence[str], order: Sequence[Column | str],
-                        values: Sequence[str], prefix: str = "cum_") -> DataFrame:
-    """Running sums of non-negative ``values`` within each group along ``order``
-    (the group start is the smallest running sum minus the row value)."""
+                        values: Sequence[str], prefix: str = "cum_",
+                        totals: bool = False) -> DataFrame:
+    """Running sums of ``values`` within each group along ``order`` (rows up to
+    and including the current one), skew-safe: one range partitioning on
+    (group, order), in-partition sums restarting at group starts, plus the
+    group's sums in earlier partitions from the (partition, group) table.
+    ``totals`` adds the group's sums as ``total_<v>``."""
     g = [F.col(c) for c in group]
-    res = global_running_sum(df, g + _sort_cols(order), values, prefix=prefix)
-    starts = res.groupBy(*group).agg(*[F.min(F.col(f"{prefix}{v}") - F.col(v)).alias(f"_s_{v}")
-                                       for v in values])
-    res = res.join(starts, list(group))
+    tagged, _ = _numbered(df, g + _sort_cols(order), None)
+    offsets = _group_offsets(tagged, group, values, totals=totals)
+    res = _join_group_offsets(_grouped_sums_in_partition(tagged, group, values), offsets, group)
     for v in values:
-        res = res.withColumn(f"{prefix}{v}", F.col(f"{prefix}{v}") - F.col(f"_s_{v}"))
-    return res.drop(*[f"_s_{v}" for v in values])
+        res = res.withColumn(f"{prefix}{v}", F.col(f"_sc_off_{v}") + F.col(f"_sc_in_{v}"))
+        if totals:
+            res = res.withColumn(f"total_{v}", F.col(f"_sc_all_{v}"))
+    drop = (["_sc_pid", "_sc_pos", "_sc_first", "_sc_off", "_sc_n"]
+            + [f"_sc_{p}_{v}" for v in values for p in ("in", "off", "all")])
+    return res.drop(*drop)

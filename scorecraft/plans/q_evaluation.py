@@ -156,8 +156,7 @@ ml AS (SELECT model, dataset, 'roc' AS metric, v AS value FROM auc
 
 def _metrics_long(spark, d):
     ms = model_scores(spark, d)
-    order = [F.col("score").desc()] + [F.col(c).asc() for c in SCORE_TIE_KEYS]
-    return ev.metrics_long(ms, ["model", "dataset"], order)
+    return ev.metrics_long(ms, ["model", "dataset"], [F.col(c).asc() for c in SCORE_TIE_KEYS])
 
 
 _PIVOT_COLS = ", ".join(

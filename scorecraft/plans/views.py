@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.io import spread
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -202,6 +204,9 @@ def model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     models = F.array(*[F.struct(F.lit(m).alias("model"),
                                 (1.0 / (1.0 + F.exp(-F.expr(z)))).alias("score"))
                        for m, z in MODEL_SCORES.items()])
+    # five rows per line item: spread a scan with fewer splits than task slots
+    # before the explode (a no-op on large inputs, see ``spread``)
+    li = spread(li.select(*SCORE_TIE_KEYS, "l_quantity", "l_discount", "l_tax"))
     base = li.select(*SCORE_TIE_KEYS, ds.alias("dataset"),
                      ((F.col("l_quantity") > 25) != ((F.col("l_orderkey") % 5) == 0))
                      .cast("int").alias("label"),

@@ -55,3 +55,33 @@ def test_champion_counts_unstable_datasets(spark):
            for r in ev.select_champion(df, "roc", "test").collect()}
     assert out["a"] == (0, "Champion")
     assert out["b"] == (1, "Challenger")
+
+
+def test_metrics_long_matches_row_level_windows(spark):
+    """Run-based KS/AUC/accuracy equal row-level windows over each group,
+    including score runs that straddle tile boundaries (few distinct scores)."""
+    from pyspark.sql import Window
+    from scorecraft.plans.views import SCORE_TIE_KEYS
+
+    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
+    df = li.select(*SCORE_TIE_KEYS, F.col("l_returnflag").alias("g"),
+                   (F.col("l_quantity") > 25).cast("int").alias("label"),
+                   F.round(F.col("l_discount") * 10 + F.col("l_tax"), 1).alias("score"),
+                   (F.col("l_tax") > 0.04).cast("int").alias("prediction"))
+    ties = [F.col(c) for c in SCORE_TIE_KEYS]
+    got = {(r.g, r.metric): r.value for r in ev.metrics_long(df, ["g"], ties).collect()}
+    w = Window.partitionBy("g").orderBy(F.col("score").desc(), *ties)
+    t = df.withColumn("tile", F.ntile(10).over(w)).groupBy("g", "tile").agg(
+        F.sum("label").alias("t"), F.sum(1 - F.col("label")).alias("nt"))
+    run = Window.partitionBy("g").orderBy("tile").rowsBetween(Window.unboundedPreceding, 0)
+    tot = Window.partitionBy("g")
+    spread = F.abs(F.sum("t").over(run) * 100.0 / F.sum("t").over(tot)
+                   - F.sum("nt").over(run) * 100.0 / F.sum("nt").over(tot))
+    ks = {r.g: r.ks for r in t.select("g", spread.alias("s")).groupBy("g").agg(
+        F.round(F.max("s"), 2).alias("ks")).collect()}
+    for g, v in ks.items():
+        assert got[(g, "ks")] == v
+        sub = df.filter(F.col("g") == g)
+        assert abs(got[(g, "roc")] - ev.auc_roc(sub).first()["auc"]) < 1e-6
+        acc = sub.agg(F.avg((F.col("prediction") == F.col("label")).cast("int"))).first()[0]
+        assert abs(got[(g, "accuracy")] - round(acc, 6)) < 1e-9

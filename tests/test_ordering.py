@@ -64,3 +64,29 @@ def test_flag_max_marks_ties(spark):
     df = spark.createDataFrame([(1, 5.0), (2, 7.0), (3, 7.0)], "id int, v double")
     got = {r.id: r.is_max for r in ordering.flag_max(df, "v").collect()}
     assert got == {1: 0, 2: 1, 3: 1}
+
+
+def test_grouped_numbering_hot_and_null_groups(spark):
+    """A group holding most rows spans many range partitions; a NULL group key
+    is its own group; small Arrow batches exercise the carry between batches."""
+    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity",
+        F.when(F.col("l_quantity") > 45, F.lit(None)).when(F.col("l_quantity") > 5, F.lit("hot"))
+        .otherwise(F.col("l_returnflag")).alias("g"))
+    keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
+    order = [F.col("l_quantity").desc()] + [F.col(c) for c in keys]
+    w = Window.partitionBy("g").orderBy(*order)
+    ref = li.select(*keys, F.ntile(7).over(w).alias("t2"),
+                    F.sum("l_quantity").over(w.rowsBetween(Window.unboundedPreceding, 0))
+                    .alias("cum2"))
+    got = ordering.grouped_ntile(li, ["g"], order, 7, out="t", num_partitions=6)
+    assert got.join(ref, keys).filter("t != t2").count() == 0
+    assert got.count() == li.count()
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    try:
+        run = ordering.grouped_running_sum(li, ["g"], order, ["l_quantity"])
+        j = run.join(ref, keys)
+        assert j.count() == li.count()
+        assert j.filter("cum_l_quantity != cum2").count() == 0
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
