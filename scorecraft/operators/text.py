@@ -57,15 +57,27 @@ def count_vectorize(tokens: DataFrame, vocab_size: int = 5000, min_df: float = 1
     return model.transform(tokens), model
 
 
+def vocabulary(tokens: DataFrame, vocab_size: int = 5000, min_df: float = 10,
+               doc: str = "doc_id", col: str = "tokens") -> DataFrame:
+    """The CountVectorizer vocabulary as a DataFrame: ``term, df, tf, idf``.
+
+    Terms in at least ``min_df`` documents (a fraction of the documents when
+    below 1), the ``vocab_size`` most frequent by total count; idf =
+    ln((m + 1) / (df + 1)) with m documents, as MLlib's IDF. Term statistics
+    are grouped counts; the top-k keeps at most ``vocab_size`` rows per task
+    before merging, and m is a scalar subquery. The result is bounded by
+    ``vocab_size`` rows, which is what makes broadcasting it safe."""
+    m = tokens.agg(F.count(F.lit(1)).cast("double")).scalar()
+    keep = F.col("df") >= (F.lit(min_df) if min_df >= 1 else F.lit(min_df) * m)
+    top = term_stats(tokens, doc, col).filter(keep).orderBy(
+        F.col("tf").desc(), F.col("term")).limit(vocab_size)
+    return top.withColumn("idf", F.log((m + 1.0) / (F.col("df") + 1.0)))
+
+
 def vocabulary_table(tokens: DataFrame, vocab_size: int = 5000, min_df: float = 10,
                      doc: str = "doc_id") -> DataFrame:
-    """CountVectorizer vocabulary with each term's index, df and tf. The
-    vocabulary (at most vocab_size terms) is broadcast to the term stats."""
-    _, model = count_vectorize(tokens, vocab_size, min_df)
-    spark = tokens.sparkSession
-    vocab = spark.createDataFrame(list(enumerate(model.vocabulary)), "idx int, term string")
-    return term_stats(tokens, doc).join(F.broadcast(vocab), "term").select(
-        "term", "df", "tf")
+    """Vocabulary terms with their document and total counts: ``term, df, tf``."""
+    return vocabulary(tokens, vocab_size, min_df, doc).select("term", "df", "tf")
 
 
 def tfidf(tokens: DataFrame, vocab_size: int = 5000, min_df: float = 10):
@@ -82,15 +94,12 @@ def idf_table(cv_model, idf_model, spark, digits: int = 6) -> DataFrame:
     return spark.createDataFrame(rows, "term string, idf double")
 
 
-def tfidf_terms(tokens: DataFrame, cv_model, idf_model, doc: str = "doc_id",
-                col: str = "tokens", digits: int = 6) -> DataFrame:
+def tfidf_terms(tokens: DataFrame, vocab_size: int = 5000, min_df: float = 10,
+                doc: str = "doc_id", col: str = "tokens", digits: int = 6) -> DataFrame:
     """Long ``doc, term, tfidf`` table: per-document term counts (explode +
     grouped count) times the term's IDF. The vocabulary with its IDF has at
-    most vocab_size rows and is broadcast; no dense vectors are expanded."""
-    spark = tokens.sparkSession
-    weights = spark.createDataFrame(
-        [(t, float(v)) for t, v in zip(cv_model.vocabulary, idf_model.idf.toArray())],
-        "term string, idf double")
+    most ``vocab_size`` rows and is broadcast; no vectors are built."""
+    weights = vocabulary(tokens, vocab_size, min_df, doc, col).select("term", "idf")
     per_doc = tokens.select(doc, F.explode(col).alias("term")).groupBy(doc, "term").agg(
         F.count(F.lit(1)).alias("n"))
     return per_doc.join(F.broadcast(weights), "term").select(

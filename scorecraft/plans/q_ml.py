@@ -15,6 +15,7 @@ from ..operators import models as md
 from ..operators import runlog
 from ..operators import text as tx
 from ..session import scratch_path
+from ..sources.io import spread
 from .registry import register
 from .views import (BANK_CATEGORICAL, BANK_KEYS, BANK_NUMERIC, BANK_VIEW_SQL, MISSING_VIEW_SQL,
                     MOVIE_VIEW_SQL, SCORE_VIEW_SQL, bank_view, customer_features,
@@ -507,7 +508,10 @@ tk AS (SELECT doc_id, list_filter(string_split(lower(trim(text)), ' '),
 
 
 def _docs(spark, d):
-    return table(spark, d, "documents").filter(F.col("lang") == "en").select("doc_id", "text")
+    # tokenising whole texts is the CPU-heavy part: spread a scan with fewer
+    # splits than task slots (a no-op on large inputs, see ``spread``)
+    return spread(table(spark, d, "documents").filter(F.col("lang") == "en")
+                  .select("doc_id", "text"), key=["doc_id"])
 
 
 @register("tokenize_documents", f"""WITH {_TOKENS_SQL}
@@ -544,9 +548,7 @@ def idf_table(spark, d):
 SELECT pd.doc_id, pd.term, round(pd.n * ln((m + 1.0) / (vocab.df + 1.0)), 6) AS tfidf
 FROM pd JOIN vocab ON pd.term = vocab.term, m""")
 def tfidf_terms(spark, d):
-    toks = tx.tokenize(_docs(spark, d))
-    _, cv, idf = tx.tfidf(toks)
-    return tx.tfidf_terms(toks, cv, idf)
+    return tx.tfidf_terms(tx.tokenize(_docs(spark, d)))
 
 
 def _lda(spark, d):

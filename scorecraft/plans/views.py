@@ -206,7 +206,8 @@ def model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
                        for m, z in MODEL_SCORES.items()])
     # five rows per line item: spread a scan with fewer splits than task slots
     # before the explode (a no-op on large inputs, see ``spread``)
-    li = spread(li.select(*SCORE_TIE_KEYS, "l_quantity", "l_discount", "l_tax"))
+    li = spread(li.select(*SCORE_TIE_KEYS, "l_quantity", "l_discount", "l_tax"),
+                key=["l_orderkey", "l_linenumber"])
     base = li.select(*SCORE_TIE_KEYS, ds.alias("dataset"),
                      ((F.col("l_quantity") > 25) != ((F.col("l_orderkey") % 5) == 0))
                      .cast("int").alias("label"),

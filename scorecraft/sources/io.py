@@ -16,17 +16,19 @@ from ..session import scratch_path
 
 
 # ---------------------------------------------------------------------- read
-def spread(df: DataFrame, slots: int | None = None) -> DataFrame:
-    """Round-robin a scan that has fewer input splits than the cluster has
+def spread(df: DataFrame, key: Sequence[str] = (), slots: int | None = None) -> DataFrame:
+    """Repartition a scan that has fewer input splits than the cluster has
     task slots (``defaultParallelism``), e.g. a single-row-group Parquet file,
     so the work above it does not run in one task. Large inputs already have
     far more splits than slots and are returned unchanged: no extra shuffle at
-    scale. Projections and deterministic filters above the repartition are
-    still pushed into the scan by the optimizer."""
+    scale. With ``key`` (a near-unique row key) rows are hash-partitioned,
+    which is deterministic on retry without the local sort a round-robin
+    repartition needs. Projections and deterministic filters above the
+    repartition are still pushed into the scan by the optimizer."""
     want = slots or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= want:
         return df
-    return df.repartition(want)
+    return df.repartition(want, *key) if key else df.repartition(want)
 
 
 def read_csv(spark: SparkSession, path: str, header: bool = True, sep: str = ",",

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from scorecraft.operators import features as fe
 from scorecraft.operators import text as tx
+from conftest import SF_SMALL
 
 
 def test_category_index_keeps_unseen(spark):
@@ -47,3 +48,15 @@ def test_svd_values_match_numpy(spark):
         "component").collect()]
     ref = np.linalg.svd(np.array(rows), compute_uv=False)
     assert np.allclose(got, ref)
+
+
+def test_dataframe_vocabulary_matches_mllib(spark):
+    """The DataFrame vocabulary/IDF equals CountVectorizer + IDF fits."""
+    from scorecraft.operators import text as tx
+
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    toks = tx.tokenize(docs)
+    _, cv, idf = tx.tfidf(toks, vocab_size=5000, min_df=3)
+    ref = {t: round(float(v), 9) for t, v in zip(cv.vocabulary, idf.idf.toArray())}
+    got = {r.term: round(r.idf, 9) for r in tx.vocabulary(toks, 5000, 3).collect()}
+    assert got == ref
