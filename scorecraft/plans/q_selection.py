@@ -79,7 +79,7 @@ def quantile_bucket(spark, d):
     vc = sel.value_counts_long(b, ["l_extendedprice"], [], "label")
     splits = sel.quantile_splits(vc, 5).first()["splits"]  # n-1 values, bounded by n
     return b.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-                    sel.bucket_of_values(F.col("l_extendedprice"), splits).alias("bucket"))
+                    sel.bucket_of_values("`l_extendedprice`", splits).alias("bucket"))
 
 
 @register("monotonic_bins")
