@@ -82,7 +82,41 @@ def quantile_bucket(spark, d):
                     sel.bucket_of_values("`l_extendedprice`", splits).alias("bucket"))
 
 
-@register("monotonic_bins")
+def _monotonic_sql(cols: list[str], max_bins: int = 20) -> str:
+    """Oracle for monotonic binning with exact (``quantile_disc``) quantiles;
+    the Spark side uses approximate quantiles (relative error 1e-4), so this
+    is a rounded-output check (SURVEY "T")."""
+    ns = range(2, max_bins + 1)
+    qcols = ", ".join(
+        f"quantile_disc(x, [{', '.join(repr(i / n) for i in range(1, n))}]) AS q{n}" for n in ns)
+    long = "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS varname, CAST({c} AS DOUBLE) AS x, CAST(label AS DOUBLE) AS y "
+        f"FROM bank_view" for c in cols)
+    splits = "\nUNION ALL\n".join(
+        f"SELECT varname, {n} AS n, list_distinct(q{n}) AS splits FROM q" for n in ns)
+    names = ", ".join(f"'{c}'" for c in cols)
+    return with_views(f"""
+lg AS (SELECT * FROM ({long}) WHERE x IS NOT NULL AND NOT isnan(x)),
+q AS (SELECT varname, {qcols} FROM lg GROUP BY varname),
+sp AS ({splits}),
+bk AS (SELECT lg.varname, sp.n, len(list_filter(sp.splits, lambda s: s <= lg.x)) AS bucket,
+              lg.x, lg.y FROM lg JOIN sp ON lg.varname = sp.varname),
+mb AS (SELECT varname, n, bucket, avg(x) AS mx, avg(y) AS my FROM bk GROUP BY varname, n, bucket),
+rk AS (SELECT *,
+         rank() OVER (PARTITION BY varname, n ORDER BY mx)
+           + (count(*) OVER (PARTITION BY varname, n, mx) - 1) / 2.0 AS rx,
+         rank() OVER (PARTITION BY varname, n ORDER BY my)
+           + (count(*) OVER (PARTITION BY varname, n, my) - 1) / 2.0 AS ry FROM mb),
+rh AS (SELECT varname, n, corr(rx, ry) AS rho, count(*) AS k FROM rk GROUP BY varname, n),
+best AS (SELECT varname, max(n) AS n_bins, arg_max(rho, n) AS rho FROM rh
+         WHERE k >= 2 AND abs(rho) >= 1 - 1e-9 GROUP BY varname),
+names AS (SELECT unnest([{names}]) AS varname)
+SELECT names.varname, CAST(coalesce(best.n_bins, 1) AS INTEGER) AS n_bins,
+       round(best.rho, 6) AS rho
+FROM names LEFT JOIN best ON names.varname = best.varname""", bank_view=BANK_VIEW_SQL)
+
+
+@register("monotonic_bins", _monotonic_sql(WOE_NUMERIC + ["l_extendedprice"]))
 def monotonic_bins(spark, d):
     return sel.monotonic_bins(bank_view(spark, d), WOE_NUMERIC + ["l_extendedprice"], "label")
 
