@@ -221,7 +221,8 @@ def score_runs_by_group(df: DataFrame, group: Sequence[str], score: str = "score
     table, so one hot group or one hot score never lands in one task."""
     from .ordering import grouped_running_sum
 
-    aggs = [F.count(F.lit(1)).alias("_cnt"), F.sum(F.col(label)).cast("long").alias("_pos")]
+    aggs = [F.count(F.lit(1)).alias("_cnt"), F.sum(F.col(label)).cast("long").alias("_pos"),
+            F.sum(1 - F.col(label)).cast("long").alias("_neg")]
     if prediction:
         hit = F.when(F.col(prediction).cast("double") == F.col(label).cast("double"), 1)
         aggs.append(F.sum(hit.otherwise(0)).cast("long").alias("_hit"))
@@ -256,8 +257,8 @@ def auc_accuracy_from_runs(runs: DataFrame, group: Sequence[str], digits: int =
 
 def tile_counts_by_group(df: DataFrame, runs: DataFrame, group: Sequence[str], score: str,
                          ties: Sequence[Column | str], label: str, k: int = 10) -> DataFrame:
-    """Rows and positives per (group, tile) for ``ntile(k)`` over (score desc,
-    ties) within each group: ``group…, _tile, _rows, _t``.
+    """Rows, positives and negatives per (group, tile) for ``ntile(k)`` over
+    (score desc, ties) within each group: ``group…, _tile, _rows, _t, _nt``.
 
     A score run lying inside one tile adds its counts to that tile directly.
     Only runs straddling a tile boundary (at most k-1 per group) are resolved
@@ -268,11 +269,11 @@ def tile_counts_by_group(df: DataFrame, runs: DataFrame, group: Sequence[str], s
 
     first = ntile_from_rank(F.col("_before") + 1, F.col("_n"), k)
     last = ntile_from_rank(F.col("_before") + F.col("_cnt"), F.col("_n"), k)
-    r = runs.select(*group, "_s", "_cnt", "_pos", "_before", "_n",
+    r = runs.select(*group, "_s", "_cnt", "_pos", "_neg", "_before", "_n",
                     first.alias("_t1"), last.alias("_t2"))
     whole = r.filter(F.col("_t1") == F.col("_t2")).select(
         *group, F.col("_t1").alias("_tile"), F.col("_cnt").alias("_rows"),
-        F.col("_pos").alias("_t"))
+        F.col("_pos").alias("_t"), F.col("_neg").alias("_nt"))
     keys = list(group) + ["_s"]
     strad = r.filter(F.col("_t1") != F.col("_t2")).select(
         *[F.col(c).alias(f"_k{c}") for c in keys], "_before", "_n")
@@ -288,9 +289,10 @@ def tile_counts_by_group(df: DataFrame, runs: DataFrame, group: Sequence[str], s
     part = numbered.select(*group, ntile_from_rank(F.col("_before") + F.col("_rn"), F.col("_n"),
                                                    k).alias("_tile"),
                            F.lit(1).cast("long").alias("_rows"),
-                           F.col(label).cast("long").alias("_t"))
+                           F.col(label).cast("long").alias("_t"),
+                           (1 - F.col(label)).cast("long").alias("_nt"))
     return whole.unionByName(part).groupBy(*group, "_tile").agg(
-        F.sum("_rows").alias("_rows"), F.sum("_t").alias("_t"))
+        F.sum("_rows").alias("_rows"), F.sum("_t").alias("_t"), F.sum("_nt").alias("_nt"))
 
 
 def ks_from_tiles(tiles: DataFrame, group: Sequence[str]) -> DataFrame:
@@ -298,7 +300,7 @@ def ks_from_tiles(tiles: DataFrame, group: Sequence[str]) -> DataFrame:
     group, 2 dp, from a table of k rows per group."""
     run = Window.partitionBy(*group).orderBy("_tile").rowsBetween(Window.unboundedPreceding, 0)
     tot = Window.partitionBy(*group)
-    nt = F.col("_rows") - F.col("_t")
+    nt = F.col("_nt")
     spread = F.abs(_pct(F.sum("_t").over(run), F.sum("_t").over(tot))
                    - _pct(F.sum(nt).over(run), F.sum(nt).over(tot)))
     return tiles.select(*group, spread.alias("_spread")).groupBy(*group).agg(
