@@ -43,8 +43,9 @@ def stratified_split(df: DataFrame, strata: str, weights: Sequence[float], names
     rows are put in a seeded random order and cut at round(cumulative weight x
     stratum size), so every stratum keeps the weights. The order is one global
     range-partitioned numbering on (stratum, draw), so a stratum holding most
-    rows is spread over many tasks; stratum sizes come from a grouped count."""
-    from .ordering import global_row_number
+    rows is spread over many tasks; positions and stratum sizes come from the
+    (partition, stratum) offsets table. A NULL stratum is a stratum."""
+    from .ordering import grouped_row_number
 
     total = float(sum(weights))
     cum, acc = [], 0.0
@@ -52,17 +53,14 @@ def stratified_split(df: DataFrame, strata: str, weights: Sequence[float], names
         acc += w / total
         cum.append(acc)
     drawn = df.withColumn("_u", F.rand(seed))
-    numbered = global_row_number(drawn, [F.col(strata), F.col("_u")], out="_rn")
-    sizes = numbered.groupBy(strata).agg(F.min("_rn").alias("_first"),
-                                         F.count(F.lit(1)).alias("_size"))
-    j = numbered.join(sizes, [strata])
-    pos = F.col("_rn") - F.col("_first") + 1
+    j = grouped_row_number(drawn, [strata], [F.col("_u")], out="_pos", size="_size")
+    pos = F.col("_pos")
     expr = None
     for edge, name in zip(cum, names):
         cond = pos <= F.round(F.col("_size") * F.lit(edge))
         expr = F.when(cond, F.lit(name)) if expr is None else expr.when(cond, F.lit(name))
     label = expr.otherwise(F.lit(names[-1])) if expr is not None else F.lit(names[-1])
-    return j.withColumn(out, label).drop("_u", "_rn", "_first", "_size")
+    return j.withColumn(out, label).drop("_u", "_pos", "_size")
 
 
 def _interval(u: Column, edges: Sequence[float], names: Sequence[str]) -> Column:

@@ -82,3 +82,13 @@ def test_hash_split_disjoint_and_complete(spark):
     assert lab.filter(F.col("s").isNull()).count() == 0
     again = o.withColumn("s2", sampling.hash_split(F.col("o_orderkey"), [70, 30], ["a", "b"]))
     assert lab.join(again, "o_orderkey").filter("s != s2").count() == 0
+
+
+def test_stratified_split_keeps_null_stratum(spark):
+    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").select(
+        "l_orderkey", F.when(F.col("l_returnflag") != "R", F.col("l_returnflag")).alias("g"))
+    out = sampling.stratified_split(li, "g", [0.7, 0.3], ["train", "test"], seed=7)
+    assert out.count() == li.count()
+    n_null = li.filter(F.col("g").isNull()).count()
+    got = out.filter(F.col("g").isNull() & (F.col("split") == "train")).count()
+    assert got == round(n_null * 0.7)
