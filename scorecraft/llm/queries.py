@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .common import table
 from .sharding import byte_shards
+from .simhash import simhash_groups
 from .url_filter import judge_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,6 +79,12 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(pages, pages.filter("page_id % 20 = 0"), URL_RULES)
 
 
+# ------------------------------------------------------- op6: SimHash near-dedup
+@register("op6_simhash")
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_groups(table(spark, sf_dir, "documents"), shingle=3, bits=3)
+
+
 # -------------------------------------------------------------- op7: sharding
 @register("op7_sharding")
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
