@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,18 +30,31 @@ def text_or_empty(col: str) -> Column:
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 
 
+#: Name of the copy of this package that executors are given.
+PACKAGE = "scorecraft-package"
 #: Bytes of one Arrow batch that a Python step of this subpackage asks for.
 BATCH_BYTES = 8 << 20
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Bound the Arrow batches of the Python steps by bytes, so that long texts
-    can't make a batch of the usual row count outgrow a worker. A smaller
-    setting of the session is left alone."""
+def prepare(spark: SparkSession) -> None:
+    """What the Python steps of this subpackage need of a session.
+
+    Bounds the Arrow batches by bytes, so that long texts can't make a batch of
+    the usual row count outgrow a worker (a smaller setting of the session is
+    left alone), and ships this package to the executors, which may have no copy
+    of it."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
     now = spark.conf.get(key).rstrip("b")
     if not now.isdigit() or int(now) > BATCH_BYTES:
         spark.conf.set(key, str(BATCH_BYTES))
+    sc = spark.sparkContext
+    if not any(PACKAGE in os.path.basename(f) for f in sc._python_includes):
+        root = Path(__file__).resolve().parent.parent
+        target = Path(tempfile.mkdtemp(prefix="scorecraft-")) / f"{PACKAGE}.zip"
+        with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+            for f in sorted(root.rglob("*.py")):
+                z.write(f, f.relative_to(root.parent))
+        sc.addPyFile(str(target))
 
 
 def hash_partitions(spark: SparkSession) -> int:

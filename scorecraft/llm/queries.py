@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
+from .quality import judged
 from .sharding import byte_shards
 from .simhash import simhash_groups
 from .url_filter import judge_urls
@@ -79,6 +80,15 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(pages, pages.filter("page_id % 20 = 0"), URL_RULES)
 
 
+# ------------------------------------------------------------ op5: quality rules
+@register("op5_quality")
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return judged(docs, keep=["doc_id"]).select(
+        "doc.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", "log_perplexity", "low", "high")
+
+
 # ------------------------------------------------------- op6: SimHash near-dedup
 @register("op6_simhash")
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import hash_partitions, small_batches, written
+from .common import hash_partitions, prepare, written
 from .components import components
 
 SEGMENTS = 8
@@ -130,7 +130,7 @@ def fingerprint_links(fps: DataFrame, bits: int = 3) -> DataFrame:
     if not 0 <= bits <= 3:
         raise ValueError("the ring's keys hold for 0 to 3 bits")
     spark = fps.sparkSession
-    small_batches(spark)
+    prepare(spark)
     keyed = fps.select(F.explode(_keys("fp")).alias("key"), "fp")
     counts = keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
     shared = (
@@ -186,7 +186,7 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     component has no other). Repeated rows and ids give a row each; an empty
     table gives none; other columns are ignored.
     """
-    small_batches(docs.sparkSession)
+    prepare(docs.sparkSession)
     rows = written(docs.select(F.col(id_col).alias("id"),
                                _fingerprint_column(F.col(text_col), shingle).alias("fp")),
                    "simhash-rows")
@@ -199,7 +199,7 @@ def keep_one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                        shingle: int = 3, bits: int = 3) -> DataFrame:
     """The rows of ``docs``, all columns, with one row of each connected group:
     the one with the smallest id (null ids last, then input order)."""
-    small_batches(docs.sparkSession)
+    prepare(docs.sparkSession)
     rows = written(docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
         F.monotonically_increasing_id().alias("rid"),
