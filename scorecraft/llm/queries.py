@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
+from .line_dedup import dedup_lines
 from .quality import judged
 from .sharding import byte_shards
 from .simhash import simhash_groups
@@ -101,3 +102,11 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_shards(table(spark, sf_dir, "documents"), 16).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"), "start_byte")
+
+
+# ------------------------------------------------------------ op9: line dedup
+@register("op9_line_dedup")
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
+    return dedup_lines(docs).select(
+        "doc.doc_id", "doc.text", "doc.n_chars", "n_chunks", "n_removed")
