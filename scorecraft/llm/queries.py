@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .common import table
 from .line_dedup import dedup_lines
+from .pii import BASE_KINDS, find_pii, span_list
 from .quality import judged
 from .sharding import byte_shards
 from .simhash import simhash_groups
@@ -81,6 +82,22 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(pages, pages.filter("page_id % 20 = 0"), URL_RULES)
 
 
+# ------------------------------------------------------------------- op2: PII
+@register("op2_pii")
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_pii(table(spark, sf_dir, "documents").select("doc_id", "text"), keep=["doc_id"])
+    found = found.select("doc.doc_id", "base", "added")
+
+    def n_of(kind: str):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id", *[n_of(k.name) for k in BASE_KINDS],
+        F.sha2(span_list(F.col("base")), 256).alias("base_sha256"),
+        span_list(F.concat("base", "added")).alias("spans"),
+        F.size("added").cast("long").alias("n_added"))
+
+
 # ------------------------------------------------------------ op5: quality rules
 @register("op5_quality")
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
