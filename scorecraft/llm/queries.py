@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .common import table
 from .line_dedup import dedup_lines
+from .packing import pack
 from .pii import BASE_KINDS, find_pii, span_list
 from .quality import judged
 from .sharding import byte_shards
@@ -19,6 +20,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+def tokenizer_file(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def register(key: str, sql: str | None = None):
     def deco(fn):
         QUERIES[key] = fn
@@ -98,6 +105,14 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("added").cast("long").alias("n_added"))
 
 
+# --------------------------------------------------------------- op4: packing
+@register("op4_packing")
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = pack(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
+    return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"),
+                         "doc_tokens", "sequence_id", "offset")
+
+
 # ------------------------------------------------------------ op5: quality rules
 @register("op5_quality")
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
