@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .byte_bpe import encode_decode
 from .common import table
 from .line_dedup import dedup_lines
 from .packing import pack
@@ -105,6 +106,17 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("added").cast("long").alias("n_added"))
 
 
+# -------------------------------------------------------------- op3: byte BPE
+@register("op3_byte_bpe")
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    coded = encode_decode(table(spark, sf_dir, "documents"),
+                          tokenizer_file("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 # --------------------------------------------------------------- op4: packing
 @register("op4_packing")
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
