@@ -84,12 +84,7 @@ class ByteBPE:
         # Every way to split a token into two tokens is a pair that merges to it.
         pairs = [(self.tokens[t[:i]], self.tokens[t[i:]], r) for t, r in self.tokens.items()
                  for i in range(1, len(t)) if t[:i] in self.tokens and t[i:] in self.tokens]
-        table = np.array(pairs, np.int64).reshape(-1, 3)
-        self.pairs = PairTable(*table.T)
-        # Tokens that can be part of a pair of lower rank than their own.
-        self.falls = np.zeros(size, bool)
-        for part in (0, 1):
-            self.falls[table[table[:, part] > table[:, 2], part]] = True
+        self.pairs = PairTable(*np.array(pairs, np.int64).reshape(-1, 3).T)
         by_id = [b""] * size
         for t, r in self.tokens.items():
             by_id[r] = t
@@ -116,9 +111,9 @@ class ByteBPE:
         return out
 
     def _merge_long(self, word: bytes) -> np.ndarray:
-        """One long word. If the merged token is in no pair of lower rank, all
-        pairs of the minimum rank, left to right without overlap, are the next
-        merges, so a round does them at once."""
+        """One long word. All pairs of the minimum rank, left to right without
+        overlap, are merged in one round, up to the first whose merge makes a
+        pair of lower rank (stopping early is always right)."""
         ids = self.byte_id[np.frombuffer(word, np.uint8)]
         while len(ids) > 1:
             rank = self._ranks(ids[:-1], ids[1:])
@@ -128,7 +123,14 @@ class ByteBPE:
             at = np.flatnonzero(rank == least)
             first = np.r_[True, np.diff(at) > 1]  # overlapping pairs: every second one
             run = at - at[np.maximum.accumulate(np.where(first, np.arange(len(at)), 0))]
-            at = at[:1] if self.falls[least] else at[run % 2 == 0]
+            at = at[run % 2 == 0]
+            one = np.full(len(at), least)
+            lower = (self._ranks(ids[np.maximum(at - 1, 0)], one) < least) | (
+                self._ranks(one, ids[np.minimum(at + 2, len(ids) - 1)]) < least)
+            if self._ranks(one[:1], one[:1])[0] < least:
+                at = at[:1]
+            elif lower.any():
+                at = at[:int(lower.argmax()) + 1]
             ids[at] = least
             ids = np.delete(ids, at + 1)
         return ids
