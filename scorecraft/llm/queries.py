@@ -15,6 +15,7 @@ from .pii import BASE_KINDS, find_pii, span_list
 from .quality import judged
 from .sharding import byte_shards
 from .simhash import simhash_groups
+from .token_store import read_tokens, write_tokens
 from .url_filter import judge_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -148,9 +149,18 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"), "start_byte")
 
 
+# ----------------------------------------------------------- op8: token files
+@register("op8_token_store")
+def op8_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder, files = write_tokens(table(spark, sf_dir, "documents"),
+                                 tokenizer_file("byte_bpe_50k.json"), end_id=0)
+    return read_tokens(files, folder).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 # ------------------------------------------------------------ op9: line dedup
 @register("op9_line_dedup")
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
     return dedup_lines(docs).select(
-        "doc.doc_id", "doc.text", "doc.n_chars", "n_chunks", "n_removed")
+        "doc.doc_id", "doc.text", "doc.n_chars", "n_removed")

@@ -73,7 +73,6 @@ def test_equals_brute_force(spark):
     for i, t in rows:
         r = got[i]
         assert r.doc.n_chars == (-1 if t is None else len(want[i]))
-        assert r.n_chunks == (0 if t is None else len(brute_chunks(t)))
     assert got[107].n_removed > 1 and len(got[107].doc.text) < 60
     assert sum(r.n_removed for r in got.values()) > 40
 
