@@ -11,6 +11,7 @@ from .byte_bpe import encode_decode
 from .common import table
 from .line_dedup import dedup_lines
 from .packing import pack
+from .phrases import edited_likeness
 from .pii import BASE_KINDS, find_pii, span_list
 from .quality import judged
 from .sharding import byte_shards
@@ -164,3 +165,12 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
     return dedup_lines(docs).select(
         "doc.doc_id", "doc.text", "doc.n_chars", "n_removed")
+
+
+# -------------------------------------------------- op10: document fingerprints
+@register("op10_fingerprints")
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = edited_likeness(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_chars", "edited_sha256", F.lower(F.hex("fingerprint")).alias("fingerprint"),
+        F.lower(F.hex("edited_fingerprint")).alias("edited_fingerprint"), "near_edited", "near_next")
