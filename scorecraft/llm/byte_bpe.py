@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import prepare, text_or_empty
-from .encoding import PieceMemory, slices, spaced_pieces
+from .encoding import PieceMemory, ended_word, slices, spaced_pieces
 
 #: Cells of one padded matrix.
 CELLS = 1 << 20
@@ -211,7 +211,7 @@ def coder(ranks: bytes, pattern: str) -> tuple[ByteBPE, PieceMemory]:
             return [ids[distinct[m[0]]] if len(m) == 1 else np.concatenate(
                 [ids[distinct[w]] for w in m]) if m else none for m in matches]
 
-        _CODERS[key] = bpe, PieceMemory(spaced_pieces, encode_new)
+        _CODERS[key] = bpe, PieceMemory(spaced_pieces, encode_new, ended_word)
     return _CODERS[key]
 
 

@@ -10,14 +10,18 @@ from __future__ import annotations
 import os
 import re
 import zlib
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
 
 #: Characters (with a charge per entry) remembered before the memory starts anew.
-BUDGET = 40_000_000
+BUDGET = 80_000_000
 ENTRY = 60
 
+#: A word of Latin letters and the marks that end it: a cut for both kinds of
+#: tokenizer, so words need encoding once for all marks that follow them.
+ENDED = re.compile(r"( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?]*)")
+
 TWO_SPACES = re.compile(r"\s\s")
 BETWEEN_WORDS = re.compile(r"(?<=[^\W_])(?= [^\W_])")
 
@@ -36,12 +40,24 @@ def dropped_space_pieces(text: str) -> list[str]:
     return text.replace("\n", " ").split(" ")
 
 
+def ended_word(piece: str) -> tuple[str, ...]:
+    """A piece as a word and its marks."""
+    m = ENDED.fullmatch(piece)
+    return (m[1], m[2]) if m and m[2] else (piece,)
+
+
+def lower_ended_word(piece: str) -> tuple[str, ...]:
+    """The same for tokenizers that lower-case."""
+    m = ENDED.fullmatch(piece)
+    return ((m[1].lower(), m[2]) if m[2] else (m[1].lower(),)) if m else (piece,)
+
+
 class PieceMemory:
     """Ids of pieces in one flat array; ``encode_new`` gives the id lists of
-    pieces not seen before."""
+    pieces not seen before, ``parts`` says which smaller pieces one consists of."""
 
-    def __init__(self, cut, encode_new):
-        self.cut, self.encode_new = cut, encode_new
+    def __init__(self, cut, encode_new, parts=None):
+        self.cut, self.encode_new, self.parts = cut, encode_new, parts or (lambda p: (p,))
         self.clear()
 
     def clear(self) -> None:
@@ -52,15 +68,39 @@ class PieceMemory:
         self.used = 0
 
     def _add(self, pieces: list[str]) -> None:
-        lists = self.encode_new(pieces)
-        lengths = np.fromiter(map(len, lists), np.int64, len(lists))
-        first, total = len(self.known), int(lengths.sum())
+        whole, made = [], []
+        for p in pieces:
+            parts = self.parts(p)
+            if parts == (p,):
+                whole.append(p)
+            else:
+                made.append((p, parts))
+                whole += [x for x in parts if x not in self.known]
+        if whole:
+            whole = list(dict.fromkeys(whole))
+            lists = self.encode_new(whole)
+            lengths = np.fromiter(map(len, lists), np.int64, len(lists))
+            self._store(whole, np.fromiter(chain.from_iterable(lists), np.uint32, int(lengths.sum())), lengths)
+        made = [(p, parts) for p, parts in made if p not in self.known]
+        if made:
+            at = np.fromiter((self.known[x] for _, parts in made for x in parts), np.int64)
+            ids, upto = self._gather(at)
+            ends = upto[np.cumsum([len(parts) for _, parts in made])]
+            self._store([p for p, _ in made], ids, np.diff(ends, prepend=0))
+
+    def _gather(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of known pieces in a row, and where each starts."""
+        lengths = self.start[at + 1] - self.start[at]
+        upto = np.concatenate([[0], np.cumsum(lengths)])
+        return self.flat[np.repeat(self.start[at] - upto[:-1], lengths) + np.arange(upto[-1])], upto
+
+    def _store(self, pieces: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
+        first, total = len(self.known), len(ids)
         while self.used + total > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
         while first + len(pieces) + 1 > len(self.start):
             self.start = np.concatenate([self.start, np.zeros_like(self.start)])
-        self.flat[self.used:self.used + total] = np.concatenate(
-            [np.asarray(x, np.uint32) for x in lists]) if total else []
+        self.flat[self.used:self.used + total] = ids
         self.start[first + 1:first + 1 + len(pieces)] = self.used + np.cumsum(lengths)
         self.used += total
         self.known.update(zip(pieces, range(first, first + len(pieces)), strict=True))
@@ -73,15 +113,23 @@ class PieceMemory:
         cut = [self.cut(t) for t in texts]
         pieces = [p for c in cut for p in c]
         at = np.fromiter(map(self.known.get, pieces, repeat(-1)), np.int64, len(pieces))
-        if (at < 0).any():
-            self._add(list(dict.fromkeys(pieces[i] for i in np.flatnonzero(at < 0))))
-            at = np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
-        lengths = self.start[at + 1] - self.start[at]
-        upto = np.concatenate([[0], np.cumsum(lengths)])
-        ids = self.flat[np.repeat(self.start[at] - upto[:-1], lengths) + np.arange(upto[-1])]
+        missing = np.flatnonzero(at < 0)
+        if len(missing):
+            new = [pieces[i] for i in missing.tolist()]
+            self._add(list(dict.fromkeys(new)))
+            at[missing] = np.fromiter(map(self.known.__getitem__, new), np.int64, len(new))
+        ids, upto = self._gather(at)
         return ids, upto[np.cumsum([len(c) for c in cut])] if cut else np.zeros(0, np.int64)
 
 
+def _byte_chars() -> dict[int, int]:
+    """How byte-level vocabularies write bytes: printable Latin-1 characters as
+    themselves, the others as the characters from 256 on, in order."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    return {b: 256 + n for n, b in enumerate(b for b in range(256) if b not in shown)}
+
+
+BYTE_CHARS = _byte_chars()
 _MEMORIES: dict[tuple[int, str], PieceMemory] = {}
 
 
@@ -94,8 +142,21 @@ def memory_of(tokenizer_json: str, cut) -> PieceMemory:
 
         tokenizer = Tokenizer.from_str(tokenizer_json)
         tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        _MEMORIES[key] = PieceMemory(cut, lambda pieces: [
-            e.ids for e in tokenizer.encode_batch_fast(pieces, add_special_tokens=False)])
+        model, lower = tokenizer.model, cut is dropped_space_pieces
+
+        def encode_new(pieces: list[str]) -> list[list[int]]:
+            out: list = [None] * len(pieces)
+            for i, p in enumerate(pieces):
+                # A plain word is one match of the splitting pattern: straight to the model.
+                if (m := ENDED.fullmatch(p)) and not m[2] and not (lower and p != p.lower()):
+                    out[i] = [t.id for t in model.tokenize(p.encode().decode("latin-1").translate(BYTE_CHARS))]
+            rest = [i for i, ids in enumerate(out) if ids is None]
+            for i, e in zip(rest, tokenizer.encode_batch_fast(
+                    [pieces[i] for i in rest], add_special_tokens=False), strict=True):
+                out[i] = e.ids
+            return out
+
+        _MEMORIES[key] = PieceMemory(cut, encode_new, lower_ended_word if lower else ended_word)
     return _MEMORIES[key]
 
 

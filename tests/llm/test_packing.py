@@ -14,7 +14,8 @@ from scorecraft.llm.packing import pack, pack_lengths
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 WORDS = ["the", "Nation's", "don't", "ÉTÉ", "Σας", "x1 ", "12345", "#$%", "é", " ", "  ", "\n", "\t", "\r\n",
-         "\x85", "\xa0", "\x1c", "\x1f", " ", "<|endoftext|>", "'", "'s", "日本語", "\U0001f600", "a_b", "-", ".", ""]
+         "\x85", "\xa0", "\x1c", "\x1f", " ", "<|endoftext|>", "'", "'s", "日本語", "\U0001f600", "a_b", "-", ".", "",
+         "Foo.", "foo.", "FOO!?", "été,", "Ünd:", "don't.", "..", "a.b", "ÿ;", "×.", "\u0130.", "\u03a3.", "1."]
 
 
 def random_texts(n, seed=1):
