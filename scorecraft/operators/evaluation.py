@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from .ordering import global_ntile, global_running_sum
+from .ordering import _sort_cols, global_ntile, global_running_sum
 
 
 def _pct(num: Column, den: Column) -> Column:
@@ -48,21 +48,39 @@ def decile_table(df: DataFrame, label: str, order: Sequence[Column | str], k: in
     """Decile table: ``deciles, total, <label>, non_target, target_%, cum_target,
     cum_non_target, target_dist, non_target_dist, spread`` (2 dp).
 
-    ``spread`` is |target_dist - non_target_dist| by default, signed on request.
+    ``order`` is the score, best first, then the tie keys. Rows without a label
+    have no part in the table. ``spread`` is |target_dist - non_target_dist| by
+    default, signed on request. A table that already has the deciles in
+    ``decile_col`` is summed as it is.
+
+    Rows are first reduced to distinct scores; only scores on the edge of two
+    deciles (at most k - 1) are numbered row by row.
     """
+    df = df.filter(F.col(label).isNotNull())
     if decile_col in df.columns:
-        tiled = df
+        g = df.groupBy(decile_col).agg(
+            F.count(F.lit(1)).alias("total"),
+            F.sum(F.col(label)).cast("long").alias(label),
+            F.sum(1 - F.col(label)).cast("long").alias("non_target"))
     else:
-        cols = order_columns(order, df.columns)
-        narrow = df.select(*dict.fromkeys(cols + [label])) if cols else df
-        tiled = assign_deciles(narrow, order, k, decile_col)
-    g = tiled.groupBy(decile_col).agg(
-        F.count(F.lit(1)).alias("total"),
-        F.sum(F.col(label)).cast("long").alias(label),
-        F.sum(1 - F.col(label)).cast("long").alias("non_target"))
+        tiles = _tiles_by_score(df, label, order, k)
+        g = tiles.select(F.col("_tile").alias(decile_col), F.col("_rows").alias("total"),
+                         F.col("_t").alias(label), F.col("_nt").alias("non_target"))
     return decile_summary(g, label, decile_col, absolute_spread)
 
 
+def _tiles_by_score(df: DataFrame, label: str, order: Sequence[Column | str], k: int) -> DataFrame:
+    """``_tile, _rows, _t, _nt, _score_sum`` over (score desc, ties): the score is
+    the first entry of ``order``, taken in the direction given there."""
+    first = _sort_cols(order[:1])[0]
+    name = order_columns(order[:1], df.columns)
+    if name is None or "DESC" not in str(first).upper():
+        raise ValueError("order starts with the score column, descending")
+    score = name[0]
+    runs = score_runs_by_group(df, [], score, label)
+    return tile_counts_by_group(df, runs, [], score, list(order[1:]), label, k)
+
+
 def decile_summary(g: DataFrame, label: str, decile_col: str = "deciles",
                    absolute_spread: bool = True) -> DataFrame:
     """Cumulative columns over an already aggregated table of k rows."""
@@ -100,14 +118,13 @@ def ks_statistic(decile_tbl: DataFrame) -> DataFrame:
 def gains_lift_table(df: DataFrame, label: str, score: str, order: Sequence[Column | str],
                      k: int = 10) -> DataFrame:
     """Per decile: average actual and predicted, cumulative target share and
-    lift = share / population %. Upper-case names as in the reference."""
-    tiled = assign_deciles(df, order, k, "deciles")
-    g = tiled.groupBy("deciles").agg(
-        F.count(F.lit(1)).alias("total"),
-        F.sum(F.col(label)).cast("long").alias(label),
-        F.sum(1 - F.col(label)).cast("long").alias("non_target"),
-        F.avg(F.col(label).cast("double")).alias("_actual"),
-        F.avg(F.col(score).cast("double")).alias("_pred"))
+    lift = share / population %. Upper-case names as in the reference.
+    ``order`` starts with ``score``; rows without a label have no part."""
+    tiles = _tiles_by_score(df.filter(F.col(label).isNotNull()), label, order, k)
+    g = tiles.select(
+        F.col("_tile").alias("deciles"), F.col("_rows").alias("total"), F.col("_t").alias(label),
+        F.try_divide(F.col("_t").cast("double"), F.col("_rows")).alias("_actual"),
+        F.try_divide(F.col("_score_sum"), F.col("_rows")).alias("_pred"))
     run = Window.orderBy("deciles").rowsBetween(Window.unboundedPreceding, 0)
     allw = Window.partitionBy(F.lit(1))
     dist = _pct(F.sum(label).over(run), F.sum(label).over(allw))
@@ -258,7 +275,8 @@ def auc_accuracy_from_runs(runs: DataFrame, group: Sequence[str], digits: int =
 def tile_counts_by_group(df: DataFrame, runs: DataFrame, group: Sequence[str], score: str,
                          ties: Sequence[Column | str], label: str, k: int = 10) -> DataFrame:
     """Rows, positives and negatives per (group, tile) for ``ntile(k)`` over
-    (score desc, ties) within each group: ``group…, _tile, _rows, _t, _nt``.
+    (score desc, ties) within each group: ``group…, _tile, _rows, _t, _nt,
+    _score_sum`` (the sum of the rows' scores). No group columns: one group.
 
     A score run lying inside one tile adds its counts to that tile directly.
     Only runs straddling a tile boundary (at most k-1 per group) are resolved
@@ -273,7 +291,8 @@ def tile_counts_by_group(df: DataFrame, runs: DataFrame, group: Sequence[str], s
                     first.alias("_t1"), last.alias("_t2"))
     whole = r.filter(F.col("_t1") == F.col("_t2")).select(
         *group, F.col("_t1").alias("_tile"), F.col("_cnt").alias("_rows"),
-        F.col("_pos").alias("_t"), F.col("_neg").alias("_nt"))
+        F.col("_pos").alias("_t"), F.col("_neg").alias("_nt"),
+        (F.col("_s").cast("double") * F.col("_cnt")).alias("_score_sum"))
     keys = list(group) + ["_s"]
     strad = r.filter(F.col("_t1") != F.col("_t2")).select(
         *[F.col(c).alias(f"_k{c}") for c in keys], "_before", "_n")
@@ -290,9 +309,11 @@ def tile_counts_by_group(df: DataFrame, runs: DataFrame, group: Sequence[str], s
                                                    k).alias("_tile"),
                            F.lit(1).cast("long").alias("_rows"),
                            F.col(label).cast("long").alias("_t"),
-                           (1 - F.col(label)).cast("long").alias("_nt"))
+                           (1 - F.col(label)).cast("long").alias("_nt"),
+                           F.col("_s").cast("double").alias("_score_sum"))
     return whole.unionByName(part).groupBy(*group, "_tile").agg(
-        F.sum("_rows").alias("_rows"), F.sum("_t").alias("_t"), F.sum("_nt").alias("_nt"))
+        F.sum("_rows").alias("_rows"), F.sum("_t").alias("_t"), F.sum("_nt").alias("_nt"),
+        F.sum("_score_sum").alias("_score_sum"))
 
 
 def ks_from_tiles(tiles: DataFrame, group: Sequence[str]) -> DataFrame:
@@ -328,7 +349,8 @@ def metrics_long(df: DataFrame, group: Sequence[str], ties: Sequence[Column | st
     runs = score_runs_by_group(df, group, score, label, prediction)
     aa = auc_accuracy_from_runs(runs, group)
     ks = ks_from_tiles(tile_counts_by_group(df, runs, group, score, ties, label, k), group)
-    wide = aa.join(ks, list(group))
+    other = ks.select(*[F.col(c).alias(f"_k_{c}") for c in group], "ks")
+    wide = aa.join(other, [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in group])
     rows = F.explode(F.array(
         F.struct(F.lit("roc").alias("metric"), F.col("auc").alias("value")),
         F.struct(F.lit("accuracy").alias("metric"), F.col("accuracy").alias("value")),

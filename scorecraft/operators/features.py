@@ -86,7 +86,8 @@ def feature_names(df: DataFrame, vec: str = "features") -> DataFrame:
 
 
 def pca_fit(df: DataFrame, features: Sequence[str], k: int = 3, scaled: bool = False):
-    stages = [VectorAssembler(inputCols=list(features), outputCol="_vec", handleInvalid="skip")]
+    """PCA fit; a NULL feature raises (impute first, so no row is lost)."""
+    stages = [VectorAssembler(inputCols=list(features), outputCol="_vec", handleInvalid="error")]
     src = "_vec"
     if scaled:
         stages.append(StandardScaler(inputCol="_vec", outputCol="_svec", withStd=True,
@@ -112,11 +113,17 @@ def pca_loadings(model, features: Sequence[str], spark) -> DataFrame:
 
 
 def gram_matrix(df: DataFrame, features: Sequence[str]) -> np.ndarray:
-    """X^T X in one aggregation (d^2 sums); d x d on the driver."""
+    """X^T X in one aggregation (d^2 sums); d x d on the driver. A missing value
+    raises: leaving out rows would change the matrix unsaid."""
     d = len(features)
     aggs = [F.sum(F.col(a).cast("double") * F.col(b).cast("double")).alias(f"g{i}_{j}")
             for i, a in enumerate(features) for j, b in enumerate(features) if j >= i]
-    row = df.agg(*aggs).first()
+    any_null = F.lit(False)
+    for f in features:
+        any_null = any_null | F.col(f).isNull()
+    row = df.agg(F.count(F.when(any_null, 1)).alias("_missing"), *aggs).first()
+    if row["_missing"]:
+        raise ValueError(f"{row['_missing']} rows have a missing feature: impute them first")
     g = np.zeros((d, d))
     for i in range(d):
         for j in range(i, d):
@@ -128,7 +135,7 @@ def svd_values(df: DataFrame, features: Sequence[str], k: int = 5) -> DataFrame:
     """Truncated SVD of the row matrix: singular values are the square roots of
     the eigenvalues of X^T X (what ``RowMatrix.computeSVD`` does for small d),
     with right singular vectors V. Output ``component, singular_value``."""
-    g = gram_matrix(df.select(*features).na.drop(), features)
+    g = gram_matrix(df.select(*features), features)
     vals, _ = np.linalg.eigh(g)
     vals = np.sort(np.clip(vals, 0, None))[::-1][:k]
     rows = [(i + 1, float(np.sqrt(v))) for i, v in enumerate(vals)]
@@ -137,7 +144,7 @@ def svd_values(df: DataFrame, features: Sequence[str], k: int = 5) -> DataFrame:
 
 def svd_project(df: DataFrame, features: Sequence[str], k: int = 5, keep: Sequence[str] = ()):
     """U = X V S^-1 computed row-wise as column expressions (distributed)."""
-    g = gram_matrix(df.select(*features).na.drop(), features)
+    g = gram_matrix(df.select(*features), features)
     vals, vecs = np.linalg.eigh(g)
     order = np.argsort(vals)[::-1][:k]
     cols = []

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC,
                                        LogisticRegression, MultilayerPerceptronClassifier,
                                        NaiveBayes, OneVsRest, RandomForestClassifier)
@@ -29,7 +28,9 @@ from .evaluation import auc_roc
 
 def assembled(df: DataFrame, features: Sequence[str], label: str = "label",
               keep: Sequence[str] = ()) -> DataFrame:
-    vec = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip")
+    """Feature vector and label. A NULL feature raises: impute first, so that
+    no row is lost between the table and its scores."""
+    vec = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="error")
     return vec.transform(df).select(*keep, F.col(label).cast("double").alias("label"),
                                     "features")
 
@@ -67,6 +68,12 @@ def importances_table(model, features: Sequence[str], spark, method: str = "") -
         F.desc("score"))
 
 
+def tree_lines(model) -> list[tuple[int, str]]:
+    """A fitted tree's whole description, numbered line by line (its size is the
+    model's, at most 2^(depth+1) nodes)."""
+    return list(enumerate(model.toDebugString.rstrip().split("\n")))
+
+
 # ------------------------------------------------------------------- fitters
 def linear_regression(train: DataFrame):
     return LinearRegression(featuresCol="features", labelCol="label", solver="normal").fit(train)
@@ -144,10 +151,15 @@ def regression_metric(pred: DataFrame, metric: str = "rmse") -> float:
 
 
 # --------------------------------------------------------------- searches
+def _logistic_grid():
+    """Logistic regression and the six points both searches try."""
+    lr = LogisticRegression(featuresCol="features", labelCol="label", maxIter=10)
+    return lr, (ParamGridBuilder().addGrid(lr.regParam, [0.1, 0.01])
+                .addGrid(lr.elasticNetParam, [0.0, 0.5, 1.0]).build())
+
+
 def train_valid_search(train: DataFrame, parallelism: int = 4, seed: int = 12345):
-    lr = LogisticRegression(featuresCol="features", labelCol="label")
-    grid = (ParamGridBuilder().addGrid(lr.regParam, [0.1, 0.01])
-            .addGrid(lr.elasticNetParam, [0.0, 0.5, 1.0]).build())
+    lr, grid = _logistic_grid()
     tvs = TrainValidationSplit(estimator=lr, estimatorParamMaps=grid,
                                evaluator=BinaryClassificationEvaluator(),
                                trainRatio=0.7, parallelism=parallelism, seed=seed)
@@ -155,8 +167,7 @@ def train_valid_search(train: DataFrame, parallelism: int = 4, seed: int = 12345
 
 
 def cross_validate(train: DataFrame, folds: int = 3, parallelism: int = 4, seed: int = 12345):
-    lr = LogisticRegression(featuresCol="features", labelCol="label")
-    grid = ParamGridBuilder().addGrid(lr.regParam, [0.1, 0.01]).build()
+    lr, grid = _logistic_grid()
     cv = CrossValidator(estimator=lr, estimatorParamMaps=grid,
                         evaluator=BinaryClassificationEvaluator(), numFolds=folds,
                         parallelism=parallelism, seed=seed)
@@ -173,22 +184,26 @@ def search_table(model, spark) -> DataFrame:
     return spark.createDataFrame(rows, "params string, metric double")
 
 
-def leave_one_group_out(df: DataFrame, group: str, groups: Sequence, estimator_fn):
+def leave_one_group_out(df: DataFrame, group: str, estimator_fn, max_groups: int = 100):
     """For each group: fit on the other groups, score both sides; returns
-    ``group, train_auc, test_auc``. Groups are few (one fit per group); the
-    input should be persisted by the caller. AUC uses the distributed
-    rank-sum (``auc_roc``), not a driver-side metric."""
+    ``group, train_auc, test_auc``. There is one fit per group, so more than
+    ``max_groups`` groups raise. A NULL group is a group. The input should be
+    persisted by the caller. AUC uses the distributed rank-sum (``auc_roc``),
+    not a driver-side metric."""
     spark = df.sparkSession
+    groups = [r[0] for r in df.select(group).distinct().orderBy(group).limit(max_groups + 1).collect()]
+    if len(groups) > max_groups:
+        raise ValueError(f"{group} has more than {max_groups} groups: one fit for each is too many")
     rows = []
     for g in groups:
-        train = df.filter(F.col(group) != F.lit(g))
-        test = df.filter(F.col(group) == F.lit(g))
+        inside = F.col(group).eqNullSafe(F.lit(g))
+        train, test = df.filter(~inside), df.filter(inside)
         model = estimator_fn(train)
         aucs = []
         for part in (train, test):
             pred = probability_of_one(model.transform(part))
             aucs.append(auc_roc(pred, "p1", "label").first()["auc"])
-        rows.append((str(g), aucs[0], aucs[1]))
+        rows.append((None if g is None else str(g), aucs[0], aucs[1]))
     return spark.createDataFrame(rows, "group string, train_auc double, test_auc double")
 
 
@@ -209,6 +224,3 @@ def chi_square_select(df: DataFrame, features: Sequence[str], top: int = 6):
     return df.sparkSession.createDataFrame(
         rows, "feature string, statistic double, p_value double, selected int")
 
-
-def pipeline_of(stages) -> Pipeline:
-    return Pipeline(stages=list(stages))

@@ -6,6 +6,7 @@ per column.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -45,8 +46,11 @@ def sample_variance(df: DataFrame, cols: Sequence[str], digits: int = 6) -> Data
 def approx_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                      relative_error: float = 0.001) -> DataFrame:
     """Approximate quantiles of each column (Greenwald–Khanna sketch, partial
-    aggregation): ``(column, prob, value)``."""
-    acc = max(1, int(round(1.0 / relative_error))) if relative_error > 0 else 1_000_000
+    aggregation): ``(column, prob, value)``. The error must be positive; exact
+    quantiles are ``selection.exact_quantiles``."""
+    if relative_error <= 0:
+        raise ValueError("approx_quantiles needs a positive relative_error")
+    acc = max(1, int(round(1.0 / relative_error)))
     wide = df.agg(*[F.percentile_approx(F.col(c).cast("double"), list(probs), acc)
                     .alias(f"q__{c}") for c in cols])
     rows = F.explode(F.array(*[
@@ -93,9 +97,11 @@ def missing_profile(df: DataFrame, cols: Sequence[str] | None = None, drop_at: f
 def histogram_equal_width(df: DataFrame, col: str, bins: int = 25,
                           digits: int = 6) -> DataFrame:
     """Equal-width histogram over [min, max]: ``bin, lo, hi, count`` for every
-    bin (empty ones included); NULL/NaN ignored; the last bin is closed."""
+    bin (empty ones included); NULL, NaN and infinite values have no bin and are
+    left out; the last bin is closed."""
     x = F.col(col).cast("double")
-    clean = df.select(x.alias("x")).filter(F.col("x").isNotNull() & ~F.isnan("x"))
+    clean = df.select(x.alias("x")).filter(F.col("x").between(
+        -sys.float_info.max, sys.float_info.max))
     stats = clean.agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
     lo, hi = stats.select("lo").scalar(), stats.select("hi").scalar()
     width = (hi - lo) / F.lit(float(bins))

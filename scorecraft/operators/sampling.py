@@ -1,8 +1,9 @@
-"""Sampling and splits. All are single passes without a shuffle.
+"""Sampling and splits.
 
-Seeded ``sample``/``randomSplit`` results depend on the input partitioning;
-``hash_split`` assigns rows by integer arithmetic on a key and so gives the
-same split for the same rows however they are partitioned.
+``sample``/``sampleBy`` are Spark's seeded draws and depend on the layout of the
+input. The splits draw from a hash of the row's own values, so the same rows get
+the same part however they are partitioned, in one pass without a shuffle; only
+``stratified_split``, which is exact per stratum, orders the rows.
 """
 
 from __future__ import annotations
@@ -23,28 +24,31 @@ def sample_by_stratum(df: DataFrame, col: str, fractions: Mapping, seed: int = 2
 
 
 def labelled_split(df: DataFrame, weights: Sequence[float], names: Sequence[str],
-                   seed: int = 12345, out: str = "split") -> DataFrame:
-    """``randomSplit`` with each part tagged by name, as one DataFrame."""
-    parts = df.randomSplit(list(weights), seed)
-    res = None
-    for name, part in zip(names, parts):
-        tagged = part.withColumn(out, F.lit(name))
-        res = tagged if res is None else res.unionByName(tagged)
-    return res
-
-
-def random_split(df: DataFrame, weights: Sequence[float], seed: int = 12345) -> list[DataFrame]:
-    return df.randomSplit(list(weights), seed)
+                   seed: int = 12345, out: str = "split",
+                   key: Sequence[str] | None = None) -> DataFrame:
+    """Random split with each row tagged by its part, in one pass. The draw is a
+    seeded hash of the row (or of its ``key`` columns), so every row is in
+    exactly one part and repeated runs agree."""
+    cols = [F.col(f"`{c}`") for c in key or df.columns]
+    u = F.pmod(F.xxhash64(F.lit(seed), *cols), F.lit(1_000_000)) / F.lit(1_000_000.0)
+    total, acc, edges = float(sum(weights)), 0.0, []
+    for w in weights[:-1]:
+        acc += w / total
+        edges.append(acc)
+    return df.withColumn(out, _interval(u, edges, names))
 
 
 def stratified_split(df: DataFrame, strata: str, weights: Sequence[float], names: Sequence[str],
-                     seed: int = 12345, out: str = "split") -> DataFrame:
+                     seed: int = 12345, out: str = "split",
+                     keep: Sequence[str] | None = None) -> DataFrame:
     """Exact stratified split for any number of strata: inside each stratum the
     rows are put in a seeded random order and cut at round(cumulative weight x
     stratum size), so every stratum keeps the weights. The order is one global
     range-partitioned numbering on (stratum, draw), so a stratum holding most
     rows is spread over many tasks; positions and stratum sizes come from the
-    (partition, stratum) offsets table. A NULL stratum is a stratum."""
+    (partition, stratum) offsets table. A NULL stratum is a stratum. ``keep``
+    names the columns needed afterwards (all by default); only they and the
+    stratum are materialised."""
     from .ordering import grouped_row_number
 
     total = float(sum(weights))
@@ -53,7 +57,7 @@ def stratified_split(df: DataFrame, strata: str, weights: Sequence[float], names
         acc += w / total
         cum.append(acc)
     drawn = df.withColumn("_u", F.rand(seed))
-    j = grouped_row_number(drawn, [strata], [F.col("_u")], out="_pos", size="_size")
+    j = grouped_row_number(drawn, [strata], [F.col("_u")], out="_pos", size="_size", keep=keep)
     pos = F.col("_pos")
     expr = None
     for edge, name in zip(cum, names):
@@ -71,13 +75,12 @@ def _interval(u: Column, edges: Sequence[float], names: Sequence[str]) -> Column
 
 
 def hash_split(key: Column, percents: Sequence[int], names: Sequence[str],
-               multiplier: int = 7919) -> Column:
-    """Reproducible split label from ``(key * multiplier) % 100`` against
-    cumulative integer percentages (e.g. [70, 30])."""
-    bucket = F.pmod(key.cast("long") * F.lit(multiplier), F.lit(100))
-    expr, acc = None, 0
-    for pct, name in zip(percents[:-1], names[:-1]):
-        acc += pct
-        expr = (F.when(bucket < acc, F.lit(name)) if expr is None
-                else expr.when(bucket < acc, F.lit(name)))
-    return expr.otherwise(F.lit(names[-1])) if expr is not None else F.lit(names[-1])
+               multiplier: int | None = None) -> Column:
+    """Reproducible split label of a key against cumulative integer percentages
+    (e.g. [70, 30]): by a hash of the key, or with ``multiplier`` by the plain
+    arithmetic ``((key % 100) * multiplier) % 100``, which any SQL engine can
+    repeat. A NULL key has no part (NULL)."""
+    bucket = (F.pmod(F.xxhash64(key), F.lit(100)) if multiplier is None
+              else F.pmod(key.cast("long") % 100 * F.lit(multiplier), F.lit(100)))
+    edges = [sum(percents[:i + 1]) for i in range(len(percents) - 1)]
+    return F.when(key.isNotNull(), _interval(bucket, edges, names))

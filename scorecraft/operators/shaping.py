@@ -17,9 +17,11 @@ from pyspark.sql import functions as F
 
 
 def with_group_aggregate(df: DataFrame, group: Sequence[str], agg: Column, name: str) -> DataFrame:
-    """Attach one per-group aggregate (e.g. max, sum) to every row."""
-    per_group = df.groupBy(*group).agg(agg.alias(name))
-    return df.join(per_group, list(group), "inner")
+    """Attach one per-group aggregate (e.g. max, sum) to every row. A NULL group
+    is a group, as in a window."""
+    per_group = df.groupBy(*[F.col(g).alias(f"_g_{g}") for g in group]).agg(agg.alias(name))
+    match = [F.col(g).eqNullSafe(F.col(f"_g_{g}")) for g in group]
+    return df.join(per_group, match).drop(*[f"_g_{g}" for g in group])
 
 
 def gap_to_group_max(df: DataFrame, group: Sequence[str], value: str,

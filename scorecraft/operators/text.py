@@ -50,59 +50,60 @@ def term_stats(tokens: DataFrame, doc: str = "doc_id", col: str = "tokens") -> D
     return per_doc.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("n").alias("tf"))
 
 
-def count_vectorize(tokens: DataFrame, vocab_size: int = 5000, min_df: float = 10,
+def count_vectorize(tokens: DataFrame, vocab_size: int, min_df: float = 10,
                     col: str = "tokens", out: str = "tf"):
+    """Count vectors for fits that need them. A vector's length is the caller's
+    choice: ``vocab_size`` is the number of most frequent terms it holds."""
     model = CountVectorizer(inputCol=col, outputCol=out, vocabSize=vocab_size,
                             minDF=min_df).fit(tokens)
     return model.transform(tokens), model
 
 
-def vocabulary(tokens: DataFrame, vocab_size: int = 5000, min_df: float = 10,
+def vocabulary(tokens: DataFrame, vocab_size: int | None = None, min_df: float = 10,
                doc: str = "doc_id", col: str = "tokens") -> DataFrame:
     """The CountVectorizer vocabulary as a DataFrame: ``term, df, tf, idf``.
 
-    Terms in at least ``min_df`` documents (a fraction of the documents when
-    below 1), the ``vocab_size`` most frequent by total count; idf =
-    ln((m + 1) / (df + 1)) with m documents, as MLlib's IDF. Term statistics
-    are grouped counts; the top-k keeps at most ``vocab_size`` rows per task
-    before merging, and m is a scalar subquery. The result is bounded by
-    ``vocab_size`` rows, which is what makes broadcasting it safe."""
+    All terms in at least ``min_df`` documents (a fraction of the documents when
+    below 1), or with ``vocab_size`` only the most frequent of them by total
+    count (ties by term); idf = ln((m + 1) / (df + 1)) with m documents, as
+    MLlib's IDF. Term statistics are grouped counts; m is a scalar subquery."""
     m = tokens.agg(F.count(F.lit(1)).cast("double")).scalar()
     keep = F.col("df") >= (F.lit(min_df) if min_df >= 1 else F.lit(min_df) * m)
-    top = term_stats(tokens, doc, col).filter(keep).orderBy(
-        F.col("tf").desc(), F.col("term")).limit(vocab_size)
+    top = term_stats(tokens, doc, col).filter(keep)
+    if vocab_size is not None:
+        top = top.orderBy(F.col("tf").desc(), F.col("term")).limit(vocab_size)
     return top.withColumn("idf", F.log((m + 1.0) / (F.col("df") + 1.0)))
 
 
-def vocabulary_table(tokens: DataFrame, vocab_size: int = 5000, min_df: float = 10,
+def vocabulary_table(tokens: DataFrame, vocab_size: int | None = None, min_df: float = 10,
                      doc: str = "doc_id") -> DataFrame:
     """Vocabulary terms with their document and total counts: ``term, df, tf``."""
     return vocabulary(tokens, vocab_size, min_df, doc).select("term", "df", "tf")
 
 
-def tfidf(tokens: DataFrame, vocab_size: int = 5000, min_df: float = 10):
+def tfidf(tokens: DataFrame, vocab_size: int, min_df: float = 10):
     """tokens -> tf -> tfidf (vectors), with the fitted CountVectorizer/IDF."""
     tf, cv = count_vectorize(tokens, vocab_size, min_df)
     idf_model = IDF(inputCol="tf", outputCol="tfidf").fit(tf)
     return idf_model.transform(tf), cv, idf_model
 
 
-def idf_table(cv_model, idf_model, spark, digits: int = 6) -> DataFrame:
+def idf_table(tokens: DataFrame, vocab_size: int | None = None, min_df: float = 10,
+              doc: str = "doc_id", digits: int = 6) -> DataFrame:
     """``term, idf`` with idf = log((m + 1) / (df + 1))."""
-    rows = [(t, round(float(v), digits)) for t, v in zip(cv_model.vocabulary,
-                                                         idf_model.idf.toArray())]
-    return spark.createDataFrame(rows, "term string, idf double")
+    return vocabulary(tokens, vocab_size, min_df, doc).select(
+        "term", F.round("idf", digits).alias("idf"))
 
 
-def tfidf_terms(tokens: DataFrame, vocab_size: int = 5000, min_df: float = 10,
+def tfidf_terms(tokens: DataFrame, vocab_size: int | None = None, min_df: float = 10,
                 doc: str = "doc_id", col: str = "tokens", digits: int = 6) -> DataFrame:
     """Long ``doc, term, tfidf`` table: per-document term counts (explode +
-    grouped count) times the term's IDF. The vocabulary with its IDF has at
-    most ``vocab_size`` rows and is broadcast; no vectors are built."""
+    grouped count) times the term's IDF; no vectors are built. The join with the
+    vocabulary is left to adaptive execution, which measures it."""
     weights = vocabulary(tokens, vocab_size, min_df, doc, col).select("term", "idf")
     per_doc = tokens.select(doc, F.explode(col).alias("term")).groupBy(doc, "term").agg(
         F.count(F.lit(1)).alias("n"))
-    return per_doc.join(F.broadcast(weights), "term").select(
+    return per_doc.join(weights, "term").select(
         doc, "term", F.round(F.col("n") * F.col("idf"), digits).alias("tfidf"))
 
 

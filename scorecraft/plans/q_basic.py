@@ -3,7 +3,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
@@ -345,17 +344,19 @@ def drop_duplicates_subset(spark, d):
 
 
 @register("collect_list_by_group", with_views("""
-SELECT title, string_agg(CAST(release_year AS VARCHAR), ',' ORDER BY release_year) AS years,
+SELECT title, string_agg(release_year || ':' || n, ',' ORDER BY release_year) AS years,
        sum(n) AS n_rows
 FROM (SELECT title, year(release_date) AS release_year, count(*) AS n FROM movie_view
       GROUP BY 1, 2) GROUP BY title""", movie_view=MOVIE_VIEW_SQL))
 def collect_list_by_group(spark, d):
-    # rows per (title, year) are combined map-side first; the list per title is
-    # then bounded by the number of distinct years, not by the group's rows
+    # rows per (title, year) are combined map-side first; the list per title says
+    # how often each value occurs, so it loses nothing and is bounded by the
+    # number of distinct years, not by the group's rows
     per_year = movie_view(spark, d).groupBy("title", F.year("release_date").alias("y")).agg(
         F.count(F.lit(1)).alias("n"))
     return per_year.groupBy("title").agg(
-        F.array_join(F.array_sort(F.collect_list(F.col("y").cast("string"))), ",").alias("years"),
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("y", "n"))), lambda p: F.concat_ws(
+            ":", p["y"].cast("string"), p["n"].cast("string"))), ",").alias("years"),
         F.sum("n").alias("n_rows"))
 
 
@@ -420,10 +421,8 @@ SELECT l_quantity, count(*) AS n,
          AS cum_n
 FROM lineitem GROUP BY l_quantity""")
 def running_sum(spark, d):
-    # the window runs on one row per bin (bounded by the bin count)
     bins = table(spark, d, "lineitem").groupBy("l_quantity").agg(F.count(F.lit(1)).alias("n"))
-    w = Window.orderBy("l_quantity").rowsBetween(Window.unboundedPreceding, 0)
-    return bins.withColumn("cum_n", F.sum("n").over(w))
+    return ordering.global_running_sum(bins, ["l_quantity"], ["n"])
 
 
 @register("share_of_total", """

@@ -125,11 +125,11 @@ def partitioned_write_read(spark, d):
         "o_orderkey", "o_totalprice", "year")
 
 
-@register("table_roundtrip", "SELECT c_custkey, c_name, c_mktsegment, c_acctbal FROM customer")
+@register("table_roundtrip", "SELECT * FROM customer")
 def table_roundtrip(spark, d):
-    c = table(spark, d, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_acctbal")
-    name = "customer_copy"
-    io.save_table(c, name, path=io.fresh_path(spark, "customer_table"))
+    path = io.fresh_path(spark, "customer_table")
+    name = path.rsplit("/", 1)[1].replace("-", "_")  # a name of its own
+    io.save_table(table(spark, d, "customer"), name, path=path)
     return spark.table(name)
 
 

@@ -14,8 +14,7 @@ from ..operators import features as fe
 from ..operators import models as md
 from ..operators import runlog
 from ..operators import text as tx
-from ..session import scratch_path
-from ..sources.io import spread
+from ..session import ensure_checkpoint_dir, scratch_path
 from .registry import register
 from .views import (BANK_CATEGORICAL, BANK_KEYS, BANK_NUMERIC, BANK_VIEW_SQL, MISSING_VIEW_SQL,
                     MOVIE_VIEW_SQL, SCORE_VIEW_SQL, bank_view, customer_features,
@@ -191,10 +190,10 @@ def tree_classifier(spark, d):
     rows = []
     for imp in ("gini", "entropy"):
         m = md.decision_tree(train, imp, 5)
-        rows.append((imp, m.depth, m.numNodes, float(md.binary_auc(m.transform(test))),
-                     m.toDebugString[:200]))
+        auc = float(md.binary_auc(m.transform(test)))
+        rows += [(imp, m.depth, m.numNodes, auc, i, line) for i, line in md.tree_lines(m)]
     return spark.createDataFrame(rows, "impurity string, depth int, nodes int, test_auc double, "
-                                       "tree string")
+                                       "line int, tree string")
 
 
 @register("tree_regressor")
@@ -204,6 +203,13 @@ def tree_regressor(spark, d):
                         md.regression_metric)
 
 
+@register("tree_regressor_lines")
+def tree_regressor_lines(spark, d):
+    """The fitted regression tree, whole: one row per line of its description."""
+    model = md.tree_regressor(_model_frame(spark, d, "l_extendedprice"))
+    return spark.createDataFrame(md.tree_lines(model), "line int, tree string")
+
+
 @register("forest_classifier")
 def forest_classifier(spark, d):
     train, test = _model_frame(spark, d).randomSplit([0.7, 0.3], 2023)
@@ -282,10 +288,8 @@ def leave_one_group_out(spark, d):
     frame = md.stable(md.assembled(df, MODEL_FEATURES, "label", keep=BANK_KEYS + ["c_mktsegment"]),
                       BANK_KEYS).persist()
     try:
-        groups = [r[0] for r in frame.select("c_mktsegment").distinct().orderBy("c_mktsegment")
-                  .collect()]  # a handful of segments
-        out = md.leave_one_group_out(frame, "c_mktsegment", groups,
-                                     lambda t: md.logistic(t, "binomial", max_iter=10))
+        out = md.leave_one_group_out(
+            frame, "c_mktsegment", lambda t: md.logistic(t, "binomial", max_iter=10))
     finally:
         frame.unpersist()
     return out
@@ -504,14 +508,11 @@ _TOKENS_SQL = f"""
 tk AS (SELECT doc_id, list_filter(string_split(lower(trim(text)), ' '),
                   lambda t: regexp_full_match(t, '\\p{{L}}+') AND length(t) >= 4
                             AND NOT list_contains({_STOP_SQL}, t)) AS toks
-       FROM documents WHERE lang = 'en' AND text IS NOT NULL)"""
+       FROM documents WHERE text IS NOT NULL)"""
 
 
 def _docs(spark, d):
-    # tokenising whole texts is the CPU-heavy part: spread a scan with fewer
-    # splits than task slots (a no-op on large inputs, see ``spread``)
-    return spread(table(spark, d, "documents").filter(F.col("lang") == "en")
-                  .select("doc_id", "text"), key=["doc_id"])
+    return table(spark, d, "documents").select("doc_id", "text")
 
 
 @register("tokenize_documents", f"""WITH {_TOKENS_SQL}
@@ -527,7 +528,7 @@ _TERMS_SQL = _TOKENS_SQL + """,
 ex AS (SELECT doc_id, unnest(toks) AS term FROM tk),
 pd AS (SELECT doc_id, term, count(*) AS n FROM ex GROUP BY ALL),
 ts AS (SELECT term, count(*) AS df, sum(n) AS tf FROM pd GROUP BY term),
-vocab AS (SELECT * FROM ts WHERE df >= 10 QUALIFY row_number() OVER (ORDER BY tf DESC) <= 5000),
+vocab AS (SELECT * FROM ts WHERE df >= 10),
 m AS (SELECT count(*) AS m FROM tk)"""
 
 
@@ -540,8 +541,7 @@ def vocabulary_table(spark, d):
 @register("idf_table", f"""WITH {_TERMS_SQL}
 SELECT term, round(ln((m + 1.0) / (df + 1.0)), 6) AS idf FROM vocab, m""")
 def idf_table(spark, d):
-    _, cv, idf = tx.tfidf(tx.tokenize(_docs(spark, d)))
-    return tx.idf_table(cv, idf, spark)
+    return tx.idf_table(tx.tokenize(_docs(spark, d)))
 
 
 @register("tfidf_terms", f"""WITH {_TERMS_SQL}
@@ -552,8 +552,10 @@ def tfidf_terms(spark, d):
 
 
 def _lda(spark, d):
-    w, cv, _ = tx.tfidf(tx.tokenize(_docs(spark, d)))
+    # 5000 terms is the size of the topic model's vectors, an argument of the fit
+    w, cv, _ = tx.tfidf(tx.tokenize(_docs(spark, d)), vocab_size=5000)
     # iterations re-read the input: materialise it once (reliable checkpoint)
+    ensure_checkpoint_dir(spark)
     w = md.stable(w, ["doc_id"]).checkpoint()
     return w, cv, tx.lda_fit(w, k=10, max_iter=100)
 

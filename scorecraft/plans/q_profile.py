@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 
 from ..operators import profile, sampling
 from .registry import register
-from .views import (BANK_VIEW_SQL, MISSING_VIEW_SQL, SCORE_VIEW_SQL, bank_view, missing_view,
+from .views import (BANK_CATEGORICAL, BANK_KEYS, BANK_NUMERIC, BANK_VIEW_SQL, MISSING_VIEW_SQL, SCORE_VIEW_SQL, bank_view, missing_view,
                     score_view, table, with_views)
 
-_DESC_COLS = ["l_quantity", "l_discount", "l_tax"]
+_DESC_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+              "l_extendedprice", "l_discount", "l_tax"]  # every numeric column
 
 
 def _unpivot_sql(cols, select_expr, source):
@@ -33,20 +34,29 @@ def sample_variance(spark, d):
     return profile.sample_variance(table(spark, d, "lineitem"), _DESC_COLS)
 
 
-_Q_COLS = ["l_quantity", "l_discount", "l_tax"]
+_Q_COLS = _DESC_COLS
 _PROBS = [0.25, 0.5, 0.75]
 
 
 @register("approx_median", "\nUNION ALL\n".join(
-    f"SELECT '{c}' AS \"column\", {p} AS prob, quantile_disc({c}, {p}) AS value FROM lineitem"
+    f"SELECT '{c}' AS \"column\", {p} AS prob, "
+    f"round((quantile_disc({c}, {p}) - min({c})) * 1.0 / (max({c}) - min({c})), 2) AS position FROM lineitem"
     for c in _Q_COLS for p in _PROBS))
 def approx_median(spark, d):
-    return profile.approx_quantiles(table(spark, d, "lineitem"), _Q_COLS, _PROBS,
-                                    relative_error=0.001)
+    # the place of each quantile in its column's range: an approximate quantile
+    # of nearly distinct values may be a rank or two from the exact one
+    li = table(spark, d, "lineitem")
+    ends = li.agg(*[F.min(c).cast("double").alias(f"lo_{c}") for c in _Q_COLS],
+                  *[F.max(c).cast("double").alias(f"hi_{c}") for c in _Q_COLS])
+    span = ends.select(F.explode(F.array(*[F.struct(
+        F.lit(c).alias("column"), F.col(f"lo_{c}").alias("lo"), F.col(f"hi_{c}").alias("hi"))
+        for c in _Q_COLS])).alias("r")).select("r.*")
+    q = profile.approx_quantiles(li, _Q_COLS, _PROBS, relative_error=1e-5)
+    return q.join(F.broadcast(span), "column").select("column", "prob", F.round(F.try_divide(
+        F.col("value") - F.col("lo"), F.col("hi") - F.col("lo")), 2).alias("position"))
 
 
-_CARD_COLS = ["l_returnflag", "l_linestatus", "l_quantity", "l_discount", "l_tax", "c_mktsegment",
-              "o_orderpriority", "label"]
+_CARD_COLS = [*BANK_KEYS, *BANK_NUMERIC, *BANK_CATEGORICAL, "label", "label2"]
 
 
 def _card_sql(c):
@@ -57,7 +67,7 @@ def _card_sql(c):
 @register("cardinality_profile", with_views(
     _unpivot_sql(_CARD_COLS, _card_sql, "bank_view"), bank_view=BANK_VIEW_SQL))
 def cardinality_profile(spark, d):
-    return profile.cardinality_profile(bank_view(spark, d), _CARD_COLS, cut_off=5, exact=True)
+    return profile.cardinality_profile(bank_view(spark, d), cut_off=5, exact=True)
 
 
 @register("cardinality_profile_approx")
@@ -65,21 +75,22 @@ def cardinality_profile_approx(spark, d):
     return profile.cardinality_profile(bank_view(spark, d), cut_off=1, exact=False)
 
 
-_MISS_COLS = ["l_quantity", "l_tax", "l_discount", "l_extendedprice", "l_returnflag",
-              "l_linestatus"]
+_MISS_DOUBLE = ["l_tax", "l_discount", "l_extendedprice"]
+_MISS_COLS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", *_MISS_DOUBLE,
+              "l_returnflag", "l_linestatus", "l_shipdate", "label"]
 
 
 def _miss_cond(c):
     if c in ("l_returnflag", "l_linestatus"):
         return f"{c} IS NULL OR {c} = ''"
-    return f"{c} IS NULL OR isnan({c})"
+    return f"{c} IS NULL OR isnan({c})" if c in _MISS_DOUBLE else f"{c} IS NULL"
 
 
 @register("missing_counts", with_views(_unpivot_sql(
     _MISS_COLS, lambda c: f"SELECT '{c}' AS \"column\", count(*) FILTER (WHERE {_miss_cond(c)}) "
                           "AS n_missing", "m"), m=MISSING_VIEW_SQL))
 def missing_counts(spark, d):
-    return profile.missing_counts(missing_view(spark, d), _MISS_COLS)
+    return profile.missing_counts(missing_view(spark, d))
 
 
 def _miss_profile_sql(c):
@@ -93,13 +104,13 @@ def _miss_profile_sql(c):
                                         m=MISSING_VIEW_SQL))
 def missing_profile(spark, d):
     # thresholds scaled to the derived view (5% / 2%), the reference's are 80% / 75%
-    return profile.missing_profile(missing_view(spark, d), _MISS_COLS, drop_at=0.05, keep_at=0.02)
+    return profile.missing_profile(missing_view(spark, d), drop_at=0.05, keep_at=0.02)
 
 
 def _hist_sql(source_filter: str) -> str:
     return f"""
-WITH x AS (SELECT l_extendedprice AS x FROM lineitem WHERE l_extendedprice IS NOT NULL
-           AND NOT isnan(l_extendedprice) {source_filter}),
+WITH x AS (SELECT l_extendedprice AS x FROM lineitem WHERE isfinite(l_extendedprice)
+           {source_filter}),
 s AS (SELECT min(x) AS lo, max(x) AS hi, (max(x) - min(x)) / 25.0 AS w FROM x),
 b AS (SELECT least(CAST(floor((x - lo) / w) AS INTEGER), 24) AS bin FROM x, s),
 c AS (SELECT bin, count(*) AS n FROM b GROUP BY bin)
@@ -136,6 +147,12 @@ def split_two_way(spark, d):
     return sampling.labelled_split(score_view(spark, d), [0.7, 0.3], ["train", "test"], seed=2023)
 
 
+@register("split_70_20_10")
+def split_70_20_10(spark, d):
+    return sampling.labelled_split(score_view(spark, d), [0.7, 0.2, 0.1],
+                                   ["train", "valid", "test"], seed=12345)
+
+
 @register("split_three_way")
 def split_three_way(spark, d):
     return sampling.labelled_split(score_view(spark, d), [0.4, 0.3, 0.3],
@@ -149,15 +166,15 @@ UNION ALL SELECT 'test' AS split, label, n - CAST(round(n * 0.7) AS BIGINT) AS n
                                          s=SCORE_VIEW_SQL))
 def stratified_split(spark, d):
     s = score_view(spark, d).select("l_orderkey", "l_linenumber", "label")
-    out = sampling.stratified_split(s, "label", [0.7, 0.3], ["train", "test"], seed=12345)
+    out = sampling.stratified_split(s, "label", [0.7, 0.3], ["train", "test"], seed=12345, keep=[])
     return out.groupBy("split", "label").agg(F.count(F.lit(1)).alias("n"))
 
 
 @register("hash_split_counts", with_views("""
-SELECT CASE WHEN (l_orderkey * 7919) % 100 < 70 THEN 'train' ELSE 'test' END AS split, label,
+SELECT CASE WHEN ((l_orderkey % 100) * 7919) % 100 < 70 THEN 'train' ELSE 'test' END AS split, label,
        count(*) AS n
 FROM s GROUP BY 1, 2""", s=SCORE_VIEW_SQL))
 def hash_split_counts(spark, d):
     s = score_view(spark, d)
-    split = sampling.hash_split(F.col("l_orderkey"), [70, 30], ["train", "test"])
+    split = sampling.hash_split(F.col("l_orderkey"), [70, 30], ["train", "test"], multiplier=7919)
     return s.groupBy(split.alias("split"), "label").agg(F.count(F.lit(1)).alias("n"))

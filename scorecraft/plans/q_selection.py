@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 
 from ..operators import selection as sel
 from .registry import register
-from .views import BANK_VIEW_SQL, bank_view, with_views
+from .views import BANK_NUMERIC, BANK_VIEW_SQL, bank_view, with_views
 
-WOE_NUMERIC = ["l_quantity", "l_discount", "l_tax", "c_acctbal"]
+WOE_NUMERIC = BANK_NUMERIC
 WOE_CATEGORICAL = ["l_returnflag", "l_linestatus", "c_mktsegment", "o_orderpriority"]
 CORR_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "c_acctbal", "o_totalprice",
              "net_price"]
@@ -21,27 +21,53 @@ def corr_view(spark, d):
     return b.withColumn("net_price", F.col("l_extendedprice") * (1 - F.col("l_discount")))
 
 
-def _woe_sql(n: int = 10) -> str:
-    probs = ", ".join(str(i / n) for i in range(1, n))
-    num_cols = ", ".join(WOE_NUMERIC)
+def _monotonic_ctes(cols: list[str], max_bins: int = 20) -> str:
+    """Monotonic binning in SQL, up to ``best`` (variable, n_bins, rho)."""
+    ns = range(2, max_bins + 1)
+    qcols = ", ".join(
+        f"quantile_disc(x, [{', '.join(repr(i / n) for i in range(1, n))}]) AS q{n}" for n in ns)
+    long = "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS varname, CAST({c} AS DOUBLE) AS x, CAST(label AS DOUBLE) AS y "
+        f"FROM bank_view" for c in cols)
+    splits = "\nUNION ALL\n".join(
+        f"SELECT varname, {n} AS n, list_distinct(q{n}) AS splits FROM q" for n in ns)
+    names = ", ".join(f"'{c}'" for c in cols)
+    return f"""
+lg AS (SELECT * FROM ({long}) WHERE x IS NOT NULL AND NOT isnan(x)),
+q AS (SELECT varname, {qcols} FROM lg GROUP BY varname),
+sp AS ({splits}),
+bk AS (SELECT lg.varname, sp.n, len(list_filter(sp.splits, lambda s: s <= lg.x)) AS bucket,
+              lg.x, lg.y FROM lg JOIN sp ON lg.varname = sp.varname),
+mb AS (SELECT varname, n, bucket, avg(x) AS mx, avg(y) AS my FROM bk GROUP BY varname, n, bucket),
+rk AS (SELECT *,
+         rank() OVER (PARTITION BY varname, n ORDER BY mx)
+           + (count(*) OVER (PARTITION BY varname, n, mx) - 1) / 2.0 AS rx,
+         rank() OVER (PARTITION BY varname, n ORDER BY my)
+           + (count(*) OVER (PARTITION BY varname, n, my) - 1) / 2.0 AS ry FROM mb),
+rh AS (SELECT varname, n, corr(rx, ry) AS rho, count(*) AS k FROM rk GROUP BY varname, n),
+best AS (SELECT varname, max(n) AS n_bins, arg_max(rho, n) AS rho FROM rh
+         WHERE k >= 2 AND abs(rho) >= 1 - 1e-9 GROUP BY varname),
+names AS (SELECT unnest([{names}]) AS varname)"""
+
+
+def _woe_sql() -> str:
     cat_cols = ", ".join(WOE_CATEGORICAL)
-    return with_views(f"""
-num AS (SELECT varname, CAST(x AS DOUBLE) AS x, label FROM
-        (UNPIVOT (SELECT label, {num_cols} FROM bank_view) ON {num_cols}
-         INTO NAME varname VALUE x)),
-sp AS (SELECT varname, list_sort(list_distinct(quantile_disc(x, [{probs}]))) AS splits
-       FROM num GROUP BY varname),
-nb AS (SELECT num.varname, x, label,
+    return with_views(_monotonic_ctes(WOE_NUMERIC) + f""",
+cut AS (SELECT names.varname, coalesce(sp.splits, []) AS splits FROM names
+        LEFT JOIN best ON names.varname = best.varname
+        LEFT JOIN sp ON sp.varname = best.varname AND sp.n = best.n_bins),
+nb AS (SELECT lg.varname, x, y AS label,
               CAST(len(list_filter(splits, lambda s: s <= x)) AS VARCHAR) AS bin
-       FROM num JOIN sp ON num.varname = sp.varname),
+       FROM lg JOIN cut ON lg.varname = cut.varname),
 cat AS (SELECT varname, CAST(v AS VARCHAR) AS bin, label FROM
         (UNPIVOT (SELECT label, {cat_cols} FROM bank_view) ON {cat_cols}
          INTO NAME varname VALUE v)),
-g AS (SELECT varname, bin, count(*) AS cnt, sum(label) AS event,
+g AS (SELECT varname, bin, count(*) AS cnt, CAST(sum(label) AS BIGINT) AS event,
              CAST(min(x) AS VARCHAR) AS min_value, CAST(max(x) AS VARCHAR) AS max_value
       FROM nb GROUP BY varname, bin
       UNION ALL
-      SELECT varname, bin, count(*), sum(label), bin, bin FROM cat GROUP BY varname, bin),
+      SELECT varname, bin, count(*), CAST(sum(label) AS BIGINT), bin, bin FROM cat
+      GROUP BY varname, bin),
 d AS (SELECT *, cnt - event AS non_event,
              event * 1.0 / sum(event) OVER (PARTITION BY varname) AS de,
              (cnt - event) * 1.0 / sum(cnt - event) OVER (PARTITION BY varname) AS dn FROM g),
@@ -56,7 +82,7 @@ woe AS (SELECT varname, min_value, max_value, CAST(cnt AS BIGINT) AS count,
 
 
 def _woe(spark, d):
-    return sel.woe_table(bank_view(spark, d), WOE_NUMERIC, WOE_CATEGORICAL, "label", 10)
+    return sel.woe_table(bank_view(spark, d), WOE_NUMERIC, WOE_CATEGORICAL, "label")
 
 
 register("woe_table", _woe_sql() + "SELECT * FROM woe")(_woe)
@@ -76,49 +102,17 @@ FROM bank_view, sp""", bank_view=BANK_VIEW_SQL))
 def quantile_bucket(spark, d):
     # exact equal-frequency buckets (QuantileDiscretizer with relativeError 0)
     b = bank_view(spark, d)
-    vc = sel.value_counts_long(b, ["l_extendedprice"], [], "label")
-    splits = sel.quantile_splits(vc, 5).first()["splits"]  # n-1 values, bounded by n
+    splits = sel.quantile_splits(b, ["l_extendedprice"], 5)["l_extendedprice"]
     return b.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                     sel.bucket_of_values("`l_extendedprice`", splits).alias("bucket"))
 
 
-def _monotonic_sql(cols: list[str], max_bins: int = 20) -> str:
-    """Oracle for monotonic binning with exact (``quantile_disc``) quantiles;
-    the Spark side uses approximate quantiles (relative error 1e-4), so this
-    is a rounded-output check (SURVEY "T")."""
-    ns = range(2, max_bins + 1)
-    qcols = ", ".join(
-        f"quantile_disc(x, [{', '.join(repr(i / n) for i in range(1, n))}]) AS q{n}" for n in ns)
-    long = "\nUNION ALL\n".join(
-        f"SELECT '{c}' AS varname, CAST({c} AS DOUBLE) AS x, CAST(label AS DOUBLE) AS y "
-        f"FROM bank_view" for c in cols)
-    splits = "\nUNION ALL\n".join(
-        f"SELECT varname, {n} AS n, list_distinct(q{n}) AS splits FROM q" for n in ns)
-    names = ", ".join(f"'{c}'" for c in cols)
-    return with_views(f"""
-lg AS (SELECT * FROM ({long}) WHERE x IS NOT NULL AND NOT isnan(x)),
-q AS (SELECT varname, {qcols} FROM lg GROUP BY varname),
-sp AS ({splits}),
-bk AS (SELECT lg.varname, sp.n, len(list_filter(sp.splits, lambda s: s <= lg.x)) AS bucket,
-              lg.x, lg.y FROM lg JOIN sp ON lg.varname = sp.varname),
-mb AS (SELECT varname, n, bucket, avg(x) AS mx, avg(y) AS my FROM bk GROUP BY varname, n, bucket),
-rk AS (SELECT *,
-         rank() OVER (PARTITION BY varname, n ORDER BY mx)
-           + (count(*) OVER (PARTITION BY varname, n, mx) - 1) / 2.0 AS rx,
-         rank() OVER (PARTITION BY varname, n ORDER BY my)
-           + (count(*) OVER (PARTITION BY varname, n, my) - 1) / 2.0 AS ry FROM mb),
-rh AS (SELECT varname, n, corr(rx, ry) AS rho, count(*) AS k FROM rk GROUP BY varname, n),
-best AS (SELECT varname, max(n) AS n_bins, arg_max(rho, n) AS rho FROM rh
-         WHERE k >= 2 AND abs(rho) >= 1 - 1e-9 GROUP BY varname),
-names AS (SELECT unnest([{names}]) AS varname)
+@register("monotonic_bins", with_views(_monotonic_ctes(WOE_NUMERIC) + """
 SELECT names.varname, CAST(coalesce(best.n_bins, 1) AS INTEGER) AS n_bins,
        round(best.rho, 6) AS rho
-FROM names LEFT JOIN best ON names.varname = best.varname""", bank_view=BANK_VIEW_SQL)
-
-
-@register("monotonic_bins", _monotonic_sql(WOE_NUMERIC + ["l_extendedprice"]))
+FROM names LEFT JOIN best ON names.varname = best.varname""", bank_view=BANK_VIEW_SQL))
 def monotonic_bins(spark, d):
-    return sel.monotonic_bins(bank_view(spark, d), WOE_NUMERIC + ["l_extendedprice"], "label")
+    return sel.monotonic_bins(bank_view(spark, d), WOE_NUMERIC, "label")
 
 
 def _corr_sql(method: str) -> str:
@@ -234,20 +228,15 @@ def _vote_scores(spark, d):
         rows.append(F.struct(F.lit("mean_gap").alias("method"), F.lit(c).alias("feature"),
                              gap.alias("score")))
     agg = b.agg(F.array(*rows).alias("a")).select(F.explode("a").alias("r")).select("r.*")
-    vc = sel.value_counts_long(b, CORR_COLS, [], "label")
-    # medians per class and quartiles: exact quantiles on value counts
-    per_class = []
-    for cls in (0, 1):
-        sub = sel.value_counts_long(b.filter(y == cls), CORR_COLS, [], "label")
-        per_class.append(sel.exact_quantiles(sub, [0.5]).select(
-            "varname", F.col("value").alias(f"m{cls}")))
-    quart = sel.exact_quantiles(vc, [0.25, 0.75]).groupBy("varname").agg(
-        (F.max(F.when(F.col("prob") == 0.75, F.col("value")))
-         - F.max(F.when(F.col("prob") == 0.25, F.col("value")))).alias("iqr"))
-    iqr = (per_class[0].join(per_class[1], "varname").join(quart, "varname")
-           .select(F.lit("iqr_gap").alias("method"), F.col("varname").alias("feature"),
-                   F.try_divide(F.abs(F.col("m1") - F.col("m0")),
-                                F.when(F.col("iqr") != 0, F.col("iqr"))).alias("score")))
+    # medians per class and quartiles, exact, of all columns at once
+    parts = b.select(*CORR_COLS, *[F.when(y == k, F.col(c)).alias(f"{c}__{k}")
+                                   for c in CORR_COLS for k in (0, 1)])
+    q = sel.exact_quantiles(parts, parts.columns, [0.25, 0.5, 0.75])
+    gaps = []
+    for c in CORR_COLS:
+        spread = q[c][0.75] - q[c][0.25]
+        gaps.append(("iqr_gap", c, abs(q[f"{c}__1"][0.5] - q[f"{c}__0"][0.5]) / spread if spread else None))
+    iqr = spark.createDataFrame(gaps, "method string, feature string, score double")
     return agg.unionByName(iqr)
 
 

@@ -10,8 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.io import spread
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -83,11 +81,9 @@ BANK_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 
 
 def bank_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # spread a lineitem scan with fewer splits than task slots before the
-    # joins and the per-row feature work (a no-op on large inputs)
-    li = spread(table(spark, sf_dir, "lineitem").select(
+    li = table(spark, sf_dir, "lineitem").select(
         *BANK_KEYS, "l_quantity", "l_extendedprice", "l_discount", "l_tax",
-        "l_returnflag", "l_linestatus"), key=BANK_KEYS)
+        "l_returnflag", "l_linestatus")
     o = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority", "o_orderstatus")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", "c_mktsegment")
@@ -192,13 +188,13 @@ DATASET_CUTS = [(40, "train"), (60, "valid"), (80, "test"), (90, "oot1")]
 
 
 def _dataset_expr_sql() -> str:
-    cases = " ".join(f"WHEN (l_orderkey * 7919) % 100 < {c} THEN '{n}'" for c, n in DATASET_CUTS)
+    cases = " ".join(f"WHEN ((l_orderkey % 100) * 7919) % 100 < {c} THEN '{n}'" for c, n in DATASET_CUTS)
     return f"CASE {cases} ELSE 'oot2' END"
 
 
 def model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
-    bucket = F.pmod(F.col("l_orderkey") * F.lit(7919), F.lit(100))
+    bucket = F.pmod(F.col("l_orderkey") % 100 * F.lit(7919), F.lit(100))
     ds = None
     for cut, name in DATASET_CUTS:
         ds = F.when(bucket < cut, name) if ds is None else ds.when(bucket < cut, name)
@@ -206,10 +202,6 @@ def model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     models = F.array(*[F.struct(F.lit(m).alias("model"),
                                 (1.0 / (1.0 + F.exp(-F.expr(z)))).alias("score"))
                        for m, z in MODEL_SCORES.items()])
-    # five rows per line item: spread a scan with fewer splits than task slots
-    # before the explode (a no-op on large inputs, see ``spread``)
-    li = spread(li.select(*SCORE_TIE_KEYS, "l_quantity", "l_discount", "l_tax"),
-                key=["l_orderkey", "l_linenumber"])
     base = li.select(*SCORE_TIE_KEYS, ds.alias("dataset"),
                      ((F.col("l_quantity") > 25) != ((F.col("l_orderkey") % 5) == 0))
                      .cast("int").alias("label"),

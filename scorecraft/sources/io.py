@@ -16,21 +16,6 @@ from ..session import scratch_path
 
 
 # ---------------------------------------------------------------------- read
-def spread(df: DataFrame, key: Sequence[str] = (), slots: int | None = None) -> DataFrame:
-    """Repartition a scan that has fewer input splits than the cluster has
-    task slots (``defaultParallelism``), e.g. a single-row-group Parquet file,
-    so the work above it does not run in one task. Large inputs already have
-    far more splits than slots and are returned unchanged: no extra shuffle at
-    scale. With ``key`` (a near-unique row key) rows are hash-partitioned,
-    which is deterministic on retry without the local sort a round-robin
-    repartition needs. Projections and deterministic filters above the
-    repartition are still pushed into the scan by the optimizer."""
-    want = slots or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
-        return df
-    return df.repartition(want, *key) if key else df.repartition(want)
-
-
 def read_csv(spark: SparkSession, path: str, header: bool = True, sep: str = ",",
              infer_schema: bool = False, schema: T.StructType | str | None = None) -> DataFrame:
     """CSV scan. Without a schema and inference every column is a string (the
@@ -84,15 +69,17 @@ def write_single_csv(df: DataFrame, path: str, sep: str = "|", header: bool = Fa
 def write_partitioned(df: DataFrame, path: str, by: Sequence[str], fmt: str = "parquet",
                       mode: str = "overwrite") -> str:
     """Directory-partitioned write; readers prune partitions on ``by`` filters.
-    Rows are clustered by the partition columns first so each task writes few
-    files rather than one per value it happens to hold."""
-    (df.repartition(*by).write.mode(mode).partitionBy(*by).format(fmt).save(path))
+    Rows are clustered by the partition columns so that a task writes few files;
+    the REBALANCE hint lets adaptive execution split a value's rows over several
+    writers when they are many."""
+    (df.hint("rebalance", *by).write.mode(mode).partitionBy(*by).format(fmt).save(path))
     return path
 
 
-def save_table(df: DataFrame, name: str, path: str | None = None, mode: str = "overwrite",
+def save_table(df: DataFrame, name: str, path: str | None = None, mode: str = "error",
                fmt: str = "parquet") -> str:
-    """Save as a catalog table (external at ``path`` when given)."""
+    """Save as a catalog table (external at ``path`` when given). A table of
+    that name is only replaced when ``mode`` says so."""
     w = df.write.mode(mode).format(fmt)
     if path:
         w = w.option("path", path)

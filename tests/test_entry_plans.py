@@ -74,19 +74,3 @@ def test_scan_prunes_columns_and_pushes_filters(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(l_quantity)" in plan
     assert "l_comment" not in plan and "l_shipdate" not in plan
-
-
-def test_spread_only_when_fewer_splits_than_slots(spark):
-    """spread() hash-partitions a single-split scan over the task slots, keeps
-    the filter pushed into the scan, and leaves a many-split input alone."""
-    from pyspark.sql import functions as F
-    from scorecraft.sources.io import spread
-
-    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").filter(F.col("lang") == "en")
-    s = spread(docs.select("doc_id", "text"), key=["doc_id"], slots=6)
-    assert s.rdd.getNumPartitions() == 6
-    plan = s._jdf.queryExecution().executedPlan().toString()
-    assert "PushedFilters: [IsNotNull(lang), EqualTo(lang,en)]" in plan
-    assert s.count() == docs.count()
-    many = spark.range(0, 1000, 1, 12)
-    assert spread(many, slots=6) is many
