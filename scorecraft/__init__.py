@@ -9,7 +9,6 @@ its work on the cluster. Subpackages:
 - ``operators``  ordering, profiling, sampling, features, selection, models,
                  clustering, text, evaluation, run log
 - ``plans``      derived views over the test tables and the registered queries
-- ``streaming``  nothing: the reference has no streaming work
 """
 
 __version__ = "0.1.0"

@@ -107,37 +107,68 @@ def global_ntile(df: DataFrame, order: Sequence[Column | str], k: int, out: str
     return res
 
 
-def _running_sums_in_partition(tagged: DataFrame, values: Sequence[str]) -> DataFrame:
-    """Append ``_sc_in_<v>``: running sums of ``values`` along ``_sc_pos`` inside
-    each numbered partition, computed where the partition already is (Arrow
-    batches, numpy cumsum with a carry between batches), so no shuffle on the
-    partition id is needed. Sums are of the value's own type widened to
-    long/double; NULL counts as 0."""
+def _sums_in_partition(tagged: DataFrame, values: Sequence[str],
+                       group: Sequence[str] = ()) -> DataFrame:
+    """Append to a numbered table, whose groups are contiguous in a partition:
+    ``_sc_in_<v>``, running sums of ``values`` along ``_sc_pos`` that restart at
+    each group, ``_sc_at``, the row's place in its group there (from 1), and
+    ``_sc_run0``, whether its group is the partition's first.
+
+    Sums are taken where the partition already is (Arrow batches, numpy, with a
+    carry between batches), so there is no shuffle; other columns pass through
+    untouched. Sums are long for integers, else double; NULL counts as 0."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
     from pyspark.sql import types as T
 
     fields = list(tagged.schema.fields)
-    out_types = {}
+    kinds = {}
     for v in values:
-        dt = tagged.schema[v].dataType
-        integral = isinstance(dt, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
-        out_types[v] = T.LongType() if integral else T.DoubleType()
-        fields.append(T.StructField(f"_sc_in_{v}", out_types[v], True))
-    schema = T.StructType(fields)
-    kinds = {v: "int64" if isinstance(t, T.LongType) else "float64" for v, t in out_types.items()}
+        integral = isinstance(tagged.schema[v].dataType,
+                              (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
+        kinds[v] = pa.int64() if integral else pa.float64()
+        fields.append(T.StructField(f"_sc_in_{v}", T.LongType() if integral else T.DoubleType()))
+    fields += [T.StructField("_sc_at", T.LongType()), T.StructField("_sc_run0", T.BooleanType())]
+    gcols = list(group)
+
+    def differs(a, b):
+        out = pc.or_(pc.fill_null(pc.not_equal(a, b), False), pc.xor(pc.is_null(a), pc.is_null(b)))
+        if pa.types.is_floating(a.type):
+            both = pc.and_(pc.fill_null(pc.is_nan(a), False), pc.fill_null(pc.is_nan(b), False))
+            out = pc.and_not(out, both)
+        return out.to_numpy(zero_copy_only=False)
 
     def run(batches):
-        carry = {v: 0 for v in values}
-        for pdf in batches:
+        last, carry, rows, run0 = None, dict.fromkeys(values, 0), 0, True
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            cols = {c: batch.column(batch.schema.get_field_index(c)) for c in [*gcols, *values]}
+            change = np.zeros(n, bool)
+            for c in gcols:
+                change[1:] |= differs(cols[c].slice(1), cols[c].slice(0, n - 1))
+                if last is not None:
+                    change[0] |= differs(cols[c].slice(0, 1), last[c])[0]
+            last = {c: cols[c].slice(n - 1) for c in gcols}
+            seg, starts = np.cumsum(change), np.flatnonzero(change)
+            out = []
             for v in values:
-                col = pdf[v].fillna(0).astype(kinds[v])
-                cum = col.cumsum() + carry[v]
-                if len(cum):
-                    carry[v] = cum.iloc[-1]
-                pdf[f"_sc_in_{v}"] = cum
-            yield pdf
-
-    ordered = tagged.sortWithinPartitions("_sc_pos")
-    return ordered.mapInPandas(run, schema)
+                x = pc.fill_null(pc.cast(cols[v], kinds[v]), 0).to_numpy(zero_copy_only=False)
+                cum = np.cumsum(x)
+                inside = cum - np.concatenate([[-carry[v]], (cum - x)[starts]]).astype(cum.dtype)[seg]
+                carry[v] = inside[-1]
+                out.append(pa.array(inside, kinds[v]))
+            at = np.arange(1, n + 1) - np.concatenate([[-rows], starts])[seg]
+            rows = int(at[-1])
+            first = (seg == 0) & run0
+            run0 = bool(first[-1])
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, *out, pa.array(at, pa.int64()), pa.array(first)],
+                names=[f.name for f in fields])
+
+    return tagged.sortWithinPartitions("_sc_pos").mapInArrow(run, T.StructType(fields))
 
 
 def global_running_sum(df: DataFrame, order: Sequence[Column | str], values: Sequence[str],
@@ -147,12 +178,12 @@ def global_running_sum(df: DataFrame, order: Sequence[Column | str], values: Seq
     the current one, plus optional grand totals (``total_<v>``).
 
     Inside a range partition the running sum is taken in place (see
-    ``_running_sums_in_partition``); earlier partitions contribute an offset
+    ``_sums_in_partition``); earlier partitions contribute an offset
     from the one-row-per-partition table, broadcast back.
     """
     tagged, _ = _numbered(df, order, num_partitions)
     offsets = _partition_offsets(tagged, values)
-    res = _running_sums_in_partition(tagged, values)
+    res = _sums_in_partition(tagged, values).drop("_sc_at", "_sc_run0")
     res = res.join(F.broadcast(offsets), "_sc_pid")
     for v in values:
         res = res.withColumn(f"{prefix}{v}", F.col(f"_sc_off_{v}") + F.col(f"_sc_in_{v}"))
@@ -177,48 +208,44 @@ def flag_max(df: DataFrame, value: str, group: Sequence[str] = (), out: str = "i
     so no row-level window collapses the data into one task.
     """
     if group:
-        w = Window.partitionBy(*group)
-        return df.withColumn(out, F.coalesce((F.col(value) == F.max(value).over(w)).cast("int"),
-                                             F.lit(0)))
+        # maxima joined back (NULL groups match): a window would put a whole group in one task
+        top = df.groupBy(*[F.col(c).alias(f"_m_{c}") for c in group]).agg(F.max(value).alias("_max"))
+        res = df.join(top, [F.col(c).eqNullSafe(F.col(f"_m_{c}")) for c in group])
+        return res.withColumn(out, F.coalesce((F.col(value) == F.col("_max")).cast("int"), F.lit(0))
+                              ).drop("_max", *[f"_m_{c}" for c in group])
     mx = df.agg(F.max(value)).scalar()
     return df.withColumn(out, F.coalesce((F.col(value) == mx).cast("int"), F.lit(0)))
 
 
-def _group_offsets(tagged: DataFrame, group: Sequence[str], sums: Sequence[str] = (),
-                   totals: bool = False) -> DataFrame:
-    """One row per (partition, group) of a numbered table sorted on (group,
-    order): the group's first position in the partition, its rows (and value
-    sums) in earlier partitions, and its totals. A group spans a contiguous run
-    of partitions, so the table has at most partitions + groups rows and the
-    window below sees at most one row per partition for any group, however
-    large the group is."""
+def _carries(tagged: DataFrame, group: Sequence[str], sums: Sequence[str] = ()) -> DataFrame:
+    """One row per partition of a numbered table sorted on (group, order): rows
+    (``_sc_off``) and value sums (``_sc_off_<v>``) that the partition's first
+    group has in earlier partitions. Only that group can come from there, so the
+    table has as many rows as partitions and may be broadcast. A group spans a
+    contiguous run of partitions: the window below sees at most one row per
+    partition for any group, however large the group is."""
     aggs = [F.count(F.lit(1)).alias("_sc_cnt"), F.min("_sc_pos").alias("_sc_first")]
     aggs += [F.sum(c).alias(f"_sc_tot_{c}") for c in sums]
     per = tagged.groupBy("_sc_pid", *group).agg(*aggs)
     before = Window.partitionBy(*group).orderBy("_sc_pid").rowsBetween(
         Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*group)
-    cols = [F.col("_sc_pid"), *[F.col(g) for g in group], F.col("_sc_first"),
-            F.coalesce(F.sum("_sc_cnt").over(before), F.lit(0)).alias("_sc_off"),
-            F.sum("_sc_cnt").over(whole).alias("_sc_n")]
-    for c in sums:
-        cols.append(F.coalesce(F.sum(f"_sc_tot_{c}").over(before), F.lit(0)).alias(f"_sc_off_{c}"))
-        if totals:
-            cols.append(F.sum(f"_sc_tot_{c}").over(whole).alias(f"_sc_all_{c}"))
-    return per.select(*cols)
+    cols = ["_sc_pid", "_sc_first",
+            F.coalesce(F.sum("_sc_cnt").over(before), F.lit(0)).alias("_sc_off")]
+    cols += [F.coalesce(F.sum(f"_sc_tot_{c}").over(before), F.lit(0)).alias(f"_sc_off_{c}")
+             for c in sums]
+    return per.select(*cols).filter(F.col("_sc_first") == 0).drop("_sc_first")
 
 
-def _join_group_offsets(rows: DataFrame, offsets: DataFrame, group: Sequence[str]) -> DataFrame:
-    """Attach the (partition, group) offsets; NULL group keys match (null-safe).
-    The offsets side is small (partitions + groups rows): AQE broadcasts it
-    when its measured size allows, otherwise it stays a shuffle join."""
-    o = offsets.select(*[F.col(c).alias(f"_sc_o_{c}") for c in offsets.columns])
-    cond = [F.col("_sc_pid") == F.col("_sc_o__sc_pid")]
-    cond += [F.col(g).eqNullSafe(F.col(f"_sc_o_{g}")) for g in group]
-    res = rows.join(o, cond)
-    res = res.drop("_sc_o__sc_pid", *[f"_sc_o_{g}" for g in group])
-    rename = {f"_sc_o_{c}": c for c in offsets.columns if c != "_sc_pid" and c not in group}
-    return res.withColumnsRenamed(rename)
+def _with_group_totals(rows: DataFrame, tagged: DataFrame, group: Sequence[str],
+                       aggs: Sequence[Column]) -> DataFrame:
+    """Join whole-group aggregates back (NULL groups match). One row per group:
+    adaptive execution broadcasts it where its measured size allows and splits
+    skewed groups otherwise."""
+    if not group:
+        return rows.join(F.broadcast(tagged.agg(*aggs)))
+    per = tagged.groupBy(*[F.col(g).alias(f"_sc_t_{g}") for g in group]).agg(*aggs)
+    match = [F.col(g).eqNullSafe(F.col(f"_sc_t_{g}")) for g in group]
+    return rows.join(per, match).drop(*[f"_sc_t_{g}" for g in group])
 
 
 def grouped_row_number(df: DataFrame, group: Sequence[str], order: Sequence[Column | str],
@@ -227,17 +254,19 @@ def grouped_row_number(df: DataFrame, group: Sequence[str], order: Sequence[Colu
                        keep: Sequence[str] | None = None) -> DataFrame:
     """``row_number().over(partitionBy(group).orderBy(order))`` without putting
     a group into one task: one range partitioning on (group, order); the
-    number is the group's rows in earlier partitions plus the position after
-    the group's first row in this partition. ``keep`` narrows the output (and
-    the checkpoint) to those columns plus ``group``."""
+    number is the row's place in its group in this partition, plus, for the
+    partition's first group, the group's rows in earlier partitions (a broadcast
+    table of one row per partition). No rows are shuffled after the range
+    partitioning. ``keep`` narrows the output (and the checkpoint) to those
+    columns plus ``group``."""
     g = [F.col(c) for c in group]
     keep_cols = None if keep is None else list(group) + [c for c in keep if c not in group]
     tagged, _ = _numbered(df, g + _sort_cols(order), num_partitions, keep=keep_cols)
-    res = _join_group_offsets(tagged, _group_offsets(tagged, group), group).withColumn(
-        out, (F.col("_sc_off") + F.col("_sc_pos") - F.col("_sc_first") + 1).cast("long"))
+    res = _sums_in_partition(tagged, [], group).join(F.broadcast(_carries(tagged, group)), "_sc_pid")
+    res = res.withColumn(out, F.col("_sc_at") + F.when(F.col("_sc_run0"), F.col("_sc_off")).otherwise(0))
     if size:
-        res = res.withColumn(size, F.col("_sc_n").cast("long"))
-    return res.drop("_sc_pid", "_sc_pos", "_sc_first", "_sc_off", "_sc_n")
+        res = _with_group_totals(res, tagged, group, [F.count(F.lit(1)).alias(size)])
+    return res.drop("_sc_pid", "_sc_pos", "_sc_at", "_sc_run0", "_sc_off")
 
 
 def grouped_ntile(df: DataFrame, group: Sequence[str], order: Sequence[Column | str], k: int,
@@ -250,73 +279,23 @@ def grouped_ntile(df: DataFrame, group: Sequence[str], order: Sequence[Column |
         "_rn_g", "_n_g")
 
 
-def _grouped_sums_in_partition(tagged: DataFrame, group: Sequence[str],
-                               values: Sequence[str]) -> DataFrame:
-    """Append ``_sc_in_<v>``: running sums of ``values`` restarting at each
-    group inside each numbered partition (groups are contiguous there), taken
-    where the partition already is, with a carry for a group that continues
-    into the next Arrow batch. NULL counts as 0."""
-    import pandas as pd
-    from pyspark.sql import types as T
-
-    fields = list(tagged.schema.fields)
-    kinds = {}
-    for v in values:
-        dt = tagged.schema[v].dataType
-        integral = isinstance(dt, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
-        kinds[v] = "int64" if integral else "float64"
-        fields.append(T.StructField(f"_sc_in_{v}", T.LongType() if integral else T.DoubleType(),
-                                    True))
-    schema = T.StructType(fields)
-    gcols = list(group)
-
-    def same(a, b) -> bool:
-        return all((x == y) or (pd.isna(x) and pd.isna(y)) for x, y in zip(a, b))
-
-    def run(batches):
-        last_key, carry = None, {v: 0 for v in values}
-        for pdf in batches:
-            if len(pdf) == 0:
-                for v in values:
-                    pdf[f"_sc_in_{v}"] = pd.Series([], dtype=kinds[v])
-                yield pdf
-                continue
-            change = pd.Series(False, index=pdf.index)
-            for c in gcols:
-                col, prev = pdf[c], pdf[c].shift()
-                change |= ~((col == prev) | (col.isna() & prev.isna()))
-            change.iloc[0] = True
-            seg = change.cumsum()
-            first = tuple(pdf[c].iloc[0] for c in gcols)
-            cont = last_key is not None and same(first, last_key)
-            for v in values:
-                cum = pdf[v].fillna(0).astype(kinds[v]).groupby(seg).cumsum()
-                if cont:
-                    cum = cum + (seg == 1) * carry[v]
-                carry[v] = cum.iloc[-1]
-                pdf[f"_sc_in_{v}"] = cum
-            last_key = tuple(pdf[c].iloc[-1] for c in gcols)
-            yield pdf
-
-    return tagged.sortWithinPartitions("_sc_pos").mapInPandas(run, schema)
-
-
 def grouped_running_sum(df: DataFrame, group: Sequence[str], order: Sequence[Column | str],
                         values: Sequence[str], prefix: str = "cum_",
                         totals: bool = False) -> DataFrame:
     """Running sums of ``values`` within each group along ``order`` (rows up to
     and including the current one), skew-safe: one range partitioning on
-    (group, order), in-partition sums restarting at group starts, plus the
-    group's sums in earlier partitions from the (partition, group) table.
+    (group, order), in-partition sums restarting at group starts, plus, for a
+    partition's first group, its sums in earlier partitions (a broadcast table
+    of one row per partition).
     ``totals`` adds the group's sums as ``total_<v>``."""
     g = [F.col(c) for c in group]
     tagged, _ = _numbered(df, g + _sort_cols(order), None)
-    offsets = _group_offsets(tagged, group, values, totals=totals)
-    res = _join_group_offsets(_grouped_sums_in_partition(tagged, group, values), offsets, group)
+    res = _sums_in_partition(tagged, values, group).join(
+        F.broadcast(_carries(tagged, group, values)), "_sc_pid")
     for v in values:
-        res = res.withColumn(f"{prefix}{v}", F.col(f"_sc_off_{v}") + F.col(f"_sc_in_{v}"))
-        if totals:
-            res = res.withColumn(f"total_{v}", F.col(f"_sc_all_{v}"))
-    drop = (["_sc_pid", "_sc_pos", "_sc_first", "_sc_off", "_sc_n"]
-            + [f"_sc_{p}_{v}" for v in values for p in ("in", "off", "all")])
-    return res.drop(*drop)
+        res = res.withColumn(f"{prefix}{v}", F.col(f"_sc_in_{v}") + F.when(
+            F.col("_sc_run0"), F.col(f"_sc_off_{v}")).otherwise(0))
+    if totals:
+        res = _with_group_totals(res, tagged, group, [F.sum(v).alias(f"total_{v}") for v in values])
+    return res.drop("_sc_pid", "_sc_pos", "_sc_at", "_sc_run0", "_sc_off",
+                    *[f"_sc_{p}_{v}" for v in values for p in ("in", "off")])
