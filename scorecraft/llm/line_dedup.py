@@ -20,38 +20,47 @@ SPACING = 4
 LONG_LINE = 50
 
 
-def _rolled(h: Column) -> Column:
+def _rolled(h: str) -> Column:
     """Cyclic-polynomial rolling hash over each line and the one before it."""
     before = F.concat(F.array(F.lit(0).cast("long")), F.slice(h, F.lit(1), F.size(h) - 1))
     return F.zip_with(h, before, lambda a, b: a.bitwiseXOR(
         F.shiftleft(b, 1).bitwiseOR(F.shiftrightunsigned(b, 63))))
 
 
-def chunks(text: Column, spacing: int = SPACING, long_line: int = LONG_LINE) -> Column:
-    """The chunks of a text, in order; joined by line feeds they give the text.
+def _words(x: Column) -> Column:
+    return F.length(x) - F.length(F.replace(x, F.lit(" "), F.lit(""))) + 1
+
+
+def with_chunks(df: DataFrame, text: str, spacing: int = SPACING, long_line: int = LONG_LINE) -> DataFrame:
+    """``df`` plus ``c``: the chunks of the column ``text``, in order; joined by
+    line feeds they give the text (null for null).
 
     A chunk ends after a line where the rolling hash of the last two lines is
     divisible by ``spacing``, and before and after every line of ``long_line``
     or more space-separated words."""
-    lines = F.split(text, "\n", -1)
-    long = F.transform(lines, lambda x: (F.length(x) >= 2 * long_line - 1) & (
-        F.size(F.split(x, " ")) >= long_line))
-    by_long = F.zip_with(long, F.concat(F.slice(long, F.lit(2), F.size(long)), F.array(F.lit(False))),
-                         lambda a, b: a | b)
-    ends = F.zip_with(_rolled(F.transform(lines, lambda x: F.xxhash64(x))), by_long,
-                      lambda r, b: b | (F.pmod(r, F.lit(spacing)) == 0))
-    starts = F.concat(F.array(F.lit(True)), F.slice(ends, F.lit(1), F.size(ends) - 1))
-    # A mark in front of each line tells chunk starts (B) from other lines (C):
-    # linear in the text, where slicing an array per chunk would not be.
-    marked = F.array_join(F.zip_with(lines, starts, lambda x, s: F.concat(
-        F.when(s, F.lit("B")).otherwise(F.lit("C")), x)), "\n")
-    return F.transform(F.split(marked, "\n(?=B)", -1),
-                       lambda c: F.regexp_replace(c, "(^|\n)[BC]", "$1"))
-
-
-def _eligible(chunk: Column, long_line: int) -> Column:
+    keep = df.columns
+    # One step per select, so that no step's array is computed twice.
+    df = df.select("*", F.split(text, "\n", -1).alias("c_lines"))
+    df = df.select("*", F.transform("c_lines", lambda x: F.xxhash64(x)).alias("c_hash"),
+                   F.transform("c_lines", lambda x: _words(x) >= long_line).alias("c_long"))
+    by_long = F.zip_with("c_long", F.concat(F.slice("c_long", F.lit(2), F.size("c_long")), F.array(
+        F.lit(False))), lambda a, b: a | b)
+    df = df.select("*", F.zip_with(_rolled("c_hash"), by_long, lambda r, b: b | (
+        F.pmod(r, F.lit(spacing)) == 0)).alias("c_ends"))
+    # Places of each chunk's last line; the lines between are sliced out, which
+    # is linear in the text.
+    last = F.array_compact(F.transform("c_ends", lambda e, i: F.when(e | (i == F.size("c_ends") - 1), i)))
+    df = df.select(*keep, "c_lines", last.alias("c_last"))
+    first = F.concat(F.array(F.lit(0)), F.transform("c_last", lambda i: i + 1))
+    return df.select(*keep, F.zip_with(
+        "c_last", F.slice(first, F.lit(1), F.size("c_last")),
+        lambda e, s: F.array_join(F.slice("c_lines", s + 1, e - s + 1), "\n")).alias("c"))
+
+
+def _eligible(chunk: str, long_line: int) -> Column:
     """Two lines with something on them, or one long line."""
-    return chunk.rlike(r"\S[^\S\n]*+\n\s*+\S") | (F.size(F.split(chunk, " ")) >= long_line)
+    return (F.instr(chunk, "\n") > 0) & F.col(chunk).rlike(r"\S[^\S\n]*+\n\s*+\S") | (
+        _words(F.col(chunk)) >= long_line)
 
 
 def _row_key(id_col: str, text: Column) -> Column:
@@ -65,7 +74,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 length_col: str | None = "n_chars", spacing: int = SPACING,
                 long_line: int = LONG_LINE) -> DataFrame:
     """``docs`` as a struct ``doc`` with the text shortened (and ``length_col``
-    set to its new length), plus ``n_chunks`` and ``n_removed``.
+    set to its new length), plus ``n_removed``, the number of chunks taken out.
 
     A chunk counts as repeated when the same bytes occur elsewhere, in another
     document or the same one; the occurrence in the smallest id (then the
@@ -76,11 +85,13 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     document and keep the same chunks. Empty tables and other columns are fine.
     """
     text = F.col(text_col).cast("string")
+    pieces = with_chunks(docs.filter(text.isNotNull()).select(
+        _row_key(id_col, text).alias("key"), text.alias("t")), "t", spacing, long_line)
     pieces = (
-        docs.filter(text.isNotNull())
-        .select(_row_key(id_col, text).alias("key"), F.posexplode(
-            chunks(text, spacing, long_line)).alias("at", "chunk"))
-        .withColumn("may", _eligible(F.col("chunk"), long_line))
+        # The outer form: for the inner one Spark would work out every step once
+        # more in a filter on the array's size. Texts always have a chunk.
+        pieces.select("key", F.posexplode_outer("c").alias("at", "chunk"))
+        .withColumn("may", _eligible("chunk", long_line))
         .withColumn("h1", F.xxhash64("chunk")).withColumn("h2", F.hash("chunk")))
 
     # Byte comparison: equal rows here are equal texts.
@@ -101,7 +112,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
                         _row_key(id_col, text).alias("key"), text.alias("t"))
-    cut = whole.join(drops, "key", "left").withColumn("c", chunks(F.col("t"), spacing, long_line))
+    cut = with_chunks(whole.join(drops, "key", "left").withColumn(
+        "cut", F.when(F.col("gone").isNotNull(), F.col("t"))), "cut", spacing, long_line)
     # The runs of chunks between removed ones: linear in the text.
     gone = F.array_sort("gone")
     starts = F.concat(F.array(F.lit(0)), F.transform(gone, lambda g: g + 1))
@@ -114,6 +126,5 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   F.length("t2")).cast(dict(docs.dtypes)[c]).alias(c) if c == length_col
               else F.col(f"doc.`{c}`") for c in docs.columns]
     return out.select(F.struct(*fields).alias("doc"),
-                      F.coalesce(F.size("c"), F.lit(0)).alias("n_chunks"),
                       F.coalesce(F.when(F.col("gone").isNotNull(), F.size("gone")),
                                  F.lit(0)).alias("n_removed"))
