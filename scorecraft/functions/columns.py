@@ -54,11 +54,6 @@ def safe_log(x: Column) -> Column:
     return F.when(x > 0, F.log(x))
 
 
-def columns_matching(df: DataFrame, pattern: str) -> list[str]:
-    """Names matching a Java regex (``colRegex`` semantics, whole-name match)."""
-    return [f.name for f in df.select(df.colRegex(f"`{pattern}`")).schema.fields]
-
-
 def cast_by_type_lists(df: DataFrame, types: Mapping[str, Sequence[str]]) -> DataFrame:
     """Cast columns named in per-type lists with ``try_cast`` (bad text -> NULL)."""
     mapping = {}

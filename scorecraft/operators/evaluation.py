@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from .ordering import _sort_cols, global_ntile, global_running_sum
+from .ordering import _sort_cols, global_running_sum
 
 
 def _pct(num: Column, den: Column) -> Column:
@@ -37,12 +37,6 @@ def order_columns(order: Sequence[Column | str], available: Sequence[str]) -> li
     return names
 
 
-def assign_deciles(df: DataFrame, order: Sequence[Column | str], k: int = 10,
-                   out: str = "deciles") -> DataFrame:
-    """Tile 1..k over a total order (best score first): ``ntile(k)`` at scale."""
-    return global_ntile(df, order, k, out=out)
-
-
 def decile_table(df: DataFrame, label: str, order: Sequence[Column | str], k: int = 10,
                  absolute_spread: bool = True, decile_col: str = "deciles") -> DataFrame:
     """Decile table: ``deciles, total, <label>, non_target, target_%, cum_target,
@@ -328,19 +322,6 @@ def ks_from_tiles(tiles: DataFrame, group: Sequence[str]) -> DataFrame:
         F.round(F.max("_spread"), 2).alias("ks"))
 
 
-def ks_by_group(df: DataFrame, group: Sequence[str], score: str, ties: Sequence[Column | str],
-                label: str = "label", k: int = 10) -> DataFrame:
-    """KS over k tiles of (score desc, ties) per group, 2 dp."""
-    runs = score_runs_by_group(df, group, score, label)
-    return ks_from_tiles(tile_counts_by_group(df, runs, group, score, ties, label, k), group)
-
-
-def accuracy_by_group(df: DataFrame, group: Sequence[str], label: str = "label",
-                      prediction: str = "prediction", digits: int = 6) -> DataFrame:
-    hit = F.when(F.col(prediction).cast("double") == F.col(label).cast("double"), 1).otherwise(0)
-    return df.groupBy(*group).agg(F.round(F.avg(hit), digits).alias("accuracy"))
-
-
 def metrics_long(df: DataFrame, group: Sequence[str], ties: Sequence[Column | str],
                  score: str = "score", label: str = "label",
                  prediction: str = "prediction", k: int = 10) -> DataFrame:

@@ -106,6 +106,7 @@ def pca_explained(model, features: Sequence[str], spark) -> DataFrame:
 
 
 def pca_loadings(model, features: Sequence[str], spark) -> DataFrame:
+    """Weight of every feature in every component: ``feature, component, loading``."""
     pc = model.stages[-1].pc.toArray()
     rows = [(f, j + 1, float(pc[i, j])) for i, f in enumerate(features)
             for j in range(pc.shape[1])]
@@ -131,30 +132,41 @@ def gram_matrix(df: DataFrame, features: Sequence[str]) -> np.ndarray:
     return g
 
 
+def svd(df: DataFrame, features: Sequence[str], k: int = 5) -> tuple[np.ndarray, np.ndarray]:
+    """Truncated SVD of the row matrix: singular values (the square roots of the
+    eigenvalues of X^T X, what ``RowMatrix.computeSVD`` does for small d) and
+    right singular vectors V (d x k), each column signed so that its largest
+    entry is positive."""
+    vals, vecs = np.linalg.eigh(gram_matrix(df.select(*features), features))
+    order = np.argsort(vals)[::-1][:k]
+    vecs = vecs[:, order]
+    top = vecs[np.abs(vecs).argmax(axis=0), np.arange(len(order))]
+    return np.sqrt(np.clip(vals[order], 0, None)), vecs * np.where(top < 0, -1.0, 1.0)
+
+
 def svd_values(df: DataFrame, features: Sequence[str], k: int = 5) -> DataFrame:
-    """Truncated SVD of the row matrix: singular values are the square roots of
-    the eigenvalues of X^T X (what ``RowMatrix.computeSVD`` does for small d),
-    with right singular vectors V. Output ``component, singular_value``."""
-    g = gram_matrix(df.select(*features), features)
-    vals, _ = np.linalg.eigh(g)
-    vals = np.sort(np.clip(vals, 0, None))[::-1][:k]
-    rows = [(i + 1, float(np.sqrt(v))) for i, v in enumerate(vals)]
+    """Singular values: ``component, singular_value``."""
+    rows = [(i + 1, float(v)) for i, v in enumerate(svd(df, features, k)[0])]
     return df.sparkSession.createDataFrame(rows, "component int, singular_value double")
 
 
+def svd_vectors(df: DataFrame, features: Sequence[str], k: int = 5) -> DataFrame:
+    """Right singular vectors: ``feature, component, weight``."""
+    v = svd(df, features, k)[1]
+    rows = [(f, j + 1, float(v[i, j])) for i, f in enumerate(features) for j in range(v.shape[1])]
+    return df.sparkSession.createDataFrame(rows, "feature string, component int, weight double")
+
+
 def svd_project(df: DataFrame, features: Sequence[str], k: int = 5, keep: Sequence[str] = ()):
-    """U = X V S^-1 computed row-wise as column expressions (distributed)."""
-    g = gram_matrix(df.select(*features), features)
-    vals, vecs = np.linalg.eigh(g)
-    order = np.argsort(vals)[::-1][:k]
+    """Left singular vectors, one row per row: U = X V S^-1 as column
+    expressions (distributed); 0 for a singular value of 0."""
+    values, v = svd(df, features, k)
     cols = []
-    for r, j in enumerate(order):
-        s = float(np.sqrt(max(vals[j], 0.0))) or 1.0
-        expr = None
+    for j, s in enumerate(values):
+        expr = F.lit(0.0)
         for i, f in enumerate(features):
-            term = F.col(f).cast("double") * float(vecs[i, j] / s)
-            expr = term if expr is None else expr + term
-        cols.append(expr.alias(f"u{r + 1}"))
+            expr = expr + F.col(f).cast("double") * float(v[i, j] / s if s else 0.0)
+        cols.append(expr.alias(f"u{j + 1}"))
     return df.select(*keep, *cols)
 
 

@@ -12,9 +12,10 @@ from ..operators import clustering as cl
 from ..operators import evaluation as ev
 from ..operators import features as fe
 from ..operators import models as md
-from ..operators import runlog
+from ..operators import runlog, sampling
 from ..operators import text as tx
 from ..session import ensure_checkpoint_dir, scratch_path
+from ..sources import io
 from .registry import register
 from .views import (BANK_CATEGORICAL, BANK_KEYS, BANK_NUMERIC, BANK_VIEW_SQL, MISSING_VIEW_SQL,
                     MOVIE_VIEW_SQL, SCORE_VIEW_SQL, bank_view, customer_features,
@@ -66,7 +67,13 @@ def _model_frame(spark, d, label="label"):
     return md.stable(md.assembled(df, MODEL_FEATURES, label, keep=BANK_KEYS), BANK_KEYS)
 
 
-@register("assemble_features")
+def _assemble_sql() -> str:
+    head, tail = _index_sql().rsplit("SELECT", 1)
+    raw = ", ".join(f"CAST(b.{c} AS DOUBLE) AS {c}" for c in BANK_NUMERIC)
+    return f"{head}SELECT CAST(b.label AS DOUBLE) AS label, {raw},{tail}"
+
+
+@register("assemble_features", _assemble_sql())
 def assemble_features(spark, d):
     df, _ = _indexed(spark, d)
     vec = fe.assemble_vectors(df, MODEL_FEATURES, "label", keep=BANK_KEYS)
@@ -125,6 +132,41 @@ def pca_project(spark, d):
     return fe.vector_columns(model.transform(b), "pca", ["pc1", "pc2", "pc3"], keep=BANK_KEYS)
 
 
+@register("pca_project_raw")
+def pca_project_raw(spark, d):
+    b = bank_view(spark, d)
+    model = fe.pca_fit(b, BANK_NUMERIC, k=3, scaled=False)
+    return fe.vector_columns(model.transform(b), "pca", ["pc1", "pc2", "pc3"], keep=BANK_KEYS)
+
+
+@register("pca_loadings")
+def pca_loadings(spark, d):
+    """Loadings of the raw and the scaled fit."""
+    b, parts = bank_view(spark, d), []
+    for name, scaled in (("raw", False), ("scaled", True)):
+        model = fe.pca_fit(b, BANK_NUMERIC, k=3, scaled=scaled)
+        parts.append(fe.pca_loadings(model, BANK_NUMERIC, spark).withColumn("fit", F.lit(name)))
+    return parts[0].unionByName(parts[1])
+
+
+@register("pca_explained_pair", with_views("""
+m AS (SELECT var_samp(l_quantity) AS a, var_samp(l_discount) AS c,
+             covar_samp(l_quantity, l_discount) AS b FROM bank_view),
+e AS (SELECT (a + c) / 2 AS mid, sqrt((a - c) * (a - c) / 4 + b * b) AS half FROM m),
+v AS (SELECT 1 AS component, (mid + half) / (2 * mid) AS explained FROM e
+      UNION ALL SELECT 2, (mid - half) / (2 * mid) FROM e)
+SELECT CAST(component AS INTEGER) AS component, round(explained, 6) AS explained,
+       round(sum(explained) OVER (ORDER BY component), 6) AS cumulative FROM v""",
+                                            bank_view=BANK_VIEW_SQL))
+def pca_explained_pair(spark, d):
+    # two features have a closed form that SQL can state
+    pair = ["l_quantity", "l_discount"]
+    model = fe.pca_fit(bank_view(spark, d), pair, k=2, scaled=False)
+    return fe.pca_explained(model, pair, spark).select(
+        "component", F.round("explained", 6).alias("explained"),
+        F.round("cumulative", 6).alias("cumulative"))
+
+
 @register("pca_explained")
 def pca_explained(spark, d):
     model = fe.pca_fit(bank_view(spark, d), BANK_NUMERIC, k=3, scaled=True)
@@ -136,6 +178,27 @@ def svd_values(spark, d):
     return fe.svd_values(bank_view(spark, d), BANK_NUMERIC, k=5)
 
 
+@register("svd_values_pair", with_views("""
+m AS (SELECT sum(l_quantity * l_quantity) AS a, sum(l_discount * l_discount) AS c,
+             sum(l_quantity * l_discount) AS b FROM bank_view),
+e AS (SELECT (a + c) / 2 AS mid, sqrt((a - c) * (a - c) / 4 + b * b) AS half FROM m)
+SELECT CAST(1 AS INTEGER) AS component, round(sqrt(mid + half), 4) AS singular_value FROM e
+UNION ALL SELECT 2, round(sqrt(mid - half), 4) FROM e""", bank_view=BANK_VIEW_SQL))
+def svd_values_pair(spark, d):
+    out = fe.svd_values(bank_view(spark, d), ["l_quantity", "l_discount"], k=2)
+    return out.withColumn("singular_value", F.round("singular_value", 4))
+
+
+@register("svd_vectors")
+def svd_vectors(spark, d):
+    return fe.svd_vectors(bank_view(spark, d), BANK_NUMERIC, k=5)
+
+
+@register("svd_project")
+def svd_project(spark, d):
+    return fe.svd_project(bank_view(spark, d), BANK_NUMERIC, k=5, keep=BANK_KEYS)
+
+
 @register("prepare_dataset")
 def prepare_dataset(spark, d):
     li = table(spark, d, "lineitem")
@@ -344,27 +407,56 @@ def probability_of_one(spark, d):
     return pred.select(*BANK_KEYS, "label", F.round("p1", 6).alias("p1"))
 
 
+def _validation_scores(spark, d):
+    """One model fitted on ``train`` and scored on all five datasets (split by
+    key arithmetic as the metric views are)."""
+    ensure_checkpoint_dir(spark)
+    frame = _model_frame(spark, d).withColumn("dataset", sampling.hash_split(
+        F.col("l_orderkey"), [40, 20, 20, 10, 10], ev.DATASETS, multiplier=7919))
+    model = md.logistic(frame.filter(F.col("dataset") == "train"), "binomial", max_iter=10)
+    pred = md.probability_of_one(model.transform(frame))
+    return pred.select(*BANK_KEYS, "dataset", F.col("label").cast("int").alias("label"),
+                       F.col("p1").alias("score"), "prediction").checkpoint()
+
+
 @register("model_validation")
 def model_validation(spark, d):
-    """Validate one fitted model on each dataset: roc, accuracy, ks."""
-    frame = _model_frame(spark, d)
-    train, valid, test = frame.randomSplit([0.4, 0.3, 0.3], 12345)
-    model = md.logistic(train, "binomial", max_iter=10)
+    """ROC, accuracy and KS of one fitted model on each of the five datasets."""
+    long = ev.metrics_long(_validation_scores(spark, d), ["dataset"],
+                           [F.col(k).asc() for k in BANK_KEYS])
+    return long.groupBy("dataset").pivot("metric", ev.METRICS).agg(F.first("value"))
+
+
+@register("model_validation_tables")
+def model_validation_tables(spark, d):
+    """The tables behind it: each dataset's decile table with its confusion counts."""
+    scores = _validation_scores(spark, d)
+    order = [F.col("score").desc()] + [F.col(k).asc() for k in BANK_KEYS]
     out = None
-    for name, part in (("train", train), ("valid", valid), ("test", test)):
-        pred = md.probability_of_one(model.transform(part))
-        order = [F.col("p1").desc()] + [F.col(k).asc() for k in BANK_KEYS]
-        auc = ev.auc_roc(pred, "p1", "label")
-        acc = ev.accuracy(pred.withColumn("label", F.col("label").cast("int")), "label",
-                          "prediction").select("accuracy")
-        ks = ev.ks_statistic(ev.decile_table(pred.withColumn("label", F.col("label")
-                                                             .cast("int")), "label", order))
-        row = auc.select(F.lit(name).alias("dataset"), "auc",
-                         acc.scalar().alias("accuracy"), ks.scalar().alias("ks"))
-        out = row if out is None else out.unionByName(row)
+    for name in ev.DATASETS:
+        part = scores.filter(F.col("dataset") == name)
+        hits = ev.confusion_matrix(part).groupBy().agg(*[
+            F.coalesce(F.sum(F.when((F.col("label") == y) & (F.col("prediction") == p), F.col("count"))),
+                       F.lit(0)).alias(n)
+            for n, y, p in (("tp", 1, 1), ("fp", 0, 1), ("fn", 1, 0), ("tn", 0, 0))])
+        tbl = ev.decile_table(part, "label", order).withColumn("dataset", F.lit(name))
+        tbl = tbl.join(F.broadcast(hits))  # one row
+        out = tbl if out is None else out.unionByName(tbl)
     return out
 
 
+@register("metrics_export")
+def metrics_export(spark, d):
+    """Metric and importance reports written and read back."""
+    metrics = model_validation(spark, d).select(
+        F.lit("metrics").alias("report"), F.col("dataset").alias("name"), F.col("ks").alias("value"))
+    top = rf_importance(spark, d).orderBy(F.desc("score"), "feature").limit(30)  # a top-30 report
+    both = metrics.unionByName(top.select(
+        F.lit("importance").alias("report"), F.col("feature").alias("name"),
+        F.col("score").alias("value")))
+    return spark.read.parquet(io.export_report(both, io.fresh_path(spark, "reports")))
+
+
 # ------------------------------------------------------------ run log / store
 _RUN_SQL = with_views(DECILES_SQL + """,
 sc AS (SELECT score, sum(label) AS pos, sum(1 - label) AS neg FROM score_view GROUP BY score),

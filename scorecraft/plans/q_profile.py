@@ -142,21 +142,38 @@ def sample_by_stratum(spark, d):
     return sampling.sample_by_stratum(o, "year", {1995: 0.2, 1996: 0.4, 1997: 0.4}, seed=2023)
 
 
-@register("split_two_way")
+def _split_sql(percents, names) -> str:
+    cases, acc = "", 0
+    for p, n in list(zip(percents, names))[:-1]:
+        acc += p
+        cases += f"WHEN ((l_orderkey % 100) * 7919) % 100 < {acc} THEN '{n}' "
+    return with_views(f"SELECT *, CASE {cases}ELSE '{names[-1]}' END AS split FROM s",
+                      s=SCORE_VIEW_SQL)
+
+
+def _split(spark, d, percents, names):
+    return score_view(spark, d).withColumn("split", sampling.hash_split(
+        F.col("l_orderkey"), percents, names, multiplier=7919))
+
+
+@register("split_two_way", _split_sql([70, 30], ["train", "test"]))
 def split_two_way(spark, d):
+    return _split(spark, d, [70, 30], ["train", "test"])
+
+
+@register("split_seeded")
+def split_seeded(spark, d):
     return sampling.labelled_split(score_view(spark, d), [0.7, 0.3], ["train", "test"], seed=2023)
 
 
-@register("split_70_20_10")
+@register("split_70_20_10", _split_sql([70, 20, 10], ["train", "valid", "test"]))
 def split_70_20_10(spark, d):
-    return sampling.labelled_split(score_view(spark, d), [0.7, 0.2, 0.1],
-                                   ["train", "valid", "test"], seed=12345)
+    return _split(spark, d, [70, 20, 10], ["train", "valid", "test"])
 
 
-@register("split_three_way")
+@register("split_three_way", _split_sql([40, 30, 30], ["train", "valid", "test"]))
 def split_three_way(spark, d):
-    return sampling.labelled_split(score_view(spark, d), [0.4, 0.3, 0.3],
-                                   ["train", "valid", "test"], seed=12345)
+    return _split(spark, d, [40, 30, 30], ["train", "valid", "test"])
 
 
 @register("stratified_split", with_views("""
