@@ -1,5 +1,7 @@
 """Driver contract, oracle agreement at sf0.001, and plan shape checks."""
 
+import re
+
 import duckdb
 import pytest
 
@@ -53,14 +55,15 @@ def test_oracle_agrees_at_sf0001(spark, duck, key):
     assert a == b
 
 
-NATIVE = ["decile_table", "woe_table", "ntile_deciles", "gap_to_partition_max",
-          "tokenize_documents", "histogram_equal_width", "missing_profile"]
+NATIVE = ["ntile_deciles", "gap_to_partition_max", "share_of_total", "tokenize_documents",
+          "tfidf_terms", "histogram_equal_width", "missing_profile", "chi_square_statistic",
+          "split_two_way", "top_n_per_group", "drop_duplicates_subset"]
 
 
 @pytest.mark.parametrize("key", NATIVE)
 def test_native_keys_have_no_python_eval(spark, key):
     plan = entry.queries()[key](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
-    assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+    assert not re.search("Python|Pandas|MapInArrow", plan)
 
 
 def test_rank_filter_uses_group_limit(spark):
