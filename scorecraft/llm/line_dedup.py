@@ -64,7 +64,8 @@ def _eligible(chunk: str, long_line: int) -> Column:
 
 
 def _row_key(id_col: str, text: Column) -> Column:
-    """Order and key of a document: its id, then a hash of its text; null ids last."""
+    """Order and key of a document: its id, then a hash of its text; null ids last.
+    Times 2^31 it still has room for a chunk's place in 38 digits."""
     number = F.coalesce(F.col(id_col).cast("decimal(20,0)"), F.lit(str(2**63)).cast("decimal(20,0)"))
     return (number * F.lit(2**32).cast("decimal(10,0)")
             + F.xxhash64(text).bitwiseAND(F.lit(2**32 - 1)).cast("decimal(10,0)")).cast("decimal(34,0)")
@@ -92,27 +93,24 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         # more in a filter on the array's size. Texts always have a chunk.
         pieces.select("key", F.posexplode_outer("c").alias("at", "chunk"))
         .withColumn("may", _eligible("chunk", long_line))
+        .withColumn("place", F.expr("CAST(key * 2147483648BD + at AS DECIMAL(38, 0))"))
         .withColumn("h1", F.xxhash64("chunk")).withColumn("h2", F.hash("chunk")))
 
     # Byte comparison: equal rows here are equal texts.
     same = (pieces.filter("may").groupBy("h1", "h2", "chunk")
-            .agg(F.min("key").alias("first"), F.count("*").alias("n")))
+            .agg(F.min("place").alias("first"), F.count("*").alias("n")))
     repeated = (same.groupBy("h1", "h2")
                 .agg(F.count("*").alias("texts"), F.sum("n").alias("n"), F.min("first").alias("first"))
                 .filter("texts = 1 AND n > 1").select("h1", "h2", "first"))
-    narrow = pieces.select("key", "at", "may", "h1", "h2")
-    hits = written(narrow.filter("may").join(repeated, ["h1", "h2"])
-                   .select("key", "at", "h1", "h2", "first"), "repeated-chunks")
-    stays = (hits.filter("key = first").groupBy("h1", "h2").agg(F.min("at").alias("at"))
-             .select(F.col("h1").alias("s1"), F.col("h2").alias("s2"), F.col("at").alias("s_at")))
-    drops = (
-        hits.join(stays, (F.col("h1") == F.col("s1")) & (F.col("h2") == F.col("s2")))
-        .filter("NOT (key = first AND at = s_at)").groupBy("key").agg(
-            F.collect_set("at").alias("gone")))
+    # Written, so that the shuffle of the chunks' bytes is not kept beside that of the texts.
+    drops = written(pieces.filter("may").select("key", "at", "place", "h1", "h2")
+                    .join(repeated, ["h1", "h2"]).filter("place <> first")
+                    .groupBy("key").agg(F.collect_set("at").alias("gone")), "repeated-chunks")
 
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
                         _row_key(id_col, text).alias("key"), text.alias("t"))
-    cut = with_chunks(whole.join(drops, "key", "left").withColumn(
+    # The same join at every size: what is dropped grows with the corpus.
+    cut = with_chunks(whole.join(drops.hint("merge"), "key", "left").withColumn(
         "cut", F.when(F.col("gone").isNotNull(), F.col("t"))), "cut", spacing, long_line)
     # The runs of chunks between removed ones: linear in the text.
     gone = F.array_sort("gone")
