@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from scorecraft.llm.common import written
-from scorecraft.llm.line_dedup import dedup_lines
+from scorecraft.llm.line_dedup import PASSAGE, dedup_lines
 from scorecraft.llm.packing import pack
 from scorecraft.llm.pii import mask_pii
 from scorecraft.llm.quality import keep_good
@@ -24,8 +24,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated multi-line chunks removed from all but their first document."""
-    return dedup_lines(docs).select("doc.*")
+    """Repeated multi-line passages removed from all but their first document."""
+    return dedup_lines(docs, min_words=PASSAGE).select("doc.*")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

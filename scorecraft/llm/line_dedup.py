@@ -4,7 +4,9 @@ Method: a rolling hash over the hashes of neighbouring lines picks the line
 breaks at which a text is cut, so the same run of lines is cut alike wherever it
 stands. Chunks are then grouped by their bytes (with map-side combining, so a
 chunk held by a third of all documents is one row per task), and every
-occurrence but the first of a repeated chunk is removed.
+occurrence but the first of a repeated chunk is removed. Passages that hold no
+whole chunk are found through the smallest runs of lines with enough words, taken
+from every line on and back from every line.
 """
 
 from __future__ import annotations
@@ -13,11 +15,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import written
+from .pii import _scan
 
 #: One line break in so many is a cut, on average.
 SPACING = 4
 #: A line of so many words is a chunk of its own.
 LONG_LINE = 50
+#: Words of a passage that is removed wherever its lines are cut.
+PASSAGE = 50
+KEY = ["key"]
 
 
 def _rolled(h: str) -> Column:
@@ -31,9 +37,16 @@ def _words(x: Column) -> Column:
     return F.length(x) - F.length(F.replace(x, F.lit(" "), F.lit(""))) + 1
 
 
+def _words_or_none(x: Column) -> Column:
+    """Words of a line; indents and blank lines have none."""
+    x = F.trim(F.replace(x, F.lit("\t"), F.lit(" ")), F.lit(" \r\f\v"))
+    return F.when(x == "", 0).otherwise(_words(x))
+
+
 def with_chunks(df: DataFrame, text: str, spacing: int = SPACING, long_line: int = LONG_LINE) -> DataFrame:
-    """``df`` plus ``c``: the chunks of the column ``text``, in order; joined by
-    line feeds they give the text (null for null).
+    """``df`` plus the lines of the column ``text`` (``c_lines``), whether each is
+    long (``c_long``), and ``c_first`` and ``c_last``, the first and last line of
+    each chunk, in order (null for null).
 
     A chunk ends after a line where the rolling hash of the last two lines is
     divisible by ``spacing``, and before and after every line of ``long_line``
@@ -47,14 +60,52 @@ def with_chunks(df: DataFrame, text: str, spacing: int = SPACING, long_line: int
         F.lit(False))), lambda a, b: a | b)
     df = df.select("*", F.zip_with(_rolled("c_hash"), by_long, lambda r, b: b | (
         F.pmod(r, F.lit(spacing)) == 0)).alias("c_ends"))
-    # Places of each chunk's last line; the lines between are sliced out, which
-    # is linear in the text.
     last = F.array_compact(F.transform("c_ends", lambda e, i: F.when(e | (i == F.size("c_ends") - 1), i)))
-    df = df.select(*keep, "c_lines", last.alias("c_last"))
+    df = df.select(*keep, "c_lines", "c_long", last.alias("c_last"))
     first = F.concat(F.array(F.lit(0)), F.transform("c_last", lambda i: i + 1))
-    return df.select(*keep, F.zip_with(
-        "c_last", F.slice(first, F.lit(1), F.size("c_last")),
-        lambda e, s: F.array_join(F.slice("c_lines", s + 1, e - s + 1), "\n")).alias("c"))
+    return df.select("*", F.slice(first, F.lit(1), F.size("c_last")).alias("c_first"))
+
+
+def _joined(first: Column, last: Column) -> Column:
+    """Lines ``first`` to ``last``: sliced, which is linear in the text."""
+    return F.array_join(F.slice("c_lines", first + 1, last - first + 1), "\n")
+
+
+def with_passages(df: DataFrame, min_words: int) -> DataFrame:
+    """``df`` plus ``c_spans``: the smallest runs of lines with ``min_words``
+    words, one from each line on and one back from each line, without repeats;
+    first line times 2^32 plus last line.
+
+    If two texts share a run of lines with that many words, the run from a
+    shared line on or the run back from it (or from the last shared line) lies
+    within what they share, so these runs together cover all of it, whatever
+    stands around it."""
+    keep = df.columns
+    df = df.select("*", F.transform("c_lines", _words_or_none).alias("c_words"))
+    df = df.select(*keep, F.concat(F.array(F.lit(0)), _scan(
+        F.col("c_words"), lambda a, b: a + b, 0)).alias("c_upto"))
+    df = df.select("*", F.filter(F.array(*[F.lit(1 << k) for k in range(30, -1, -1)]),
+                                 lambda d: d < F.size("c_upto")).alias("c_steps"))
+    n = F.size("c_lines")
+
+    def upto(i: Column) -> Column:
+        return F.get("c_upto", i)
+
+    # Binary search in the running word counts; -1 and n: not enough words.
+    def on(i: Column) -> Column:
+        return F.aggregate("c_steps", i, lambda at, d: F.when(
+            (at + d <= n) & (upto(at + d) - upto(i) < min_words), at + d).otherwise(at))
+
+    def back(i: Column) -> Column:
+        return F.aggregate("c_steps", i + 1, lambda at, d: F.when(
+            (at >= d) & (upto(i + 1) - upto(at - d) < min_words), at - d).otherwise(at)) - 1
+
+    df = df.select(*keep, F.transform("c_lines", lambda _, i: on(i)).alias("c_on"),
+                   F.transform("c_lines", lambda _, i: back(i)).alias("c_back"))
+    spans = F.concat(
+        F.transform("c_on", lambda e, i: F.when(e < n, F.shiftleft(i.cast("long"), 32) + e)),
+        F.transform("c_back", lambda s, i: F.when(s >= 0, F.shiftleft(s.cast("long"), 32) + i)))
+    return df.select(*keep, F.array_distinct(F.array_compact(spans)).alias("c_spans"))
 
 
 def _eligible(chunk: str, long_line: int) -> Column:
@@ -63,66 +114,112 @@ def _eligible(chunk: str, long_line: int) -> Column:
         _words(F.col(chunk)) >= long_line)
 
 
-def _row_key(id_col: str, text: Column) -> Column:
-    """Order and key of a document: its id, then a hash of its text; null ids last.
-    Times 2^31 it still has room for a chunk's place in 38 digits."""
+def _row_key(id_col: str, text: Column) -> list[Column]:
+    """Order and key of a document: its id, then a hash of its text; null ids last."""
     number = F.coalesce(F.col(id_col).cast("decimal(20,0)"), F.lit(str(2**63)).cast("decimal(20,0)"))
-    return (number * F.lit(2**32).cast("decimal(10,0)")
-            + F.xxhash64(text).bitwiseAND(F.lit(2**32 - 1)).cast("decimal(10,0)")).cast("decimal(34,0)")
+    return [(number * F.lit(2**32).cast("decimal(10,0)")
+             + F.xxhash64(text).bitwiseAND(F.lit(2**32 - 1)).cast("decimal(10,0)")).cast("decimal(34,0)").alias("key")]
+
+
+def _pieces(min_words: int | None, long_line: int) -> Column:
+    """What may count as repeated: ``struct<first, last, body>``. A chunk's body
+    is its bytes; a passage's, as passages overlap, the SHA-256 of its bytes."""
+    chunks = F.zip_with("c_first", "c_last", lambda s, e: F.struct(
+        s.alias("first"), e.alias("last"), _joined(s, e).cast("binary").alias("body")))
+    if min_words is None:
+        return chunks
+    # A long line is a chunk already.
+    spans = F.filter(F.transform("c_spans", lambda x: F.struct(
+        F.shiftright(x, 32).cast("int").alias("first"), x.bitwiseAND(F.lit(2**32 - 1)).cast("int").alias("last"))),
+        lambda x: (x["first"] < x["last"]) | ~F.get("c_long", x["first"]))
+    return F.concat(chunks, F.transform(spans, lambda x: F.struct(
+        x["first"].alias("first"), x["last"].alias("last"),
+        F.unhex(F.sha2(_joined(x["first"], x["last"]), 256)).alias("body"))))
+
+
+def _written_alone(df: DataFrame, name: str) -> DataFrame:
+    """``written``, and the shuffle files of the query go when it ends, not when
+    the driver happens to collect its garbage."""
+    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(key)
+    conf.set(key, "true")
+    try:
+        return written(df, name)
+    finally:
+        conf.set(key, before)
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 length_col: str | None = "n_chars", spacing: int = SPACING,
-                long_line: int = LONG_LINE) -> DataFrame:
+                long_line: int = LONG_LINE, min_words: int | None = None) -> DataFrame:
     """``docs`` as a struct ``doc`` with the text shortened (and ``length_col``
-    set to its new length), plus ``n_removed``, the number of chunks taken out.
+    set to its new length), plus ``n_removed``, the number of pieces taken out
+    (those that overlap count as one).
 
     A chunk counts as repeated when the same bytes occur elsewhere, in another
     document or the same one; the occurrence in the smallest id (then the
-    smallest text hash, then the earliest place) stays. Should different chunks
+    smallest text hash, then the earliest place) stays. With ``min_words`` every
+    run of lines with so many words is judged in the same way, wherever the
+    chunks are cut (see ``with_passages``). A removed line thus always stays
+    at an earlier place. Should different chunks
     share both hashes by which their rows are joined, none of them is removed.
     Null texts stay null, a text of nothing but repeats becomes empty. Documents
     with a null id come last in the order. Rows equal in id and text count as one
     document and keep the same chunks. Empty tables and other columns are fine.
     """
     text = F.col(text_col).cast("string")
-    pieces = with_chunks(docs.filter(text.isNotNull()).select(
-        _row_key(id_col, text).alias("key"), text.alias("t")), "t", spacing, long_line)
+    cut = with_chunks(docs.filter(text.isNotNull()).select(
+        *_row_key(id_col, text), text.alias("t")), "t", spacing, long_line)
+    if min_words is not None:
+        cut = with_passages(cut, min_words)
     pieces = (
         # The outer form: for the inner one Spark would work out every step once
         # more in a filter on the array's size. Texts always have a chunk.
-        pieces.select("key", F.posexplode_outer("c").alias("at", "chunk"))
-        .withColumn("may", _eligible("chunk", long_line))
-        .withColumn("place", F.expr("CAST(key * 2147483648BD + at AS DECIMAL(38, 0))"))
-        .withColumn("h1", F.xxhash64("chunk")).withColumn("h2", F.hash("chunk")))
+        cut.select(*KEY, F.size("c_first").alias("chunks"), F.posexplode_outer(
+            _pieces(min_words, long_line)).alias("at", "piece"))
+        .select(*KEY, "piece.*", (F.col("at") >= F.col("chunks")).alias("passage"),
+                F.col("piece.body").cast("string").alias("chunk"))
+        .withColumn("may", F.col("passage") | _eligible("chunk", long_line))
+        .select(*KEY, "first", "last", "body", "may",
+                F.xxhash64("body").alias("h1"), F.hash("body").alias("h2")))
 
     # Byte comparison: equal rows here are equal texts.
-    same = (pieces.filter("may").groupBy("h1", "h2", "chunk")
-            .agg(F.min("place").alias("first"), F.count("*").alias("n")))
+    same = (pieces.filter("may").groupBy("h1", "h2", "body")
+            .agg(F.min("key").alias("first_key"), F.count("*").alias("n")))
     repeated = (same.groupBy("h1", "h2")
-                .agg(F.count("*").alias("texts"), F.sum("n").alias("n"), F.min("first").alias("first"))
-                .filter("texts = 1 AND n > 1").select("h1", "h2", "first"))
-    # Written, so that the shuffle of the chunks' bytes is not kept beside that of the texts.
-    drops = written(pieces.filter("may").select("key", "at", "place", "h1", "h2")
-                    .join(repeated, ["h1", "h2"]).filter("place <> first")
-                    .groupBy("key").agg(F.collect_set("at").alias("gone")), "repeated-chunks")
+                .agg(F.count("*").alias("texts"), F.sum("n").alias("n"), F.min("first_key").alias("first_key"))
+                .filter("texts = 1 AND n > 1").select("h1", "h2", "first_key"))
+    # Of the document that keeps a piece all its places come along, the first of
+    # them is left out after the sort. Written, so that the shuffle of the
+    # chunks' bytes is not kept beside that of the texts.
+    found = (pieces.filter("may").select(*KEY, "first", "last", "h1", "h2")
+             .join(repeated, ["h1", "h2"])
+             .groupBy(*KEY).agg(F.array_sort(F.collect_set(F.struct(
+                 "h1", "h2", "first", "last", (F.col("key") == F.col("first_key")).alias("keeps")))).alias("f")))
+    drops = _written_alone(found.select(*KEY, F.array_sort(F.transform(F.filter("f", lambda x, i: ~x["keeps"] | (
+        (i > 0) & (F.get("f", i - 1)["h1"] == x["h1"]) & (F.get("f", i - 1)["h2"] == x["h2"]))),
+        lambda x: F.struct(x["first"].alias("first"), x["last"].alias("last")))).alias("gone"))
+        .filter(F.size("gone") > 0), "repeated-chunks")
 
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
-                        _row_key(id_col, text).alias("key"), text.alias("t"))
+                        *_row_key(id_col, text), text.alias("t"))
     # The same join at every size: what is dropped grows with the corpus.
-    cut = with_chunks(whole.join(drops.hint("merge"), "key", "left").withColumn(
-        "cut", F.when(F.col("gone").isNotNull(), F.col("t"))), "cut", spacing, long_line)
-    # The runs of chunks between removed ones: linear in the text.
-    gone = F.array_sort("gone")
-    starts = F.concat(F.array(F.lit(0)), F.transform(gone, lambda g: g + 1))
-    ends = F.concat(gone, F.array(F.size("c")))
+    cut = whole.join(drops.hint("merge"), KEY, "left").select("doc", "t", "gone", _scan(
+        F.transform("gone", lambda x: x["last"] + 1), lambda a, b: F.greatest(a, b), 0).alias("upto"),
+        F.split(F.when(F.col("gone").isNotNull(), F.col("t")), "\n", -1).alias("lines"))
+    # The runs of lines between removed ones: linear in the text.
+    starts = F.concat(F.array(F.lit(0)), F.col("upto"))
+    ends = F.concat(F.transform("gone", lambda x: x["first"]), F.array(F.size("lines")))
     kept = F.when(F.col("gone").isNull(), F.col("t")).otherwise(F.array_join(F.flatten(
-        F.zip_with(starts, ends, lambda s, e: F.slice("c", s + 1, e - s))), "\n"))
+        F.zip_with(starts, ends, lambda s, e: F.slice("lines", s + 1, F.greatest(e - s, F.lit(0))))), "\n"))
+    # Those that start where the ones before have ended.
+    apart = F.filter(F.zip_with("gone", F.slice(starts, F.lit(1), F.size("gone")),
+                                lambda x, b: x["first"] >= b), lambda x: x)
     out = cut.withColumn("t2", kept)
     fields = [F.col("t2").alias(c) if c == text_col
               else F.when(F.col("t2").isNull(), F.col(f"doc.`{c}`")).otherwise(
                   F.length("t2")).cast(dict(docs.dtypes)[c]).alias(c) if c == length_col
               else F.col(f"doc.`{c}`") for c in docs.columns]
     return out.select(F.struct(*fields).alias("doc"),
-                      F.coalesce(F.when(F.col("gone").isNotNull(), F.size("gone")),
+                      F.coalesce(F.when(F.col("gone").isNotNull(), F.size(apart)),
                                  F.lit(0)).alias("n_removed"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .byte_bpe import encode_decode
 from .common import table
-from .line_dedup import dedup_lines
+from .line_dedup import PASSAGE, dedup_lines
 from .packing import pack
 from .phrases import edited_likeness
 from .pii import BASE_KINDS, find_pii, span_list
@@ -163,7 +163,7 @@ def op8_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op9_line_dedup")
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
-    return dedup_lines(docs).select(
+    return dedup_lines(docs, min_words=PASSAGE).select(
         "doc.doc_id", "doc.text", "doc.n_chars", "n_removed")
 
 

@@ -89,3 +89,46 @@ def test_null_and_repeated_ids(spark):
 
 def test_empty_table(spark):
     assert dedup_lines(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def brute_passages(rows, m=50):
+    """Every run of lines with m words that occurs at an earlier place."""
+    lines = {i: t.split("\n") for i, t in rows}
+    seen, gone = set(), set()
+    for i in sorted(lines):
+        n = len(lines[i])
+        for a in range(n):
+            for b in range(a + 1, n + 1):
+                if sum(len(x.split()) for x in lines[i][a:b]) >= m:
+                    run = tuple(lines[i][a:b])
+                    gone |= {(i, k) for k in range(a, b)} if run in seen else set()
+                    seen.add(run)
+    return gone
+
+
+def test_short_passages_go_whole(spark):
+    rnd = random.Random(8)
+
+    def line(n):
+        return " ".join("".join(rnd.choice("abcdefghijkl") for _ in range(4)) for _ in range(n))
+
+    passages = [[line(rnd.choice([0, 3, 12, 24, 40])) for _ in range(rnd.randint(3, 6))] for _ in range(8)]
+    rows = []
+    for i in range(40):
+        t = [line(rnd.randint(0, 20)) for _ in range(rnd.randint(1, 6))]
+        at = rnd.randint(0, len(t))
+        t[at:at] = passages[i % 8]
+        rows.append((i, "\n".join(t)))
+    rows.append((50, "\n".join(passages[0] + ["new"] + passages[0])))
+    df = spark.createDataFrame([(i, t, "en", "s", -1) for i, t in rows], SCHEMA)
+    got = {r.doc.doc_id: r.doc.text for r in dedup_lines(df, min_words=50).collect()}
+    gone = brute_passages(rows)
+    assert len({i for i, _ in gone}) > 25
+    for i, t in rows:
+        want = "\n".join(x for k, x in enumerate(t.split("\n")) if (i, k) not in gone)
+        # Chunks may take more (never less), and what goes stands in an earlier place.
+        left = iter(want.split("\n"))
+        assert all(x in left for x in got[i].split("\n")) or got[i] == ""
+    kept = {x for t in got.values() for x in t.split("\n")}
+    assert {x for _, t in rows for x in t.split("\n") if x} <= kept
+    assert got[50] == "new"
