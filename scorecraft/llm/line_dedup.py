@@ -23,7 +23,7 @@ SPACING = 4
 LONG_LINE = 50
 #: Words of a passage that is removed wherever its lines are cut.
 PASSAGE = 50
-KEY = ["key"]
+KEY = ["key", "key2"]
 
 
 def _rolled(h: str) -> Column:
@@ -115,10 +115,12 @@ def _eligible(chunk: str, long_line: int) -> Column:
 
 
 def _row_key(id_col: str, text: Column) -> list[Column]:
-    """Order and key of a document: its id, then a hash of its text; null ids last."""
+    """Order and key of a document: its id, then 62 bits of its text's hash, which
+    together fill a decimal; then a second hash. Null ids last."""
     number = F.coalesce(F.col(id_col).cast("decimal(20,0)"), F.lit(str(2**63)).cast("decimal(20,0)"))
-    return [(number * F.lit(2**32).cast("decimal(10,0)")
-             + F.xxhash64(text).bitwiseAND(F.lit(2**32 - 1)).cast("decimal(10,0)")).cast("decimal(34,0)").alias("key")]
+    return [(number * F.lit(str(2**62)).cast("decimal(19,0)")
+             + F.xxhash64(text).bitwiseAND(F.lit(2**62 - 1)).cast("decimal(19,0)")).cast("decimal(38,0)").alias("key"),
+            F.hash(text).alias("key2")]
 
 
 def _pieces(min_words: int | None, long_line: int) -> Column:

@@ -132,3 +132,26 @@ def test_short_passages_go_whole(spark):
     kept = {x for t in got.values() for x in t.split("\n")}
     assert {x for _, t in rows for x in t.split("\n") if x} <= kept
     assert got[50] == "new"
+
+
+def test_equal_ids_and_half_hashes(spark):
+    shared, own = "\n".join(["a b " * 30] * 2), "\n".join(["c d " * 30, "e f " * 30])
+
+    def low(t):
+        return xxhash.xxh64_intdigest(t.encode(), 42) % 2**32
+
+    n = 300_000
+    by_low = {low(f"{shared}\n{k}"): k for k in range(n)}
+    pair = next((by_low[h], k) for k in range(n) if (h := low(f"{own}\n{k}")) in by_low)
+    texts = [f"{shared}\n{pair[0]}", f"{own}\n{pair[1]}"]
+    df = spark.createDataFrame([(1, shared, "en", "s", 1)] + [(None, t, "en", "s", 1) for t in texts], SCHEMA)
+    got = [r.doc.text for r in dedup_lines(df).collect() if r.doc.doc_id is None]
+    assert sorted(got) == sorted([str(pair[0]), texts[1]])
+
+
+def test_widest_ids(spark):
+    t = "\n".join(["a b " * 30, "c d " * 30])
+    ids = [2**63 - 1, None, -2**63]
+    df = spark.createDataFrame([(i, t + f"\n{i}", "en", "s", 1) for i in ids], SCHEMA)
+    got = {r.doc.doc_id: r.doc.text for r in dedup_lines(df).collect()}
+    assert got == {-2**63: t + f"\n{-2**63}", 2**63 - 1: str(2**63 - 1), None: "None"}
