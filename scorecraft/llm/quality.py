@@ -1,14 +1,10 @@
 """Quality rules: counting rules of one text, and n-gram perplexity bands.
 
-Perplexity comes from a modified Kneser-Ney model per language, of order 3 over
-a folded alphabet of 64 symbols. Spark counts every n-gram of every document;
-the model of a language has at most 64 + 64^2 + 64^3 entries, kept as sorted
-arrays of 64-bit n-gram hashes with their log probabilities and back-off
-weights. So what is broadcast is bounded by the alphabet and by the number of
-language slots (``SLOTS``, about 200 MB if every entry of every slot is used; a
-few MB in practice), not by the corpus. A document is rejected when its mean log
-perplexity lies outside its language's band, which is set from quantiles over
-all documents of the language.
+Perplexity comes from a modified Kneser-Ney model of whole code points per
+language (``language_model``), which grows with the corpus and is read by the
+tasks in buckets. A document is rejected when its mean log perplexity lies
+outside its language's band, which is set from quantiles over all documents of
+the language. ``KneserNey`` is the small in-memory form over a folded alphabet.
 """
 
 from __future__ import annotations
@@ -22,10 +18,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import prepare, written
+from .language_model import Reader, fit_model, lang_key
 
 SYMBOLS, ORDER = 64, 3
-#: Languages are dealt to this many models by hash; equal hashes share a model.
-SLOTS = 64
 #: Characters worked on at once.
 SLICE = 1 << 20
 
@@ -194,74 +189,21 @@ class KneserNey:
         return out
 
 
-def _slot(lang: str) -> Column:
-    return F.pmod(F.xxhash64(F.coalesce(F.col(lang).cast("string"), F.lit(""))),
-                  F.lit(SLOTS)).cast("int")
-
-
-def fit_models(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
-               ) -> dict[int, KneserNey]:
-    """A model per language slot from the n-grams of all documents."""
-    prepare(docs.sparkSession)
-
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sums: dict[int, np.ndarray] = {}  # at most SLOTS tables of 2 MB
-        for pdf in batches:
-            for slot, text in zip(pdf["slot"], pdf["text"], strict=True):
-                table = sums.setdefault(slot, np.zeros(SYMBOLS**ORDER, np.int64))
-                for codes in gram_codes(text or ""):
-                    if len(codes) > 8 * 4096:
-                        table += np.bincount(codes, minlength=SYMBOLS**ORDER)
-                    else:
-                        np.add.at(table, codes, 1)
-        for slot, table in sums.items():
-            gram = np.flatnonzero(table)
-            yield pd.DataFrame({"slot": slot, "gram": gram, "n": table[gram]})
-
-    def build(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("gram")
-        m = KneserNey.fit(pdf["gram"].to_numpy(), pdf["n"].to_numpy())
-        return pd.DataFrame({"slot": [pdf["slot"].iloc[0]], "keys": [m.keys.tobytes()],
-                             "logp": [m.logp.tobytes()], "backoff": [m.backoff.tobytes()]})
-
-    counts = (docs.select(_slot(lang_col).alias("slot"), F.col(text_col).cast("string").alias("text"))
-              .mapInPandas(count, "slot int, gram int, n long")
-              .groupBy("slot", "gram").agg(F.sum("n").alias("n")))
-    # A slot has at most SYMBOLS^ORDER n-grams, so neither a group nor what
-    # reaches the driver grows with the corpus.
-    rows = counts.groupBy("slot").applyInPandas(
-        build, "slot int, keys binary, logp binary, backoff binary").collect()
-    return {r["slot"]: KneserNey(np.frombuffer(r["keys"], np.uint64),
-                                 np.frombuffer(r["logp"], np.float32),
-                                 np.frombuffer(r["backoff"], np.float32)) for r in rows}
-
-
 FEATURES = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, "
             "n_repeat_words long, log_perplexity double")
 
 
-def _features(models, slot: Column, text: Column) -> Column:
+def _features(folder: str, buckets: int, lang: Column, text: Column) -> Column:
     """Struct of the counting rules' numbers and the mean negative log
     probability of a character (null without characters)."""
     def of(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        known: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        for slots, texts in batches:
-            out = []
-            for s, t in zip(slots, texts, strict=True):
-                if s not in known:
-                    known[s] = np.zeros(SYMBOLS**ORDER), np.zeros(SYMBOLS**ORDER, bool)
-                value, looked = known[s]
-                total = 0.0
-                for codes in gram_codes(t or ""):
-                    new = np.unique(codes[~looked[codes]])
-                    if len(new):
-                        value[new] = models.value[s].log_prob(new)
-                        looked[new] = True
-                    total += value[codes].sum()
-                out.append((*rule_counts(t), -total / len(t) if t else None))
-            yield pd.DataFrame(out, columns=[x.split()[0] for x in FEATURES.split(", ")])
-
-    return F.pandas_udf(of, FEATURES)(slot, text)
+        reader = Reader(folder, buckets)
+        for langs, texts in batches:
+            totals = reader.totals(langs.tolist(), texts.tolist())
+            yield pd.DataFrame([(*rule_counts(t), -total / len(t) if t else None) for t, total in zip(
+                texts, totals, strict=True)], columns=[x.split()[0] for x in FEATURES.split(", ")])
+
+    return F.pandas_udf(of, FEATURES)(lang, text)
 
 
 def judged(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
@@ -277,19 +219,20 @@ def judged(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
     table gives an empty result.
     """
     spark = docs.sparkSession
-    models = spark.sparkContext.broadcast(fit_models(docs, text_col, lang_col))
+    prepare(spark)
+    folder, buckets = fit_model(docs, text_col, lang_col)
     scored = written(docs.select(
         F.struct(*[F.col(f"`{c}`") for c in keep or docs.columns]).alias("doc"),
-        _slot(lang_col).alias("slot"),
-        _features(models, _slot(lang_col), F.col(text_col).cast("string")).alias("q"),
-    ).select("doc", "slot", "q.*").withColumn("base_failed", F.expr(
+        lang_key(lang_col).alias("language"),
+        _features(folder, buckets, lang_key(lang_col), F.col(text_col).cast("string")).alias("q"),
+    ).select("doc", "language", "q.*").withColumn("base_failed", F.expr(
         "n_words < 10 OR 100 * n_repeat_words > 20 * n_words")), "quality")
-    bands = scored.filter("not base_failed").groupBy("slot").agg(
+    bands = scored.filter("not base_failed").groupBy("language").agg(
         F.percentile_approx("log_perplexity", [0.25, 0.5, 0.75], 10000).alias("p"))
-    # SLOTS rows at most. The mean over a short text scatters more, so its band is wider.
+    # The mean over a short text scatters more, so its band is wider.
     reach = f"{float(width)} * sqrt(1 + {float(settle)} / greatest(word_chars, 1))"
     return (
-        scored.join(F.broadcast(bands), "slot", "left")
+        scored.join(bands, "language", "left")
         .withColumn("low", F.expr(f"p[1] - (p[1] - p[0]) * {reach}"))
         .withColumn("high", F.expr(f"p[1] + (p[2] - p[1]) * {reach}"))
         .withColumn("kept", F.coalesce(
