@@ -72,3 +72,23 @@ def test_model_grows_and_languages_keep_their_bands(spark):
     assert len({(r.low / r.log_perplexity > 0, got[i].doc.lang) for i, r in got.items()}) == 2
     small = L.count_grams(df.limit(1), "text", "lang").count()
     assert L.count_grams(df, "text", "lang").count() > 2 * small
+
+
+def test_null_language_beside_german(spark):
+    rnd = random.Random(7)
+
+    def texts(syllables, n):
+        return [" ".join("".join(rnd.choice(syllables) for _ in range(3)) for _ in range(150)) for _ in range(n)]
+
+    # Null, "", "de" and "pl" shared a hash slot.
+    rows = [(i, t, "de") for i, t in enumerate(texts(["sch", "er", "ung", "ei"], 20))]
+    others = [(None, ["ka", "lo", "mi"]), ("", ["zu", "fy"]), ("pl", ["cz", "ow", "ie"])]
+    for k, (lang, syllables) in enumerate(others, 1):
+        rows += [(100 * k + i, t, lang) for i, t in enumerate(texts(syllables, 6))]
+    got = Q.judged(spark.createDataFrame(rows, SCHEMA)).collect()
+    alone = [x for k in (None, "", "pl", "de") for x in Q.judged(spark.createDataFrame(
+        [r for r in rows if r[2] == k], SCHEMA)).collect()]
+    want = {r.doc.doc_id: (r.log_perplexity, r.low, r.high) for r in alone}
+    assert {r.doc.doc_id for r in got} == set(want)
+    for r in got:
+        assert (r.log_perplexity, r.low, r.high) == pytest.approx(want[r.doc.doc_id], abs=1e-6)
