@@ -207,7 +207,7 @@ def _features(folder: str, buckets: int, lang: Column, text: Column) -> Column:
 
 
 def judged(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
-           width: float = 8.0, settle: float = 1000.0, keep: list[str] | None = None) -> DataFrame:
+           width: float = 4.0, settle: float = 1000.0, keep: list[str] | None = None) -> DataFrame:
     """The columns ``keep`` of ``docs`` (all by default) as a struct ``doc`` with the rules' numbers, ``base_failed``,
     ``log_perplexity``, the band ``low``/``high`` of its language, and ``kept``.
 
@@ -241,6 +241,6 @@ def judged(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
 
 
 def keep_good(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
-              width: float = 8.0, settle: float = 1000.0) -> DataFrame:
+              width: float = 4.0, settle: float = 1000.0) -> DataFrame:
     """The rows of ``docs``, all columns, that the rules and the band keep."""
     return judged(docs, text_col, lang_col, width, settle).filter("kept").select("doc.*")

@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from scorecraft.llm import quality as Q
 
@@ -107,3 +108,13 @@ def test_judged_rows(spark):
 
 def test_empty_table(spark):
     assert Q.judged(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_band_rejects_labelled_junk(spark):
+    folder = "/root/testdata/sf0.01"
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text", "lang")
+    got = Q.judged(docs, keep=["doc_id"]).filter("not base_failed").select("doc.doc_id", "kept").join(labels, "doc_id")
+    share = {r.quality: r.share for r in got.groupBy("quality").agg(
+        F.avg(F.col("kept").cast("int")).alias("share")).collect()}
+    assert share[1] > 0.97 and share[0] < 0.8
