@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Characters before a span in which context words count.
+#: Characters before and after a span in which context words count.
 NEAR = 40
 
 
@@ -95,13 +95,14 @@ def _scan(numbers: Column, join: Callable[[Column, Column], Column], zero: int)
             a, F.lit(1), F.size(a) - d)), join)).otherwise(a))
 
 
-def _score(kind: Kind, before: Column) -> Column:
-    near = F.lower(F.right(before, F.lit(NEAR))).rlike(rf"\b(?:{'|'.join(kind.words)})")
+def _score(kind: Kind, c: Column) -> Column:
+    words = rf"\b(?:{'|'.join(kind.words)})"
+    near = F.lower(c["before"]).rlike(words) | F.lower(c["after"]).rlike(words)
     return F.least(F.lit(1.0), F.lit(kind.score) + F.when(near, kind.bonus).otherwise(0.0))
 
 
 def find_pii(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None,
-             more: tuple[Kind, ...] = MORE_KINDS) -> DataFrame:
+             more: tuple[Kind, ...] = MORE_KINDS, beyond: bool = False) -> DataFrame:
     """The columns ``keep`` of ``docs`` (all by default) as a struct ``doc``, the
     text ``t`` (null: empty), and ``base`` and ``added``, arrays of
     ``struct<kind, start, end, score>`` in the order of the kinds, then start.
@@ -110,7 +111,8 @@ def find_pii(docs: DataFrame, text_col: str = "text", keep: list[str] | None = N
     confirms, in code points, end exclusive; spans of different kinds may
     overlap. Base spans stay whatever their score, the others must reach their
     kind's. Context words count in the ``NEAR`` characters before a span, as far
-    back as the last match of the kind. Empty and very long texts, repeated rows
+    back as the last match of the kind; with ``beyond`` also past that match and
+    in the ``NEAR`` characters after the span. Empty and very long texts, repeated rows
     and empty tables need no special care: each row is judged by itself.
     """
     kinds = (*BASE_KINDS, *more)
@@ -131,16 +133,24 @@ def find_pii(docs: DataFrame, text_col: str = "text", keep: list[str] | None = N
     df = df.select("doc", "t", *[F.zip_with(F.arrays_zip(
         F.col(f"f_{n}").alias("m"), F.col(f"e_{n}").alias("end")), F.col(f"g_{n}"),
         lambda x, g: F.struct((x["end"] - F.length(x["m"])).alias("start"), x["end"].alias("end"),
-                              x["m"].alias("m"), g.alias("g"))).alias(f"c_{n}") for n in names])
+                              x["m"].alias("m"), F.length(g).alias("g"))).alias(f"c_{n}") for n in names])
+    # With ``beyond`` from the text itself, whatever other matches stand there.
+    def back(c: Column) -> Column:
+        return F.least(c["start"], F.lit(NEAR)) if beyond else F.least(c["g"], F.lit(NEAR))
+
+    df = df.select("doc", "t", *[F.transform(f"c_{n}", lambda c: F.struct(
+        c["start"].alias("start"), c["end"].alias("end"), c["m"].alias("m"),
+        F.substr("t", c["start"] - back(c) + 1, back(c)).alias("before"),
+        F.substr("t", c["end"] + 1, F.lit(NEAR if beyond else 0)).alias("after"))).alias(f"c_{n}") for n in names])
 
     def spans(kind: Kind, base: bool) -> Column:
         def good(c: Column) -> Column:
             ok = kind.confirm(c["m"])
-            return ok if base else ok & (_score(kind, c["g"]) >= kind.needs)
+            return ok if base else ok & (_score(kind, c) >= kind.needs)
 
         return F.transform(F.filter(f"c_{kind.name}", good), lambda c: F.struct(
             F.lit(kind.name).alias("kind"), c["start"].alias("start"), c["end"].alias("end"),
-            _score(kind, c["g"]).alias("score")))
+            _score(kind, c).alias("score")))
 
     return df.select("doc", "t", F.concat(*[spans(k, True) for k in BASE_KINDS]).alias("base"),
                      F.concat(*[spans(k, False) for k in more]).alias("added") if more else F.array().cast(
@@ -154,11 +164,11 @@ def span_list(spans: Column) -> Column:
 
 
 def mask_pii(docs: DataFrame, text_col: str = "text", length_col: str | None = "n_chars",
-             more: tuple[Kind, ...] = MORE_KINDS) -> DataFrame:
+             more: tuple[Kind, ...] = MORE_KINDS, beyond: bool = False) -> DataFrame:
     """``docs``, all columns, with each span replaced by its kind in brackets
     and ``length_col`` set to the new length. Where spans overlap, their union is
     replaced by the kind that starts first. A null text stays null."""
-    df = find_pii(docs, text_col, more=more).select("doc", "t", F.array_sort(F.transform(
+    df = find_pii(docs, text_col, more=more, beyond=beyond).select("doc", "t", F.array_sort(F.transform(
         F.concat("base", "added"), lambda s: F.struct(
             s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))).alias("s"))
     df = df.select("doc", "t", "s", _scan(

@@ -95,7 +95,7 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ------------------------------------------------------------------- op2: PII
 @register("op2_pii")
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = find_pii(table(spark, sf_dir, "documents").select("doc_id", "text"), keep=["doc_id"])
+    found = find_pii(table(spark, sf_dir, "documents").select("doc_id", "text"), keep=["doc_id"], beyond=True)
     found = found.select("doc.doc_id", "base", "added")
 
     def n_of(kind: str):

@@ -103,3 +103,11 @@ def test_query_digest(spark, tmp_path):
 def test_empty_table(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert find_pii(df).collect() == [] and mask_pii(df).collect() == []
+
+
+def test_context_beyond_a_match_and_after_it(spark):
+    texts = ["SSN: 123-45-6789, 234-56-7890", "123-45-6789 (social security number)",
+             "ssn" + " " * 41 + "123-45-6789", "123-45-6789" + " " * 41 + "ssn"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc.doc_id: [(s.start, s.end) for s in r.added] for r in find_pii(df, beyond=True).collect()}
+    assert got == {0: [(5, 16), (18, 29)], 1: [(0, 11)], 2: [], 3: []}
