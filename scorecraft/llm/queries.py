@@ -8,7 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .byte_bpe import encode_decode
+from .centroids import cluster_vectors, digest
 from .common import table
+from .decontaminate import find_contamination
+from .divergence import source_divergence
 from .line_dedup import PASSAGE, dedup_lines
 from .packing import pack
 from .phrases import edited_likeness
@@ -16,6 +19,7 @@ from .pii import BASE_KINDS, find_pii, span_list
 from .quality import judged
 from .sharding import byte_shards
 from .simhash import simhash_groups
+from .sql import CENTROIDS_SQL, CONTAMINATION_SQL, DIVERGENCE_SQL
 from .token_store import read_tokens, write_tokens
 from .url_filter import judge_urls
 
@@ -174,3 +178,26 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", "n_chars", "edited_sha256", F.lower(F.hex("fingerprint")).alias("fingerprint"),
         F.lower(F.hex("edited_fingerprint")).alias("edited_fingerprint"), "near_edited", "near_next")
+
+
+# ------------------------------------------------ op11: benchmark decontamination
+@register("op11_decontaminate", CONTAMINATION_SQL)
+def op11_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=["doc_id"])
+    return found.select(
+        "doc.doc_id", "n_words", "n_hit", F.size("exact").cast("long").alias("n_items"),
+        F.sha2(F.array_join("exact", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+        F.size("near").cast("long").alias("n_near"))
+
+
+# ------------------------------------------------ op12: source divergence audit
+@register("op12_divergence", DIVERGENCE_SQL)
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(table(spark, sf_dir, "documents"))
+
+
+# ------------------------------------------------------- op13: centroid clustering
+@register("op13_centroids", CENTROIDS_SQL)
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster_vectors(table(spark, sf_dir, "embeddings")).select(
+        "vec_id", "cluster", "distance", "cluster_inertia", "inertia", digest("centroid").alias("centroid_sha256"))
