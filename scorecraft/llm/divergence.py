@@ -165,8 +165,8 @@ def _pair_sums(batches: Iterator[pa.RecordBatch], at_a_time: int) -> Iterator[pa
 def _with_others(df: DataFrame, others: DataFrame, salts: int = 32) -> DataFrame:
     """Join on the language ``l``, dealt over ``salts`` keys a language: a language
     may hold most of the groups."""
-    return (df.withColumn("salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)))
-            .join(others.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("long")),
+    return (df.withColumn("salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int"))
+            .join(others.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))),
                   ["l", "salt"]).filter("g != h").drop("salt"))
 
 

@@ -38,12 +38,17 @@ WITH dw AS (
   SELECT DISTINCT item, t1, coalesce(t2, t1) AS t2, coalesce(t3, t1) AS t3 FROM (
     SELECT item, s, max(t) FILTER (r = 1) AS t1, max(t) FILTER (r = 2) AS t2, max(t) FILTER (r = 3) AS t3
     FROM ranked WHERE least_c > 0 GROUP BY item, s)
+), lists AS MATERIALIZED (
+  SELECT rid, t, list(p) AS ps FROM places
+  WHERE t IN (SELECT t1 FROM probes UNION SELECT t2 FROM probes UNION SELECT t3 FROM probes) GROUP BY rid, t
+), met AS MATERIALIZED (
+  SELECT item, a.rid, a.ps AS p1, b.ps AS p2, c.ps AS p3 FROM probes JOIN lists AS a ON a.t = t1
+  JOIN lists AS b ON b.t = t2 AND b.rid = a.rid JOIN lists AS c ON c.t = t3 AND c.rid = a.rid
 ), near AS (
-  SELECT a.rid, count(DISTINCT item) AS n_near
-  FROM probes JOIN places AS a ON a.t = t1
-  JOIN places AS b ON b.t = t2 AND b.rid = a.rid AND b.p BETWEEN a.p - 19 AND a.p + 19
-  JOIN places AS c ON c.t = t3 AND c.rid = a.rid AND c.p BETWEEN a.p - 19 AND a.p + 19
-  WHERE greatest(a.p, b.p, c.p) - least(a.p, b.p, c.p) < 20 GROUP BY a.rid
+  SELECT rid, count(DISTINCT item) AS n_near FROM met
+  WHERE len(list_filter(list_concat(p1, p2, p3), lambda x: len(list_filter(p1, lambda y: y BETWEEN x AND x + 19)) > 0
+    AND len(list_filter(p2, lambda y: y BETWEEN x AND x + 19)) > 0
+    AND len(list_filter(p3, lambda y: y BETWEEN x AND x + 19)) > 0)) > 0 GROUP BY rid
 )
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
   sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated, coalesce(n_near, 0) AS n_near
