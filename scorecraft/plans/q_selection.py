@@ -103,8 +103,9 @@ def quantile_bucket(spark, d):
     # exact equal-frequency buckets (QuantileDiscretizer with relativeError 0)
     b = bank_view(spark, d)
     splits = sel.quantile_splits(b, ["l_extendedprice"], 5)["l_extendedprice"]
-    return b.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-                    sel.bucket_of_values("`l_extendedprice`", splits).alias("bucket"))
+    return sel.with_buckets(
+        b.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"),
+        {"bucket": (F.col("l_extendedprice"), splits)}).drop("l_extendedprice")
 
 
 @register("monotonic_bins", with_views(_monotonic_ctes(WOE_NUMERIC) + """
