@@ -10,33 +10,72 @@ from collections.abc import Sequence
 
 import numpy as np
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import (PCA, Imputer, IndexToString, Normalizer, StandardScaler,
-                                StringIndexer, VectorAssembler)
+from pyspark.ml.feature import PCA, Imputer, Normalizer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import character_columns, is_missing, numeric_columns
-from . import sampling
+from ..session import scratch_path
+from . import ordering, sampling
+
+
+class CategoryDictionary:
+    """Indices of the categories of several columns, as a table ``column, label,
+    index``: most frequent label first, ties by label, from 0 in each column; NULL has
+    no entry. The labels stay on the cluster whatever their number."""
+
+    def __init__(self, df: DataFrame, cols: Sequence[str], suffix: str = "_index") -> None:
+        self.cols, self.suffix = list(cols), suffix
+        counts = df.select(F.explode(F.array(*[F.struct(
+            F.lit(c).alias("column"), F.col(c).cast("string").alias("label")) for c in self.cols])).alias("x")).select(
+            "x.*").filter("label IS NOT NULL").groupBy("column", "label").agg(F.count("*").alias("n"))
+        path = scratch_path(df.sparkSession, "category-counts")
+        counts.write.parquet(path)
+        counts = df.sparkSession.read.parquet(path)
+        numbered = ordering.grouped_row_number(counts, ["column"], [F.desc("n"), "label"], out="index")
+        path = scratch_path(df.sparkSession, "categories")
+        numbered.select("column", "label", (F.col("index") - 1).cast("double").alias("index")).write.parquet(path)
+        #: Written, so that its true size decides how it is joined.
+        self.table = df.sparkSession.read.parquet(path)
+        #: Labels of each column: the index of NULL and of labels not seen.
+        self.sizes = {r["column"]: r["n"] for r in self.table.groupBy("column").agg(F.count("*").alias("n")).collect()}
+
+    def _of(self, c: str) -> DataFrame:
+        return self.table.filter(F.col("column") == c)
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """``df`` plus the index of each column. Labels that hold much of the rows are
+        split by adaptive execution where the dictionary is too large to broadcast."""
+        for c in self.cols:
+            out = f"{c}{self.suffix}"
+            of = self._of(c).select(F.col("label").alias("_label"), F.col("index").alias(out))
+            df = df.join(of, F.col(c).cast("string") == F.col("_label"), "left").drop("_label").fillna(
+                float(self.sizes.get(c, 0)), subset=[out])
+        return df
+
+    def inverse(self, df: DataFrame, cols: Sequence[str], out_suffix: str = "_label") -> DataFrame:
+        """``df`` plus the label of each column's index; NULL for one not in the table."""
+        for c in cols:
+            of = self._of(c).select(F.col("index").alias("_index"), F.col("label").alias(f"{c}{out_suffix}"))
+            df = df.join(of, F.col(f"{c}{self.suffix}") == F.col("_index"), "left").drop("_index")
+        return df
 
 
 def category_index(df: DataFrame, cols: Sequence[str], suffix: str = "_index"):
-    """One StringIndexer for all columns: most frequent value -> 0, ties by
-    value; unseen / NULL values get the extra index (``handleInvalid=keep``).
-    Returns (indexed DataFrame, fitted model)."""
-    idx = StringIndexer(inputCols=list(cols), outputCols=[f"{c}{suffix}" for c in cols],
-                        handleInvalid="keep", stringOrderType="frequencyDesc")
-    model = idx.fit(df)
+    """Most frequent value of each column -> 0, ties by value; unseen and NULL values
+    get the index after the last. Returns (indexed DataFrame, CategoryDictionary)."""
+    model = CategoryDictionary(df, cols, suffix)
     return model.transform(df), model
 
 
-def index_to_category(df: DataFrame, model, cols: Sequence[str], suffix: str = "_index",
+def index_to_category(df: DataFrame, model: CategoryDictionary, cols: Sequence[str], suffix: str = "_index",
                       out_suffix: str = "_label") -> DataFrame:
-    """Inverse of ``category_index`` via IndexToString and the fitted labels."""
-    for c, labels in zip(cols, model.labelsArray):
-        df = IndexToString(inputCol=f"{c}{suffix}", outputCol=f"{c}{out_suffix}",
-                           labels=list(labels)).transform(df)
-    return df
+    """Inverse of ``category_index`` through its dictionary."""
+    if suffix != model.suffix:
+        df = df.withColumnsRenamed({f"{c}{suffix}": f"{c}{model.suffix}" for c in cols})
+        return model.inverse(df, cols, out_suffix).withColumnsRenamed({f"{c}{model.suffix}": f"{c}{suffix}" for c in cols})
+    return model.inverse(df, cols, out_suffix)
 
 
 def assemble_vectors(df: DataFrame, features: Sequence[str], target: str | None = None,

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
-from ..operators import ordering, shaping
+from ..operators import ordering, profile, shaping
 from ..operators.evaluation import decile_table
 from .q_evaluation import DECILES_SQL
 from .registry import register
@@ -320,8 +320,17 @@ def count_distinct(spark, d):
 SELECT CAST(year(o_orderdate) AS INTEGER) AS year, count(DISTINCT o_custkey) AS n_customers
 FROM orders GROUP BY 1""")
 def count_distinct_by_year(spark, d):
-    return table(spark, d, "orders").groupBy(F.year("o_orderdate").alias("year")).agg(
-        F.countDistinct("o_custkey").alias("n_customers"))
+    orders = table(spark, d, "orders").select(F.year("o_orderdate").alias("year"), "o_custkey")
+    return profile.count_distinct_state(profile.distinct_state(orders, "o_custkey", ["year"]), ["year"], "n_customers")
+
+
+@register("count_distinct_merged", """
+SELECT count(DISTINCT o_custkey) AS n_customers FROM orders""")
+def count_distinct_merged(spark, d):
+    # the whole from one state per year: customers of several years count once
+    orders = table(spark, d, "orders").select(F.year("o_orderdate").alias("year"), "o_custkey")
+    years = profile.distinct_state(orders, "o_custkey", ["year"])
+    return profile.count_distinct_state(profile.merge_distinct(years), out="n_customers")
 
 
 @register("distinct_values", "SELECT DISTINCT l_returnflag, l_linestatus FROM lineitem")

@@ -38,22 +38,29 @@ _Q_COLS = _DESC_COLS
 _PROBS = [0.25, 0.5, 0.75]
 
 
-@register("approx_median", "\nUNION ALL\n".join(
-    f"SELECT '{c}' AS \"column\", {p} AS prob, "
-    f"round((quantile_disc({c}, {p}) - min({c})) * 1.0 / (max({c}) - min({c})), 2) AS position FROM lineitem"
-    for c in _Q_COLS for p in _PROBS))
+def _ranks_sql(error: float) -> str:
+    """Answers are approximate; what must hold of each is its true rank."""
+    return "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS \"column\", CAST({p} AS DOUBLE) AS prob, count({c}) AS n, true AS within FROM lineitem"
+        for c in _Q_COLS for p in _PROBS)
+
+
+@register("approx_median", _ranks_sql(0.001))
 def approx_median(spark, d):
-    # the place of each quantile in its column's range: an approximate quantile
-    # of nearly distinct values may be a rank or two from the exact one
-    li = table(spark, d, "lineitem")
-    ends = li.agg(*[F.min(c).cast("double").alias(f"lo_{c}") for c in _Q_COLS],
-                  *[F.max(c).cast("double").alias(f"hi_{c}") for c in _Q_COLS])
-    span = ends.select(F.explode(F.array(*[F.struct(
-        F.lit(c).alias("column"), F.col(f"lo_{c}").alias("lo"), F.col(f"hi_{c}").alias("hi"))
-        for c in _Q_COLS])).alias("r")).select("r.*")
-    q = profile.approx_quantiles(li, _Q_COLS, _PROBS, relative_error=1e-5)
-    return q.join(F.broadcast(span), "column").select("column", "prob", F.round(F.try_divide(
-        F.col("value") - F.col("lo"), F.col("hi") - F.col("lo")), 2).alias("position"))
+    li = table(spark, d, "lineitem").select(*_Q_COLS)
+    return profile.rank_checked(li, profile.approx_quantiles(li, _Q_COLS, _PROBS, relative_error=0.001), 0.001)
+
+
+_KLL = 2000
+
+
+@register("quantile_sketch_merge", _ranks_sql(2 * profile.kll_rank_error(_KLL)))
+def quantile_sketch_merge(spark, d):
+    # one sketch per year of shipping, merged; twice the stated error holds for all answers
+    li = table(spark, d, "lineitem").select("l_shipdate", *_Q_COLS)
+    years = profile.quantile_state(li.withColumn("year", F.year("l_shipdate")), _Q_COLS, ["year"], _KLL)
+    whole = profile.merge_quantiles(years, _Q_COLS, k=_KLL)
+    return profile.rank_checked(li, profile.quantiles_from(whole, _Q_COLS, _PROBS), 2 * profile.kll_rank_error(_KLL))
 
 
 _CARD_COLS = [*BANK_KEYS, *BANK_NUMERIC, *BANK_CATEGORICAL, "label", "label2"]
