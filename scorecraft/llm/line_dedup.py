@@ -2,11 +2,11 @@
 
 Method: a rolling hash over the hashes of neighbouring lines picks the line
 breaks at which a text is cut, so the same run of lines is cut alike wherever it
-stands. Chunks are then grouped by their bytes (with map-side combining, so a
-chunk held by a third of all documents is one row per task), and every
-occurrence but the first of a repeated chunk is removed. Passages that hold no
-whole chunk are found through the smallest runs of lines with enough words, taken
-from every line on and back from every line.
+stands. Chunks are grouped by hashes of their lines' hashes; those whose hashes
+occur twice are compared by their bytes, and every occurrence but the first of a
+repeated chunk is removed. Passages that hold no whole chunk are found through the
+smallest runs of lines with enough words, taken from every line on and back from
+every line, and compared in the same way.
 """
 
 from __future__ import annotations
@@ -44,9 +44,10 @@ def _words_or_none(x: Column) -> Column:
 
 
 def with_chunks(df: DataFrame, text: str, spacing: int = SPACING, long_line: int = LONG_LINE) -> DataFrame:
-    """``df`` plus the lines of the column ``text`` (``c_lines``), whether each is
-    long (``c_long``), and ``c_first`` and ``c_last``, the first and last line of
-    each chunk, in order (null for null).
+    """``df`` plus the lines of the column ``text`` (``c_lines``), their hashes
+    (``c_hash``), spaces (``c_spaces``) and whether each is long (``c_long``), and
+    ``c_first`` and ``c_last``, the first and last line of each chunk, in order (null
+    for null).
 
     A chunk ends after a line where the rolling hash of the last two lines is
     divisible by ``spacing``, and before and after every line of ``long_line``
@@ -55,24 +56,24 @@ def with_chunks(df: DataFrame, text: str, spacing: int = SPACING, long_line: int
     # One step per select, so that no step's array is computed twice.
     df = df.select("*", F.split(text, "\n", -1).alias("c_lines"))
     df = df.select("*", F.transform("c_lines", lambda x: F.xxhash64(x)).alias("c_hash"),
-                   F.transform("c_lines", lambda x: _words(x) >= long_line).alias("c_long"))
+                   F.transform("c_lines", lambda x: _words(x) - 1).alias("c_spaces"))
+    df = df.select("*", F.transform("c_spaces", lambda n: n + 1 >= long_line).alias("c_long"))
     by_long = F.zip_with("c_long", F.concat(F.slice("c_long", F.lit(2), F.size("c_long")), F.array(
         F.lit(False))), lambda a, b: a | b)
     df = df.select("*", F.zip_with(_rolled("c_hash"), by_long, lambda r, b: b | (
         F.pmod(r, F.lit(spacing)) == 0)).alias("c_ends"))
     last = F.array_compact(F.transform("c_ends", lambda e, i: F.when(e | (i == F.size("c_ends") - 1), i)))
-    df = df.select(*keep, "c_lines", "c_long", last.alias("c_last"))
+    df = df.select(*keep, "c_lines", "c_hash", "c_spaces", "c_long", last.alias("c_last"))
     first = F.concat(F.array(F.lit(0)), F.transform("c_last", lambda i: i + 1))
     return df.select("*", F.slice(first, F.lit(1), F.size("c_last")).alias("c_first"))
 
 
-def _joined(first: Column, last: Column) -> Column:
-    """Lines ``first`` to ``last``: sliced, which is linear in the text."""
-    return F.array_join(F.slice("c_lines", first + 1, last - first + 1), "\n")
+def _run(array: str | Column, first: Column, last: Column) -> Column:
+    return F.slice(array, first + 1, last - first + 1)
 
 
 def with_passages(df: DataFrame, min_words: int) -> DataFrame:
-    """``df`` plus ``c_spans``: the smallest runs of lines with ``min_words``
+    """``df`` (with ``c_words``) plus ``c_spans``: the smallest runs of lines with ``min_words``
     words, one from each line on and one back from each line, without repeats;
     first line times 2^32 plus last line.
 
@@ -81,7 +82,6 @@ def with_passages(df: DataFrame, min_words: int) -> DataFrame:
     within what they share, so these runs together cover all of it, whatever
     stands around it."""
     keep = df.columns
-    df = df.select("*", F.transform("c_lines", _words_or_none).alias("c_words"))
     df = df.select(*keep, F.concat(F.array(F.lit(0)), _scan(
         F.col("c_words"), lambda a, b: a + b, 0)).alias("c_upto"))
     df = df.select("*", F.filter(F.array(*[F.lit(1 << k) for k in range(30, -1, -1)]),
@@ -108,10 +108,10 @@ def with_passages(df: DataFrame, min_words: int) -> DataFrame:
     return df.select(*keep, F.array_distinct(F.array_compact(spans)).alias("c_spans"))
 
 
-def _eligible(chunk: str, long_line: int) -> Column:
-    """Two lines with something on them, or one long line."""
-    return (F.instr(chunk, "\n") > 0) & F.col(chunk).rlike(r"\S[^\S\n]*+\n\s*+\S") | (
-        _words(F.col(chunk)) >= long_line)
+def _eligible(first: Column, last: Column, long_line: int) -> Column:
+    """Two lines with something on them, or ``long_line`` words."""
+    full = F.size(F.filter(_run("c_words", first, last), lambda n: n > 0))
+    return (full > 1) | (F.aggregate(_run("c_spaces", first, last), F.lit(1), lambda x, n: x + n) >= long_line)
 
 
 def _row_key(id_col: str, text: Column) -> list[Column]:
@@ -124,19 +124,23 @@ def _row_key(id_col: str, text: Column) -> list[Column]:
 
 
 def _pieces(min_words: int | None, long_line: int) -> Column:
-    """What may count as repeated: ``struct<first, last, body>``. A chunk's body
-    is its bytes; a passage's, as passages overlap, the SHA-256 of its bytes."""
-    chunks = F.zip_with("c_first", "c_last", lambda s, e: F.struct(
-        s.alias("first"), e.alias("last"), _joined(s, e).cast("binary").alias("body")))
+    """What may count as repeated: ``struct<first, last, h1, h2>``, the hashes being
+    those of the lines' hashes."""
+    def piece(first: Column, last: Column, may: Column) -> Column:
+        run = _run("c_hash", first, last)
+        return F.when(may, F.struct(first.alias("first"), last.alias("last"),
+                                    F.xxhash64(run).alias("h1"), F.hash(run).alias("h2")))
+
+    chunks = F.zip_with("c_first", "c_last", lambda s, e: piece(s, e, _eligible(s, e, long_line)))
     if min_words is None:
-        return chunks
-    # A long line is a chunk already.
-    spans = F.filter(F.transform("c_spans", lambda x: F.struct(
-        F.shiftright(x, 32).cast("int").alias("first"), x.bitwiseAND(F.lit(2**32 - 1)).cast("int").alias("last"))),
-        lambda x: (x["first"] < x["last"]) | ~F.get("c_long", x["first"]))
-    return F.concat(chunks, F.transform(spans, lambda x: F.struct(
-        x["first"].alias("first"), x["last"].alias("last"),
-        F.unhex(F.sha2(_joined(x["first"], x["last"]), 256)).alias("body"))))
+        return F.array_compact(chunks)
+
+    def passage(x: Column) -> Column:
+        first, last = F.shiftright(x, 32).cast("int"), x.bitwiseAND(F.lit(2**32 - 1)).cast("int")
+        # A long line is a chunk already.
+        return piece(first, last, (first < last) | ~F.get("c_long", first))
+
+    return F.array_compact(F.concat(chunks, F.transform("c_spans", passage)))
 
 
 def _written_alone(df: DataFrame, name: str) -> DataFrame:
@@ -163,50 +167,50 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     smallest text hash, then the earliest place) stays. With ``min_words`` every
     run of lines with so many words is judged in the same way, wherever the
     chunks are cut (see ``with_passages``). A removed line thus always stays
-    at an earlier place. Should different chunks
-    share both hashes by which their rows are joined, none of them is removed.
+    at an earlier place. Pieces that share both hashes but differ in a byte
+    are none of them removed.
     Null texts stay null, a text of nothing but repeats becomes empty. Documents
     with a null id come last in the order. Rows equal in id and text count as one
     document and keep the same chunks. Empty tables and other columns are fine.
     """
-    text = F.col(text_col).cast("string")
+    text = F.col(f"`{text_col}`").cast("string")
     cut = with_chunks(docs.filter(text.isNotNull()).select(
         *_row_key(id_col, text), text.alias("t")), "t", spacing, long_line)
+    cut = cut.select("*", F.transform("c_lines", _words_or_none).alias("c_words"))
     if min_words is not None:
         cut = with_passages(cut, min_words)
-    pieces = (
-        # The outer form: for the inner one Spark would work out every step once
-        # more in a filter on the array's size. Texts always have a chunk.
-        cut.select(*KEY, F.size("c_first").alias("chunks"), F.posexplode_outer(
-            _pieces(min_words, long_line)).alias("at", "piece"))
-        .select(*KEY, "piece.*", (F.col("at") >= F.col("chunks")).alias("passage"),
-                F.col("piece.body").cast("string").alias("chunk"))
-        .withColumn("may", F.col("passage") | _eligible("chunk", long_line))
-        .select(*KEY, "first", "last", "body", "may",
-                F.xxhash64("body").alias("h1"), F.hash("body").alias("h2")))
-
-    # Byte comparison: equal rows here are equal texts.
-    same = (pieces.filter("may").groupBy("h1", "h2", "body")
-            .agg(F.min("key").alias("first_key"), F.count("*").alias("n")))
-    repeated = (same.groupBy("h1", "h2")
-                .agg(F.count("*").alias("texts"), F.sum("n").alias("n"), F.min("first_key").alias("first_key"))
-                .filter("texts = 1 AND n > 1").select("h1", "h2", "first_key"))
+    # The outer form: for the inner one Spark would work out every step once more in a
+    # filter on the array's size. Written, as it is read twice.
+    pieces = written(cut.select(*KEY, F.explode_outer(_pieces(min_words, long_line)).alias("piece"))
+                     .filter("piece IS NOT NULL").select(*KEY, "piece.*"), "pieces")
+    repeated = (pieces.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min("key").alias("first_key"))
+                .filter("n > 1").select("h1", "h2", "first_key"))
     # Of the document that keeps a piece all its places come along, the first of
-    # them is left out after the sort. Written, so that the shuffle of the
-    # chunks' bytes is not kept beside that of the texts.
-    found = (pieces.filter("may").select(*KEY, "first", "last", "h1", "h2")
-             .join(repeated, ["h1", "h2"])
+    # them is left out after the sort.
+    found = (pieces.join(repeated, ["h1", "h2"])
              .groupBy(*KEY).agg(F.array_sort(F.collect_set(F.struct(
                  "h1", "h2", "first", "last", (F.col("key") == F.col("first_key")).alias("keeps")))).alias("f")))
-    drops = _written_alone(found.select(*KEY, F.array_sort(F.transform(F.filter("f", lambda x, i: ~x["keeps"] | (
-        (i > 0) & (F.get("f", i - 1)["h1"] == x["h1"]) & (F.get("f", i - 1)["h2"] == x["h2"]))),
-        lambda x: F.struct(x["first"].alias("first"), x["last"].alias("last")))).alias("gone"))
-        .filter(F.size("gone") > 0), "repeated-chunks")
-
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
-                        *_row_key(id_col, text), text.alias("t"))
-    # The same join at every size: what is dropped grows with the corpus.
-    cut = whole.join(drops.hint("merge"), KEY, "left").select("doc", "t", "gone", _scan(
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), *_row_key(id_col, text))
+    # The same join at every size: what is found grows with the corpus. The texts cross
+    # the network here and nowhere else.
+    joined = _written_alone(whole.join(found.hint("merge"), KEY, "left"), "texts-and-pieces").withColumn(
+        "t", F.col(f"doc.`{text_col}`").cast("string"))
+    # Byte comparison of what has the same hashes.
+    bodies = joined.filter("f IS NOT NULL").select("f", F.split("t", "\n", -1).alias("lines")).select(
+        F.explode(F.transform("f", lambda x: F.struct(x["h1"].alias("h1"), x["h2"].alias("h2"), F.array_join(
+            _run("lines", x["first"], x["last"]), "\n").alias("body")))).alias("x")).select("x.*")
+    unequal = written(bodies.groupBy("h1", "h2", "body").agg(F.lit(1).alias("one")).groupBy("h1", "h2")
+                      .agg(F.count("*").alias("texts")).filter("texts > 1").select("h1", "h2"), "unequal-pieces")
+    wrong = (joined.filter("f IS NOT NULL").select(*KEY, F.explode("f").alias("x")).select(*KEY, "x.h1", "x.h2")
+             .join(unequal, ["h1", "h2"]).groupBy(*KEY).agg(F.collect_set(F.struct("h1", "h2")).alias("wrong")))
+    wrong = written(wrong, "wrong-pieces")
+    gone = F.array_sort(F.transform(F.filter("f", lambda x, i: (~x["keeps"] | (
+        (i > 0) & (F.get("f", i - 1)["h1"] == x["h1"]) & (F.get("f", i - 1)["h2"] == x["h2"]))) & ~F.coalesce(
+            F.array_contains("wrong", F.struct(x["h1"].alias("h1"), x["h2"].alias("h2"))), F.lit(False))),
+        lambda x: F.struct(x["first"].alias("first"), x["last"].alias("last"))))
+    cut = joined.join(wrong, KEY, "left").select("doc", "t", gone.alias("gone")).select(
+        "doc", "t", F.when(F.size("gone") > 0, F.col("gone")).alias("gone"))
+    cut = cut.select("doc", "t", "gone", _scan(
         F.transform("gone", lambda x: x["last"] + 1), lambda a, b: F.greatest(a, b), 0).alias("upto"),
         F.split(F.when(F.col("gone").isNotNull(), F.col("t")), "\n", -1).alias("lines"))
     # The runs of lines between removed ones: linear in the text.

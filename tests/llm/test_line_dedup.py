@@ -4,9 +4,12 @@ import random
 import re
 from collections import defaultdict
 
+import pytest
 import xxhash
+from pyspark.sql import functions as F
 
-from scorecraft.llm.line_dedup import dedup_lines
+from scorecraft.llm import line_dedup
+from scorecraft.llm.line_dedup import PASSAGE, dedup_lines
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 M = 2**64 - 1
@@ -155,3 +158,65 @@ def test_widest_ids(spark):
     df = spark.createDataFrame([(i, t + f"\n{i}", "en", "s", 1) for i in ids], SCHEMA)
     got = {r.doc.doc_id: r.doc.text for r in dedup_lines(df).collect()}
     assert got == {-2**63: t + f"\n{-2**63}", 2**63 - 1: str(2**63 - 1), None: "None"}
+
+
+def brute_registered(rows, m=PASSAGE):
+    """Repeated chunks and repeated runs of lines with m words, as the query has them.
+    rows: (id, text), ids distinct and not null."""
+    texts = [(i, t) for i, t in rows if t is not None]
+    gone = brute_passages(texts, m)
+    where = defaultdict(list)
+    for i, t in sorted(texts):
+        at = 0
+        for c in brute_chunks(t):
+            n = c.count("\n") + 1
+            if sum(bool(re.search(r"\S", x)) for x in c.split("\n")) > 1 or len(c.split(" ")) >= 50:
+                where[c].append([(i, k) for k in range(at, at + n)])
+            at += n
+    gone |= {line for places in where.values() for lines in places[1:] for line in lines}
+    return {i: None if t is None else "\n".join(x for k, x in enumerate(t.split("\n")) if (i, k) not in gone)
+            for i, t in rows}
+
+
+@pytest.mark.parametrize("seed", [5, 6])
+def test_registered_form_equals_brute_force(spark, seed):
+    rnd = random.Random(seed)
+    rows = corpus(rnd)
+    rows += [(200 + i, "\n".join(rnd.sample(rows[1][1].split("\n") + rows[3][1].split("\n"), 9))) for i in range(10)]
+    df = spark.createDataFrame([(i, t, "en", "s", -1) for i, t in rows], SCHEMA).repartition(4)
+    df = df.selectExpr("*", "1 AS key", "'x' AS piece", "2 AS h1", "3 AS gone", "4 AS doc", "5 AS f", "6 AS wrong", "7 AS t")
+    out = dedup_lines(df, min_words=PASSAGE)
+    want = brute_registered(rows)
+    assert out.select("doc.*").columns == df.columns
+    got = {r.doc.doc_id: r for r in out.collect()}
+    assert {i: r.doc.text for i, r in got.items()} == want
+    assert all(got[i].doc.n_chars == (-1 if t is None else len(want[i])) for i, t in rows)
+    assert all((got[i].n_removed > 0) == (t is not None and want[i] != t) for i, t in rows)
+
+
+def test_registered_form_null_and_repeated_ids(spark):
+    t = "\n".join(" ".join(f"{a}{i}" for i in range(20)) for a in "abcd")
+    other = t + "\nq r\nu v"
+    df = spark.createDataFrame([(None, t, "en", "s", 1), (None, t, "en", "s", 1), (5, t, "en", "s", 1), (5, t, "en", "s", 1),
+                                (5, other, None, None, None), (None, None, None, None, None)], SCHEMA).repartition(3)
+    got = [r.doc for r in dedup_lines(df, min_words=PASSAGE).collect()]
+    # Rows equal in id and text count as one; of different texts one keeps what they share.
+    mine = sorted(r.text for r in got if r.doc_id == 5)
+    assert mine in ([t, t, "q r\nu v"], ["", "", other])
+    assert sorted((r.text for r in got if r.doc_id is None), key=str) == ["", "", None]
+
+
+def test_registered_form_empty_table(spark):
+    out = dedup_lines(spark.createDataFrame([], SCHEMA), min_words=PASSAGE)
+    assert out.columns == ["doc", "n_removed"] and out.collect() == []
+
+
+def test_same_hashes_different_bytes(spark, monkeypatch):
+    """Where the hashes don't tell pieces apart, their bytes do: nothing is removed."""
+    plain = line_dedup._pieces
+    monkeypatch.setattr(line_dedup, "_pieces", lambda *a: F.transform(plain(*a), lambda x: F.struct(
+        x["first"].alias("first"), x["last"].alias("last"), F.lit(1).cast("long").alias("h1"), F.lit(2).alias("h2"))))
+    rows = corpus(random.Random(5))
+    df = spark.createDataFrame([(i, t, "en", "s", -1) for i, t in rows], SCHEMA)
+    got = {r.doc.doc_id: (r.doc.text, r.n_removed) for r in dedup_lines(df, min_words=PASSAGE).collect()}
+    assert got == {i: (t, 0) for i, t in rows}

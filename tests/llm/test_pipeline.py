@@ -5,7 +5,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
-from test_line_dedup import brute as brute_lines
+from test_line_dedup import brute_registered as brute_lines
 from test_pii import brute as brute_spans
 from test_quality import brute_counts
 from test_simhash import brute_fingerprint, brute_groups
