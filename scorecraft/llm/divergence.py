@@ -42,20 +42,20 @@ KEY = ["digest", "k"]
 
 def _counted(batches: Iterator[pa.RecordBatch], flush: int, bits: int) -> Iterator[pa.RecordBatch]:
     """Rows of the written counts: ``kind`` GROUP has the occurrences of a language
-    and source, DOCS the documents of a language, TEXT the strings; ``place`` is the
-    term's number in this ``part``."""
+    and source, DOCS the documents of a language, TEXT the strings. ``twin`` is 0 but
+    for a term that shares its digest with an earlier one of the same ``part``."""
     part = TaskContext.get().partitionId() << 32
     mask = (1 << bits) - 1
 
-    def row(kind, lang, source, digest, place, n, terms) -> Iterator[pa.RecordBatch]:
+    def row(kind, lang, source, digest, twin, n, terms) -> Iterator[pa.RecordBatch]:
         for i in range(0, max(len(digest), 1), ROW):
             cut = slice(i, i + ROW)
             yield pa.RecordBatch.from_arrays([
                 pa.array([kind], pa.int8()), pa.array([part], pa.int64()), pa.array([lang], pa.string()),
                 pa.array([source], pa.string()), pa.array([digest[cut]], pa.list_(pa.int64())),
-                pa.array([place[cut]], pa.list_(pa.int32())), pa.array([n[cut]], pa.list_(pa.int64())),
+                pa.array([twin[cut]], pa.list_(pa.int32())), pa.array([n[cut]], pa.list_(pa.int64())),
                 pa.array([terms[cut]], pa.list_(pa.binary())).cast(pa.list_(pa.string()))],
-                ["kind", "part", "lang", "source", "digest", "place", "n", "terms"])
+                ["kind", "part", "lang", "source", "digest", "twin", "n", "terms"])
 
     def summed(group: np.ndarray, ids: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         key = group << 32 | ids
@@ -66,6 +66,11 @@ def _counted(batches: Iterator[pa.RecordBatch], flush: int, bits: int) -> Iterat
     def emptied() -> Iterator[pa.RecordBatch]:
         terms = list(numbers)
         digest = np.fromiter((xxhash.xxh64_intdigest(t, 42) & mask for t in terms), np.uint64, len(terms)).view(np.int64)
+        order = np.argsort(digest, kind="stable")
+        at = np.arange(len(terms))
+        again = np.append(False, digest[order][1:] == digest[order][:-1])[:len(terms)]
+        twin = np.empty(len(terms), np.int32)
+        twin[order] = at - np.maximum.accumulate(np.where(again, 0, at)) if len(terms) else at
         key = np.concatenate([np.zeros(0, np.int64), *keys])
         key.sort()
         key, at = np.unique(key, return_index=True)
@@ -81,9 +86,9 @@ def _counted(batches: Iterator[pa.RecordBatch], flush: int, bits: int) -> Iterat
             begin = 0
             for (lang, source), end in zip(names if kind == GROUP else [(x, None) for x in langs], ends, strict=True):
                 place = key[begin:end] & 0xFFFFFFFF
-                yield from row(kind, lang, source, digest[place], place, n[begin:end], [])
+                yield from row(kind, lang, source, digest[place], twin[place], n[begin:end], [])
                 begin = end
-        yield from row(TEXT, None, None, digest, np.arange(len(terms)), no, terms)
+        yield from row(TEXT, None, None, digest, twin, no, terms)
 
     numbers, groups, keys, doc_group, n = Numbering(), Numbering(), [], [], 0
     for batch in batches:
@@ -108,7 +113,7 @@ def term_counts(docs: DataFrame, flush: int = FLUSH, bits: int = 64) -> DataFram
                         F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("t"))
     return written(given.mapInArrow(
         lambda batches: _counted(batches, flush, bits),
-        "kind tinyint, part long, lang string, source string, digest array<long>, place array<int>, "
+        "kind tinyint, part long, lang string, source string, digest array<long>, twin array<int>, "
         "n array<long>, terms array<string>"), "term-counts")
 
 
@@ -189,9 +194,9 @@ def source_divergence(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = 200,
     langs = written(groups.select("lang").distinct().withColumn("l", F.monotonically_increasing_id()), "langs")
     groups = groups.join(langs, "lang")
     in_langs = _entries(counts.filter(F.col("kind") == DOCS).drop("source").join(langs, "lang"),
-                        DOCS, ["l", "part"], "digest", "place", "n")
-    in_groups = _entries(counts.join(groups, ["lang", "source"]), GROUP, ["l", "g", "part"], "digest", "place", "n")
-    texts = _entries(counts, TEXT, ["part"], "digest", "place", "terms").withColumnRenamed("terms", "term")
+                        DOCS, ["l", "part"], "digest", "twin", "n")
+    in_groups = _entries(counts.join(groups, ["lang", "source"]), GROUP, ["l", "g", "part"], "digest", "twin", "n")
+    texts = _entries(counts, TEXT, ["part"], "digest", "twin", "terms").withColumnRenamed("terms", "term")
 
     # Terms that share a digest can only make it more frequent.
     frequent = written(in_langs.groupBy("l", "digest").agg(F.sum("n").alias("docs"))
@@ -203,14 +208,14 @@ def source_divergence(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = 200,
         "k", F.dense_rank().over(Window.partitionBy("digest").orderBy("term"))), "split-terms")
     strings = names.filter("low = high").select("digest", F.lit(0).alias("k"), F.col("low").alias("term")).unionByName(
         split.select(*KEY, "term").distinct())
-    places = split.select("part", "place", "k")
+    twins = split.select("part", "digest", "twin", "k")
     kept = written(
         frequent.join(shared, "digest", "left_anti").select("l", "digest", F.lit(0).alias("k")).unionByName(
-            in_langs.join(places, ["part", "place"]).groupBy("l", *KEY).agg(F.sum("n").alias("docs"))
+            in_langs.join(twins, ["part", "digest", "twin"]).groupBy("l", *KEY).agg(F.sum("n").alias("docs"))
             .filter(F.col("docs") >= min_docs).select("l", *KEY)), "kept-terms")
 
     used = written(
-        in_groups.join(places, ["part", "place"], "left")
+        in_groups.join(twins, ["part", "digest", "twin"], "left")
         .select("l", "g", "digest", F.coalesce("k", F.lit(0)).alias("k"), "n").repartition("l", *KEY)
         .groupBy("l", *KEY, "g").agg(F.sum("n").alias("n")).join(kept, ["l", *KEY])
         .withColumn("n_lang", F.sum("n").over(Window.partitionBy("l", *KEY))), "used-terms")
@@ -219,10 +224,9 @@ def source_divergence(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = 200,
         sizes.groupBy("l").agg(F.sum("total").alias("lang_total")), "l", "left")
     stats = groups.join(sizes.drop("l"), "g", "left").join(of_lang, "l", "left").na.fill(0)
     stats = written(stats.withColumn("p0", _probability("0", "total")), "sources")
-    chances = written(
-        used.join(stats.select("g", "total", "lang_total", "kept", "p0"), "g")
-        .select("l", "g", *KEY, _probability("n", "total").alias("p"),
-                _probability("n_lang", "lang_total").alias("q"), "p0"), "term-chances")
+    # Worked out anew where it is used: it would be as large as the counts again.
+    chances = used.join(stats.select("g", "total", "lang_total", "kept", "p0"), "g").select(
+        "l", "g", *KEY, _probability("n", "total").alias("p"), _probability("n_lang", "lang_total").alias("q"), "p0")
 
     # Ties at the last rank stay until their strings are there.
     best = (chances.filter("p > q").select("g", *KEY, _apart("p", "q").alias("value"))
