@@ -39,9 +39,9 @@ RAREST = 3
 #: Empty places between two documents of a segment; WITHIN may not be larger.
 GAP = 32
 #: Places of a segment (a longer document has one of its own).
-SEGMENT = 1 << 22
+SEGMENT = 1 << 21
 #: Posting lists in one Arrow batch.
-LISTS = 1 << 16
+LISTS = 1 << 14
 
 
 def _segments(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
@@ -58,10 +58,12 @@ def _segments(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Recor
             pa.array(np.full(n, segment)), doc, pa.array(np.array(starts, np.int32)),
             pa.array(np.array(lengths, np.int64)), pa.nulls(n, pa.string()), pa.nulls(n, pa.list_(pa.int32()))], names)
         key = np.concatenate(keys) if keys else np.zeros(0, np.int64)
+        keys.clear()
         key.sort()
         ends = np.cumsum(np.bincount(key >> 32, minlength=len(numbers)))
         begins = np.concatenate([[0], ends[:-1]]).astype(np.int32) if len(ends) else ends
         places = (key & 0xFFFFFFFF).astype(np.int32)
+        del key
         words = pa.array(list(numbers), pa.binary()).cast(pa.string())
         for i in range(0, len(numbers), LISTS):
             j = min(i + LISTS, len(numbers))
