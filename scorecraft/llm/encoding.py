@@ -54,10 +54,12 @@ def lower_ended_word(piece: str) -> tuple[str, ...]:
 
 class PieceMemory:
     """Ids of pieces in one flat array; ``encode_new`` gives the id lists of
-    pieces not seen before, ``parts`` says which smaller pieces one consists of."""
+    pieces not seen before, ``parts`` says which smaller pieces one consists of. Texts
+    in which ``special`` finds something are encoded whole, by ``encode_whole``."""
 
-    def __init__(self, cut, encode_new, parts=None):
+    def __init__(self, cut, encode_new, parts=None, special=None, encode_whole=None):
         self.cut, self.encode_new, self.parts = cut, encode_new, parts or (lambda p: (p,))
+        self.special, self.encode_whole = special, encode_whole
         self.clear()
 
     def clear(self) -> None:
@@ -110,7 +112,10 @@ class PieceMemory:
         """``(ids, ends)``: the ids of all texts in a row and where each ends."""
         if self.size > BUDGET:
             self.clear()
+        whole = [i for i, t in enumerate(texts) if self.special and self.special.search(t)]
         cut = [self.cut(t) for t in texts]
+        for i in whole:
+            cut[i] = []
         pieces = [p for c in cut for p in c]
         at = np.fromiter(map(self.known.get, pieces, repeat(-1)), np.int64, len(pieces))
         missing = np.flatnonzero(at < 0)
@@ -119,7 +124,13 @@ class PieceMemory:
             self._add(list(dict.fromkeys(new)))
             at[missing] = np.fromiter(map(self.known.__getitem__, new), np.int64, len(new))
         ids, upto = self._gather(at)
-        return ids, upto[np.cumsum([len(c) for c in cut])] if cut else np.zeros(0, np.int64)
+        ends = upto[np.cumsum([len(c) for c in cut])] if cut else np.zeros(0, np.int64)
+        if whole:
+            lists = np.split(ids, ends[:-1])
+            for i, found in zip(whole, self.encode_whole([texts[i] for i in whole]), strict=True):
+                lists[i] = np.array(found, np.uint32)
+            ids, ends = np.concatenate(lists), np.cumsum([len(x) for x in lists])
+        return ids, ends
 
 
 def _byte_chars() -> dict[int, int]:
@@ -141,7 +152,9 @@ def memory_of(tokenizer_json: str, cut) -> PieceMemory:
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_str(tokenizer_json)
-        tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        # Strings of special tokens, in any case: the library cuts texts at them first.
+        names = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+        special = re.compile("|".join(map(re.escape, names)), re.IGNORECASE) if names else None
         model, lower = tokenizer.model, cut is dropped_space_pieces
 
         def encode_new(pieces: list[str]) -> list[list[int]]:
@@ -156,7 +169,11 @@ def memory_of(tokenizer_json: str, cut) -> PieceMemory:
                 out[i] = e.ids
             return out
 
-        _MEMORIES[key] = PieceMemory(cut, encode_new, lower_ended_word if lower else ended_word)
+        def encode_whole(texts: list[str]) -> list[list[int]]:
+            return [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+        _MEMORIES[key] = PieceMemory(
+            cut, encode_new, lower_ended_word if lower else ended_word, special, encode_whole)
     return _MEMORIES[key]
 
 

@@ -32,7 +32,6 @@ def random_texts(n, seed=1):
 def test_pieces_encode_as_whole_texts(file, cut, monkeypatch):
     path = public_tokenizers.path(file)
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     memory = E.memory_of(Path(path).read_text(encoding="utf-8"), cut)
     texts = random_texts(1500)
     monkeypatch.setattr(E, "BUDGET", 20000)
@@ -84,7 +83,6 @@ def test_pack(spark):
     path = public_tokenizers.path("word_bpe_49k.json")
     got = pack(df, path, group_bytes=20000).collect()
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     want = defaultdict(list)
     for i, t in rows:
         want[i].append(tokenizer.encode(t or "", add_special_tokens=False).ids + [2])

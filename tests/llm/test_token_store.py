@@ -53,7 +53,6 @@ def test_write_and_read(spark, file_ids):
     folder, files = S.write_tokens(df, FILE, 0, file_ids=file_ids)
     got = sorted(S.read_tokens(files, folder).collect(), key=lambda r: r.start)
     tokenizer = Tokenizer.from_file(FILE)
-    tokenizer.encode_special_tokens = True
     assert [r.doc_id for r in got] == sorted((i for i, _ in rows), key=lambda i: (i is not None, i))
     texts, at = dict(rows), 0
     for r in got:
