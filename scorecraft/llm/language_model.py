@@ -131,6 +131,7 @@ def model_table(counts: DataFrame) -> DataFrame:
         few = few.selectExpr("*", "CASE WHEN n1 > 0 AND n2 > 0 THEN n1 / (n1 + 2 * n2) END AS y").selectExpr(
             "lang", *[f"CASE WHEN y IS NULL OR n{i} = 0 THEN 0.5D ELSE least(greatest("
                       f"{i} - {i + 1} * y * n{i + 1} / nullif(n{i}, 0), 0.05D), {i} - 0.05D) END AS d{i}" for i in (1, 2, 3)])
+        few = written(few, "discounts")  # a row per language: broadcast by its true size
         rows = c[k].join(few, "lang").select(
             "lang", "a", "b", "n", F.expr("CASE n WHEN 1 THEN d1 WHEN 2 THEN d2 ELSE d3 END").alias("d"),
             F.shiftright("a", BITS).alias("ca"),

@@ -213,8 +213,8 @@ def judged(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
 
     Base rule: fewer than 10 words, or over 20 of 100 words in repeated 5-word
     windows. Band: the language's median log perplexity minus and plus ``width``
-    times its distance to the lower and upper quartile, over the documents that
-    pass the base rule, widened by ``sqrt(1 + settle / word_chars)``. A null or empty text has no words and fails. A null
+    times its distance to the lower and upper quartile (ranks within 1 in 10,000), over
+    the documents that pass the base rule, widened by ``sqrt(1 + settle / word_chars)``. A null or empty text has no words and fails. A null
     language is a language of its own. Repeated rows are judged alike; an empty
     table gives an empty result.
     """
@@ -227,8 +227,10 @@ def judged(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
         _features(folder, buckets, lang_key(lang_col), F.col(text_col).cast("string")).alias("q"),
     ).select("doc", "language", "q.*").withColumn("base_failed", F.expr(
         "n_words < 10 OR 100 * n_repeat_words > 20 * n_words")), "quality")
-    bands = scored.filter("not base_failed").groupBy("language").agg(
-        F.percentile_approx("log_perplexity", [0.25, 0.5, 0.75], 10000).alias("p"))
+    # Written: a row per language, whose true size decides that it is broadcast. Estimated
+    # from the rows behind it, it would have all documents dealt by their language.
+    bands = written(scored.filter("not base_failed").groupBy("language").agg(
+        F.percentile_approx("log_perplexity", [0.25, 0.5, 0.75], 10000).alias("p")), "bands")
     # The mean over a short text scatters more, so its band is wider.
     reach = f"{float(width)} * sqrt(1 + {float(settle)} / greatest(word_chars, 1))"
     return (
