@@ -39,7 +39,7 @@ RAREST = 3
 #: Empty places between two documents of a segment; WITHIN may not be larger.
 GAP = 32
 #: Places of a segment (a longer document has one of its own).
-SEGMENT = 1 << 21
+SEGMENT = 1 << 20
 #: Posting lists in one Arrow batch.
 LISTS = 1 << 14
 
