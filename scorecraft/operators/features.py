@@ -152,35 +152,60 @@ def pca_loadings(model, features: Sequence[str], spark) -> DataFrame:
     return spark.createDataFrame(rows, "feature string, component int, loading double")
 
 
-def gram_matrix(df: DataFrame, features: Sequence[str]) -> np.ndarray:
-    """X^T X in one aggregation (d^2 sums); d x d on the driver. A missing value
-    raises: leaving out rows would change the matrix unsaid."""
-    d = len(features)
-    aggs = [F.sum(F.col(a).cast("double") * F.col(b).cast("double")).alias(f"g{i}_{j}")
-            for i, a in enumerate(features) for j, b in enumerate(features) if j >= i]
-    any_null = F.lit(False)
-    for f in features:
-        any_null = any_null | F.col(f).isNull()
-    row = df.agg(F.count(F.when(any_null, 1)).alias("_missing"), *aggs).first()
-    if row["_missing"]:
-        raise ValueError(f"{row['_missing']} rows have a missing feature: impute them first")
-    g = np.zeros((d, d))
-    for i in range(d):
-        for j in range(i, d):
-            g[i, j] = g[j, i] = row[f"g{i}_{j}"] or 0.0
-    return g
+#: Triangles that one task of the tree takes in.
+FAN = 32
+
+
+def triangular_factor(df: DataFrame, features: Sequence[str]) -> np.ndarray:
+    """R of the QR decomposition of the row matrix, d x d on the driver: X = QR, so
+    R has X's singular values and right vectors without the squares that X^T X would
+    lose digits to. Each task folds its Arrow batches into one triangle; triangles
+    meet in a tree of groups of ``FAN``, three levels deep. The number of features is
+    bounded by d x d doubles times ``FAN`` in a task, not by generated code. Rows
+    beyond the rank are zero. A missing value (NULL or NaN) raises: leaving out rows
+    would change the matrix unsaid."""
+    import pandas as pd
+    import pyarrow as pa
+
+    d, schema = len(features), "r array<double>, missing long"
+
+    def of_rows(batches):
+        r, missing = np.zeros((0, d)), 0
+        for batch in batches:
+            x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+            whole = ~np.isnan(x).any(axis=1)
+            missing += int((~whole).sum())
+            r = np.linalg.qr(np.vstack([r, x[whole]]), mode="r")
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([r.ravel()], pa.list_(pa.float64())), pa.array([missing], pa.int64())],
+            names=["r", "missing"])
+
+    def of_triangles(pdf: pd.DataFrame) -> pd.DataFrame:
+        r = np.linalg.qr(np.vstack([np.reshape(x, (-1, d)) for x in pdf["r"]]), mode="r")
+        return pd.DataFrame({"place": [int(pdf["place"].iloc[0]) // FAN], "r": [r.ravel()],
+                             "missing": [int(pdf["missing"].sum())]})
+
+    parts = (df.select(*[F.col(f).cast("double").alias(f"f{i}") for i, f in enumerate(features)])
+             .mapInArrow(of_rows, schema).withColumn("place", F.spark_partition_id().cast("long")))
+    for _ in range(3):
+        parts = parts.groupBy(F.expr(f"place div {FAN}")).applyInPandas(of_triangles, f"place long, {schema}")
+    r, missing = np.zeros((0, d)), 0
+    for row in parts.toLocalIterator():  # one for each FAN^3 tasks of the scan
+        r = np.linalg.qr(np.vstack([r, np.reshape(row["r"], (-1, d))]), mode="r")
+        missing += row["missing"]
+    if missing:
+        raise ValueError(f"{missing} rows have a missing feature: impute them first")
+    return np.vstack([r, np.zeros((d - len(r), d))])
 
 
 def svd(df: DataFrame, features: Sequence[str], k: int = 5) -> tuple[np.ndarray, np.ndarray]:
-    """Truncated SVD of the row matrix: singular values (the square roots of the
-    eigenvalues of X^T X, what ``RowMatrix.computeSVD`` does for small d) and
-    right singular vectors V (d x k), each column signed so that its largest
+    """Truncated SVD of the row matrix through its triangular factor: singular values
+    and right singular vectors V (d x k), each column signed so that its largest
     entry is positive."""
-    vals, vecs = np.linalg.eigh(gram_matrix(df.select(*features), features))
-    order = np.argsort(vals)[::-1][:k]
-    vecs = vecs[:, order]
-    top = vecs[np.abs(vecs).argmax(axis=0), np.arange(len(order))]
-    return np.sqrt(np.clip(vals[order], 0, None)), vecs * np.where(top < 0, -1.0, 1.0)
+    _, values, rows = np.linalg.svd(triangular_factor(df, features))
+    vecs = rows[:k].T
+    top = vecs[np.abs(vecs).argmax(axis=0), np.arange(vecs.shape[1])]
+    return values[:k], vecs * np.where(top < 0, -1.0, 1.0)
 
 
 def svd_values(df: DataFrame, features: Sequence[str], k: int = 5) -> DataFrame:

@@ -1,7 +1,8 @@
 """Sampling and splits.
 
 ``sample``/``sampleBy`` are Spark's seeded draws and depend on the layout of the
-input. The splits draw from a hash of the row's own values, so the same rows get
+input; ``exact_sample`` gives the same rows for every layout and sizes that are
+exact. The splits draw from a hash of the row's own values, so the same rows get
 the same part however they are partitioned, in one pass without a shuffle; only
 ``stratified_split``, which is exact per stratum, orders the rows.
 """
@@ -10,9 +11,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
+
 
 def sample_fraction(df: DataFrame, fraction: float, seed: int = 2023) -> DataFrame:
     return df.sample(withReplacement=False, fraction=fraction, seed=seed)
@@ -23,6 +26,58 @@ def sample_by_stratum(df: DataFrame, col: str, fractions: Mapping, seed: int = 2
     return df.sampleBy(col, fractions=dict(fractions), seed=seed)
 
 
+#: Values of the draw, and cells of equal width that its counts are kept in.
+DRAWS, CELLS = 1 << 32, 1 << 16
+
+
+def exact_sample(df: DataFrame, size: float | Mapping, key: Sequence[str], stratum: str | None = None,
+                 seed: int = 2023, draw: Column | None = None, draws: int = DRAWS) -> DataFrame:
+    """The rows of each stratum (of the table without one) with the smallest draws.
+
+    ``size`` is a number of rows (int) or a share of the stratum's rows (float,
+    rounded), or a mapping from stratum to either; strata not listed get no rows. The
+    draw is a seeded hash of the ``key`` columns, or a long column ``draw`` from 0 to
+    ``draws`` - 1; equal draws go by the key, so any partitioning of the input gives
+    the same rows. Rows equal in all key columns are told apart by nothing: how many of
+    them are taken is exact, which is not. A NULL stratum is a stratum; a NULL draw is 0.
+
+    State that merges over parts of the input: rows per stratum and cell of the draw
+    (``CELLS`` at most for each stratum). It names the cell in which the last row lies;
+    rows of earlier cells are taken as they stand, and only that cell's rows, one in
+    ``CELLS``, are ordered.
+    """
+    from .ordering import grouped_row_number
+
+    spark = df.sparkSession
+    u = draw if draw is not None else F.pmod(F.xxhash64(F.lit(seed), *key), F.lit(draws))
+    marked = df.select("*", (F.col(stratum) if stratum else F.lit(0)).alias("_stratum"),
+                       F.coalesce(u.cast("long"), F.lit(0)).alias("_draw")).withColumn(
+        "_cell", F.expr(f"_draw * {CELLS} div {int(draws)}"))
+    w = Window.partitionBy("_stratum")
+    cells = marked.groupBy("_stratum", "_cell").agg(F.count("*").alias("n")).select(
+        "*", F.sum("n").over(w.orderBy("_cell")).alias("upto"), F.sum("n").over(w).alias("rows"))
+
+    def rows_for(x: float) -> Column:
+        return F.lit(x) if isinstance(x, int) else F.round(F.col("rows") * F.lit(float(x))).cast("long")
+
+    if isinstance(size, Mapping):
+        wanted = F.lit(0)
+        for value, x in size.items():
+            wanted = F.when(F.col("_stratum").eqNullSafe(F.lit(value)), rows_for(x)).otherwise(wanted)
+    else:
+        wanted = rows_for(size)
+    last = cells.withColumn("wanted", F.least(wanted, F.col("rows"))).filter(
+        "wanted > 0 AND upto >= wanted AND upto - n < wanted").select(
+        F.col("_stratum").alias("_of"), F.col("_cell").alias("_last"),
+        (F.col("wanted") - F.col("upto") + F.col("n")).alias("_left"))
+    path = scratch_path(spark, "sample-cells")  # a row per stratum: joined by its true size
+    last.write.parquet(path)
+    found = marked.join(spark.read.parquet(path), F.col("_stratum").eqNullSafe(F.col("_of")))
+    edge = grouped_row_number(found.filter("_cell = _last"), ["_stratum"], ["_draw", *key], out="_pos")
+    return found.filter("_cell < _last").select(*df.columns).unionByName(
+        edge.filter("_pos <= _left").select(*df.columns))
+
+
 def labelled_split(df: DataFrame, weights: Sequence[float], names: Sequence[str],
                    seed: int = 12345, out: str = "split",
                    key: Sequence[str] | None = None) -> DataFrame:
