@@ -16,11 +16,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import prepare, text_or_empty
+from .common import prepare, text_or_empty, written
 from .encoding import dropped_space_pieces, memory_of, slices
 
 #: Ids of sequences are ``group * SEQUENCES + number in the group``.
 SEQUENCES = 1 << 32
+#: What a row counts beside its text's bytes, so that a group holds few rows of short texts too.
+ROW = 64
 
 
 def pack_lengths(lengths: np.ndarray, capacity: int, linear: float = 1.0,
@@ -64,14 +66,15 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
     id alone. Pieces of a sequence fill it without gaps from 0. Groups hold
     about ``group_bytes`` of text; their number follows the table's bytes, so it
     behaves alike at every size. Rows are dealt by a hash of id and text, so null
-    and repeated ids spread as their texts do; rows equal in both go to one
-    group. Every row is packed, repeated or not; an empty table gives no rows;
-    other columns are ignored.
+    and repeated ids spread as their texts do. Where that overfills a group, its rows
+    are counted by id and text first, and rows equal in both are dealt by number, in
+    blocks that fit a group. Every row is packed, repeated or not; an empty table gives
+    no rows; other columns are ignored.
     """
     spark = docs.sparkSession
     prepare(spark)
     text = text_or_empty(text_col)
-    size = docs.agg(F.sum(F.octet_length(text).cast("long") + 1)).first()[0] or 0
+    size = docs.agg(F.sum(F.octet_length(text).cast("long") + ROW)).first()[0] or 0
     groups = max(1, -(-size // group_bytes))
     content = spark.sparkContext.broadcast(Path(tokenizer_path).read_text(encoding="utf-8"))
 
@@ -82,19 +85,32 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
         for a, b in slices(texts):
             flat, ends = memory.encode(texts[a:b])
             ids += [np.append(x, np.uint32(end_id)).astype("<u4") for x in np.split(flat, ends[:-1])]
-        lengths = np.array([len(x) for x in ids], np.int64)
+        copies = pdf["copies"].to_numpy()
+        lengths = np.repeat(np.array([len(x) for x in ids], np.int64), copies)
+        row = np.repeat(np.arange(len(ids)), copies)
         pieces = pack_lengths(lengths, capacity)
         doc, start, length, sequence, offset = map(list, zip(*pieces, strict=True))
         return pd.DataFrame({
-            "id": pdf["id"].iloc[doc].to_numpy(), "start": start, "length": length,
+            "id": pdf["id"].iloc[row[doc]].to_numpy(), "start": start, "length": length,
             "doc_tokens": lengths[doc], "sequence_id": key[0] * SEQUENCES + np.array(sequence, np.int64),
             "offset": offset,
-            "ids": [ids[d][s:s + n].tobytes() for d, s, n in zip(doc, start, length, strict=True)]})
+            "ids": [ids[d][s:s + n].tobytes() for d, s, n in zip(row[doc], start, length, strict=True)]})
 
     # Ids travel as strings: pandas would turn integers with nulls into floats.
+    rows = docs.select(F.col(id_col).cast("string").alias("id"), text.alias("text")).withColumn(
+        "group", F.pmod(F.xxhash64("id", "text"), F.lit(groups)))
+    # Written: few groups, or none, whose true size decides how they are joined.
+    over = written(rows.groupBy("group").agg(F.sum(F.octet_length("text").cast("long") + ROW).alias("size")).filter(
+        F.col("size") > 2 * group_bytes).select("group"), "overfull")
+    block = f"greatest(1, {int(group_bytes)} div (octet_length(text) + {ROW}))"
+    equal = rows.join(over, "group").groupBy("id", "text").agg(F.count("*").alias("n")).select(
+        "id", "text", "n", F.expr(block).alias("most")).select(
+        "*", F.explode(F.expr("sequence(0L, (n - 1) div most)")).alias("number"))
+    equal = equal.select("id", "text", F.pmod(F.xxhash64("id", "text", "number"), F.lit(groups)).alias("group"),
+                         F.expr("least(most, n - number * most)").alias("copies"))
+    rest = rows.join(over, "group", "left_anti").select("id", "text", "group", F.lit(1).cast("long").alias("copies"))
     return (
-        docs.select(F.col(id_col).cast("string").alias("id"), text.alias("text"))
-        .withColumn("group", F.pmod(F.xxhash64("id", "text"), F.lit(groups)))
+        rest.unionByName(equal)
         .groupBy("group").applyInPandas(
             pack_group, "id string, start long, length long, doc_tokens long, sequence_id long, "
             "offset long, ids binary")

@@ -7,10 +7,11 @@ from pathlib import Path
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from scorecraft.llm import encoding as E
-from scorecraft.llm.packing import pack, pack_lengths
+from scorecraft.llm.packing import ROW, pack, pack_lengths
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 WORDS = ["the", "Nation's", "don't", "ÉTÉ", "Σας", "x1 ", "12345", "#$%", "é", " ", "  ", "\n", "\t", "\r\n",
@@ -103,3 +104,25 @@ def test_pack(spark):
             at += n
         assert at <= 4096
     assert pack(df.limit(0), path).collect() == []
+
+
+def test_equal_rows_are_spread_over_groups(spark):
+    """A third of all rows and more equal in id and text: no group holds them all."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    rows = spark.range(100_000).selectExpr("CAST(NULL AS LONG) AS doc_id", "CAST(NULL AS STRING) AS text").unionByName(
+        spark.range(3000).selectExpr("7L AS doc_id", "repeat('word ', 100) AS text")).unionByName(
+        spark.range(500).selectExpr("id + 1000 AS doc_id", "concat('text ', id) AS text"))
+    packed = pack(rows, path, group_bytes=200_000)
+    pieces = packed.select("doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", F.crc32("ids").alias("crc"))
+    got = pieces.toPandas()
+    group = got.sequence_id // (1 << 32)
+    # a row counts its text's bytes and ROW: a group holds two blocks and some single rows
+    assert len(got[got.doc_id.isna()]) == 100_000 and (got[got.doc_id.isna()].doc_tokens == 1).all()
+    assert got[got.doc_id.isna()].groupby(group).size().max() <= 8 * (200_000 // ROW)
+    assert got[got.doc_id.isna()].groupby(group).size().size > 15
+    whole = got[got.doc_id == 7]
+    assert whole.length.sum() == 3000 * 101 and (whole.doc_tokens == 101).all()
+    assert got[got.doc_id >= 1000].doc_id.nunique() == 500
+    spans = got.sort_values(["sequence_id", "offset"]).groupby("sequence_id")
+    assert (spans.offset.first() == 0).all() and (spans.length.sum() <= 4096).all()
+    assert (spans.length.sum() == spans.offset.last() + spans.length.last()).all()
