@@ -31,6 +31,8 @@ PAD = 0x110000
 HELD, SLICE = 1 << 20, 1 << 20
 #: Entries of a bucket, about, and bytes of buckets that a worker keeps.
 BUCKET, CACHE = 1 << 17, 96 << 20
+#: Languages whose number of buckets a worker remembers.
+LANGS = 1 << 12
 
 GRAM = np.dtype([("a", "<i8"), ("b", "<i8")])
 
@@ -164,80 +166,109 @@ def _file(lang: str, bucket: int) -> str:
     return f"{hashlib.sha256(lang.encode('utf-8', 'surrogatepass')).hexdigest()}-{bucket}"
 
 
-ENTRY = np.dtype([("rank", "<u8"), ("k", "<i8"), ("a", "<i8"), ("b", "<i8"), ("logp", "<f4"), ("backoff", "<f4")])
+#: ``rank`` mixes the whole code and can be undone, so rank and ``ka`` (order and ``a``)
+#: say the code exactly: equal entries are equal n-grams.
+ENTRY = np.dtype([("rank", "<u8"), ("ka", "<i8"), ("logp", "<f4"), ("backoff", "<f4")])
 
 
-def _order_rank(k: np.ndarray | int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return _rank(a + (np.asarray(k, np.int64) << 2 * BITS), b)
+def _coded(k: np.ndarray | int, a: np.ndarray) -> np.ndarray:
+    return a + (np.asarray(k, np.int64) << 2 * BITS)
 
 
-def write_model(model: DataFrame) -> tuple[str, int]:
-    """Folder and number of buckets; the buckets follow the model's size."""
+def write_model(model: DataFrame) -> str:
+    """Folder of the model's files: each language's entries in buckets that follow its
+    size, and one file with the number of its buckets."""
     spark = model.sparkSession
-    buckets = 2 * (model.count() // (2 * BUCKET)) + 1
     folder = scratch_path(spark, "language-model")
+    sizes = written(model.groupBy("lang").agg(F.expr(f"2 * (count(*) div {2 * BUCKET}) + 1").alias("buckets")), "buckets")
+
+    def write_size(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyspark import TaskContext
+
+        for pdf in batches:
+            for lang, n in zip(pdf["lang"], pdf["buckets"], strict=True):
+                _put(folder, _file(lang, -1), np.array([n], "<i8").tobytes(), TaskContext.get().taskAttemptId())
+            yield pd.DataFrame({"n": [len(pdf)]})
 
     def write(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         from pyspark import TaskContext
 
         e = np.zeros(len(pdf), ENTRY)
-        for c in ("k", "a", "b", "logp", "backoff"):
+        for c in ("logp", "backoff"):
             e[c] = pdf[c].to_numpy()
-        e["rank"] = _order_rank(e["k"], e["a"], e["b"])
+        e["ka"] = _coded(pdf["k"].to_numpy(), pdf["a"].to_numpy())
+        e["rank"] = _rank(e["ka"], pdf["b"].to_numpy())
         e = np.sort(e, order=["rank"])
         _put(folder, _file(key[0], key[1]), e.tobytes(), TaskContext.get().taskAttemptId())
         return pd.DataFrame({"n": [len(e)]})
 
-    (model.withColumn("bucket", F.pmod("b", F.lit(buckets))).groupBy("lang", "bucket")
+    sizes.mapInPandas(write_size, "n long").agg(F.sum("n")).first()
+    (model.join(sizes, "lang").withColumn("bucket", F.expr("pmod(b, buckets)")).drop("buckets").groupBy("lang", "bucket")
      .applyInPandas(write, "n long").agg(F.sum("n")).first())
-    return folder, buckets
+    return folder
 
 
 class Reader:
-    """Looks codes up in a written model; keeps ``CACHE`` bytes of buckets."""
-
-    def __init__(self, folder: str, buckets: int):
-        self.folder, self.buckets = folder, buckets
-        self.kept: OrderedDict[tuple[str, int], np.ndarray] = OrderedDict()
-        self.size = 0
+    """Looks codes up in a written model and keeps ``CACHE`` bytes of buckets. They are
+    visited in the same order again and again, so what is kept stays and only what does
+    not fit is read again; ``bytes_read`` counts what was read."""
+
+    def __init__(self, folder: str):
+        self.folder = folder
+        self.kept: dict[tuple[str, int], np.ndarray] = {}
+        self.counts: OrderedDict[str, int] = OrderedDict()
+        self.size = self.bytes_read = 0
+
+    def _read(self, name: str) -> bytes:
+        from pyarrow import fs
+
+        uri = self.folder if "://" in self.folder else self.folder.replace("file:", "file://", 1) \
+            if self.folder.startswith("file:") else f"file://{self.folder}"
+        system, path = fs.FileSystem.from_uri(uri)
+        if system.get_file_info(f"{path}/{name}").type != fs.FileType.File:
+            return b""
+        with system.open_input_file(f"{path}/{name}") as f:
+            content = f.read()
+        self.bytes_read += len(content)
+        return content
+
+    def buckets(self, lang: str) -> int:
+        """Number of the language's buckets; 0 for one without a model."""
+        if lang not in self.counts:
+            if len(self.counts) >= LANGS:
+                self.counts.popitem(last=False)
+            content = self._read(_file(lang, -1))
+            self.counts[lang] = int(np.frombuffer(content, "<i8")[0]) if content else 0
+        return self.counts[lang]
 
     def _bucket(self, lang: str, bucket: int) -> np.ndarray:
         key = (lang, bucket)
-        if key not in self.kept:
-            from pyarrow import fs
-
-            uri = self.folder if "://" in self.folder else self.folder.replace("file:", "file://", 1) \
-                if self.folder.startswith("file:") else f"file://{self.folder}"
-            system, path = fs.FileSystem.from_uri(uri)
-            name = f"{path}/{_file(lang, bucket)}"
-            content = b""
-            if system.get_file_info(name).type == fs.FileType.File:
-                with system.open_input_file(name) as f:
-                    content = f.read()
-            self.kept[key] = np.frombuffer(content, ENTRY)
-            self.size += len(content)
-            while self.size > CACHE and len(self.kept) > 1:
-                self.size -= self.kept.popitem(last=False)[1].nbytes
-        self.kept.move_to_end(key)
-        return self.kept[key]
+        if key in self.kept:
+            return self.kept[key]
+        entries = np.frombuffer(self._read(_file(lang, bucket)), ENTRY)
+        if self.size + entries.nbytes <= CACHE:
+            self.kept[key] = entries
+            self.size += entries.nbytes
+        return entries
 
     def find(self, lang: str, k: int, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Log probabilities (NaN: none) and log back-off weights (0: none)."""
         logp, backoff = np.full(len(a), np.nan), np.zeros(len(a))
-        at = b % self.buckets
+        at = b % self.buckets(lang)
         order = np.argsort(at, kind="stable")
         for part in np.split(order, np.flatnonzero(np.diff(at[order])) + 1) if len(order) else []:
             e = self._bucket(lang, int(at[part[0]]))
             if not len(e):
                 continue
-            rank = _order_rank(k, a[part], b[part])
+            ka = _coded(k, a[part])
+            rank = _rank(ka, b[part])
             i = np.searchsorted(e["rank"], rank)
             todo = np.arange(len(part))
-            while len(todo):  # past other codes of the same rank
+            while len(todo):  # past other entries of the same rank
                 todo = todo[i[todo] < len(e)]
                 todo = todo[e["rank"][i[todo]] == rank[todo]]
                 here = e[i[todo]]
-                same = (here["k"] == k) & (here["a"] == a[part[todo]]) & (here["b"] == b[part[todo]])
+                same = here["ka"] == ka[todo]
                 logp[part[todo[same]]] = here["logp"][same]
                 backoff[part[todo[same]]] = here["backoff"][same]
                 todo = todo[~same]
@@ -260,9 +291,13 @@ class Reader:
         return out
 
     def totals(self, langs: list[str], texts: list[str | None]) -> list[float]:
-        """Sum of the log probabilities of each text's characters."""
+        """Sum of the log probabilities of each text's characters; NaN where the
+        language has no model."""
         out = np.zeros(len(texts))
         for lang in dict.fromkeys(langs):
+            if not self.buckets(lang):
+                out[[i for i, x in enumerate(langs) if x == lang]] = np.nan
+                continue
             rows: list[tuple[int, np.ndarray, np.ndarray]] = []
             size = 0
             mine = [i for i, x in enumerate(langs) if x == lang]
@@ -288,6 +323,6 @@ class Reader:
         np.add.at(out, doc, value[np.cumsum(new) - 1])
 
 
-def fit_model(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> tuple[str, int]:
+def fit_model(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> str:
     prepare(docs.sparkSession)
     return write_model(model_table(count_grams(docs, text_col, lang_col)))

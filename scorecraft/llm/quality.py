@@ -4,7 +4,7 @@ Perplexity comes from a modified Kneser-Ney model of whole code points per
 language (``language_model``), which grows with the corpus and is read by the
 tasks in buckets. A document is rejected when its mean log perplexity lies
 outside its language's band, which is set from quantiles over all documents of
-the language. ``KneserNey`` is the small in-memory form over a folded alphabet.
+the language.
 """
 
 from __future__ import annotations
@@ -20,28 +20,9 @@ from pyspark.sql import functions as F
 from .common import prepare, written
 from .language_model import Reader, fit_model, lang_key
 
-SYMBOLS, ORDER = 64, 3
 #: Characters worked on at once.
 SLICE = 1 << 20
 
-PAD = 58
-
-
-def _fold_table() -> np.ndarray:
-    """Symbol of each ASCII character: a-z 1-26, A-Z 27-52, digits 53,
-    ``.,;:`` 54, ``!?`` 55, the signs counted by the rules 56, other marks 57,
-    line feed 58 (also the padding before a text), other white space 0."""
-    t = np.full(128, 57, np.uint8)
-    t[:33] = 0
-    t[ord("a"):ord("z") + 1] = np.arange(1, 27)
-    t[ord("A"):ord("Z") + 1] = np.arange(27, 53)
-    t[ord("0"):ord("9") + 1] = 53
-    for chars, symbol in ((".,;:", 54), ("!?", 55), ("#*$%&|<>", 56), ("\n", PAD)):
-        t[[ord(c) for c in chars]] = symbol
-    return t
-
-
-FOLD = _fold_table()
 IS_SIGN = np.isin(np.arange(128), [ord(c) for c in "#*$%&|<>"])
 IS_SPACE = np.isin(np.arange(128), [32, *range(9, 14)])
 STEP = np.array([0x9E3779B97F4A7C15 * (2 * i + 1) & (2**64 - 1) for i in range(1, 6)], np.uint64)
@@ -51,20 +32,6 @@ def code_points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
-def fold(points: np.ndarray) -> np.ndarray:
-    """Symbols of code points; characters beyond ASCII share the last five."""
-    return np.where(points < 128, FOLD[points & 127], 59 + points % 5).astype(np.int64)
-
-
-def gram_codes(text: str) -> Iterator[np.ndarray]:
-    """Codes of the n-gram ending at each character (padded at the start)."""
-    tail = np.full(ORDER - 1, PAD, np.int64)
-    for at in range(0, len(text), SLICE):
-        s = np.concatenate([tail, fold(code_points(text[at:at + SLICE]))])
-        tail = s[-(ORDER - 1):]
-        yield (s[:-2] * SYMBOLS + s[1:-1]) * SYMBOLS + s[2:]
-
-
 # ------------------------------------------------------------- counting rules
 def rule_counts(text: str | None) -> tuple[int, int, int, int, int]:
     """``n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words``."""
@@ -105,99 +72,16 @@ def _repeat_words(text: str) -> int:
     return int(covered.sum())
 
 
-# ------------------------------------------------------------ Kneser-Ney model
-def _mix(x: np.ndarray) -> np.ndarray:
-    """64-bit finaliser: the hash under which an n-gram is stored."""
-    x = x.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15)
-    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
-        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
-    return x ^ (x >> np.uint64(31))
-
-
-def _tagged(order: int, code: np.ndarray) -> np.ndarray:
-    return _mix(np.asarray(code, np.uint64) | np.uint64(order << 40))
-
-
-def _discounts(counts: np.ndarray) -> np.ndarray:
-    """Discount for counts 0, 1, 2 and 3 or more, from the counts of counts;
-    one half where those are too few to say."""
-    n = [int((counts == k).sum()) for k in range(5)]
-    if not n[1] or not n[2]:
-        return np.array([0, .5, .5, .5])
-    y = n[1] / (n[1] + 2 * n[2])
-    d = [k - (k + 1) * y * n[k + 1] / n[k] if n[k] else .5 for k in (1, 2, 3)]
-    return np.array([0, *(min(max(x, .05), k - .05) for k, x in enumerate(d, 1))])
-
-
-class KneserNey:
-    """Sorted n-gram hashes with log probability and log back-off weight."""
-
-    def __init__(self, keys: np.ndarray, logp: np.ndarray, backoff: np.ndarray):
-        self.keys, self.logp, self.backoff = keys, logp, backoff
-
-    @classmethod
-    def fit(cls, codes: np.ndarray, counts: np.ndarray) -> KneserNey:
-        """From all distinct n-grams of the highest order and their counts."""
-        by_order = {ORDER: (np.asarray(codes, np.int64), np.asarray(counts, np.int64))}
-        for k in range(ORDER - 1, 0, -1):  # in how many left contexts
-            by_order[k] = np.unique(by_order[k + 1][0] % SYMBOLS**k, return_counts=True)
-        # prob[k][code]: probability of an n-gram's last symbol after the rest;
-        # weight[k][code]: back-off weight of an n-gram used as a context.
-        prob, weight = [np.array([1 / SYMBOLS])], []
-        for k in range(1, ORDER + 1):
-            code, c = by_order[k]
-            d = _discounts(c)[np.minimum(c, 3)]
-            context = code // SYMBOLS
-            total = np.bincount(context, c, SYMBOLS ** (k - 1))
-            freed = np.bincount(context, d, SYMBOLS ** (k - 1))
-            weight.append(np.divide(freed, total, out=np.ones_like(freed), where=total > 0))
-            every = np.arange(SYMBOLS**k)
-            p = weight[-1][every // SYMBOLS] * prob[-1][every % SYMBOLS ** (k - 1)]
-            p[code] += (c - d) / total[context]
-            prob.append(p)
-        keys, logps, backs = [], [], []
-        for k in range(ORDER + 1):
-            code = by_order[k][0] if k else np.zeros(1, np.int64)
-            if k < ORDER:  # also those that only occur as contexts
-                code = np.union1d(code, by_order[k + 1][0] // SYMBOLS)
-            keys.append(_tagged(k, code))
-            logps.append(np.log(prob[k][code]))
-            backs.append(np.log(weight[k][code]) if k < ORDER else np.zeros(len(code)))
-        key = np.concatenate(keys)
-        order = np.argsort(key)
-        return cls(key[order], np.concatenate(logps)[order].astype(np.float32),
-                   np.concatenate(backs)[order].astype(np.float32))
-
-    def _at(self, order: int, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        key = _tagged(order, code)
-        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        return at, self.keys[at] == key
-
-    def log_prob(self, code: np.ndarray) -> np.ndarray:
-        """Natural log probability of the last symbol of each n-gram."""
-        out, todo = np.zeros(len(code)), np.arange(len(code))
-        code = np.asarray(code, np.int64)
-        for k in range(ORDER, -1, -1):
-            at, found = self._at(k, code % SYMBOLS**k)
-            out[todo[found]] += self.logp[at[found]]
-            todo, code = todo[~found], code[~found]
-            if not len(todo):
-                break
-            # Not seen: the weight of its context, then one symbol less of it.
-            at, known = self._at(k - 1, code % SYMBOLS**k // SYMBOLS)
-            out[todo[known]] += self.backoff[at[known]]
-        return out
-
-
+# -------------------------------------------------------------------- judgement
 FEATURES = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, "
             "n_repeat_words long, log_perplexity double")
 
 
-def _features(folder: str, buckets: int, lang: Column, text: Column) -> Column:
-    """Struct of the counting rules' numbers and the mean negative log
-    probability of a character (null without characters)."""
+def _features(folder: str, lang: Column, text: Column) -> Column:
+    """Struct of the counting rules' numbers and the mean negative log probability of
+    a character (null without characters)."""
     def of(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        reader = Reader(folder, buckets)
+        reader = Reader(folder)
         for langs, texts in batches:
             totals = reader.totals(langs.tolist(), texts.tolist())
             yield pd.DataFrame([(*rule_counts(t), -total / len(t) if t else None) for t, total in zip(
@@ -220,11 +104,11 @@ def judged(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
     """
     spark = docs.sparkSession
     prepare(spark)
-    folder, buckets = fit_model(docs, text_col, lang_col)
+    folder = fit_model(docs, text_col, lang_col)
     scored = written(docs.select(
         F.struct(*[F.col(f"`{c}`") for c in keep or docs.columns]).alias("doc"),
         lang_key(lang_col).alias("language"),
-        _features(folder, buckets, lang_key(lang_col), F.col(text_col).cast("string")).alias("q"),
+        _features(folder, lang_key(lang_col), F.col(text_col).cast("string")).alias("q"),
     ).select("doc", "language", "q.*").withColumn("base_failed", F.expr(
         "n_words < 10 OR 100 * n_repeat_words > 20 * n_words")), "quality")
     # Written: a row per language, whose true size decides that it is broadcast. Estimated

@@ -4,7 +4,6 @@ import math
 import random
 from collections import Counter
 
-import numpy as np
 import pytest
 
 from scorecraft.llm import language_model as L
@@ -14,6 +13,16 @@ SCHEMA = "doc_id long, text string, lang string"
 N = L.ORDER
 
 
+def discounts(counts):
+    """Discounts of counts 0 to 3 and more, from the counts of counts."""
+    n = [sum(c == k for c in counts) for k in range(5)]
+    if not n[1] or not n[2]:
+        return [0, .5, .5, .5]
+    y = n[1] / (n[1] + 2 * n[2])
+    d = [k - (k + 1) * y * n[k + 1] / n[k] if n[k] else .5 for k in (1, 2, 3)]
+    return [0, *(min(max(x, .05), k - .05) for k, x in enumerate(d, 1))]
+
+
 def brute(texts):
     levels = {N: Counter()}
     for t in texts:
@@ -21,7 +30,7 @@ def brute(texts):
         levels[N].update(tuple(s[i:i + N]) for i in range(len(t)))
     for k in range(N - 1, 0, -1):
         levels[k] = Counter(g[1:] for g in levels[k + 1])
-    d = {k: Q._discounts(np.array(list(levels[k].values()))) for k in levels}
+    d = {k: discounts(levels[k].values()) for k in levels}
 
     def p(g):
         k = len(g)
@@ -43,9 +52,11 @@ def test_model_equals_definition(spark, monkeypatch):
         [*words.items()] * 3)] + [(90, None, "de"), (91, "", None)]
     monkeypatch.setattr(L, "BUCKET", 40)
     df = spark.createDataFrame(rows, SCHEMA)
-    folder, buckets = L.fit_model(df)
-    assert buckets > 3
-    reader = L.Reader(folder, buckets)
+    folder = L.fit_model(df)
+    reader = L.Reader(folder)
+    # each language has buckets of its own size
+    assert reader.buckets("=de") > reader.buckets("=") == 1 and reader.buckets("==") == 0
+    assert math.isnan(reader.totals(["=fr"], ["text"])[0])
     for lang in words:
         p = brute([t for _, t, l in rows if l == lang and t])
         for text in ("und die мир", "x\U0001f600ö się", rows[1][1][:40]):
@@ -55,6 +66,28 @@ def test_model_equals_definition(spark, monkeypatch):
             assert got == pytest.approx(want, abs=1e-3)
 
 
+@pytest.mark.parametrize("share", [0.0, 0.1, 0.5, 0.9, 1.0])
+def test_reader_reads_only_what_does_not_fit(spark, monkeypatch, share):
+    rnd = random.Random(5)
+    texts = ["".join(rnd.choice("abcdefgh ") for _ in range(400)) for _ in range(12)]
+    monkeypatch.setattr(L, "BUCKET", 60)
+    reader = L.Reader(L.fit_model(spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], SCHEMA)))
+    whole = reader.totals(["=x"] * 12, texts)
+    model = reader.bytes_read  # with room for all, each bucket is read once
+    assert reader.totals(["=x"] * 12, texts) == whole and reader.bytes_read == model
+    monkeypatch.setattr(L, "CACHE", int(model * share))
+    small = L.Reader(reader.folder)
+    assert small.totals(["=x"] * 12, texts) == whole
+    assert small.size <= model * share
+    first = small.bytes_read
+    small.totals(["=x"] * 12, texts)
+    again = small.bytes_read - first
+    # what is kept is not read again: each pass over the model reads the rest of it
+    passes = 2 * L.ORDER + 1
+    assert again <= passes * (1 - share + 0.1) * model
+    assert first <= again + model
+
+
 def test_model_grows_and_languages_keep_their_bands(spark):
     rnd = random.Random(6)
 
