@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from ..operators import evaluation as ev
+from ..operators import score_state as ss
+from ..session import scratch_path
 from .registry import register
 from .views import SCORE_ORDER_SQL, SCORE_VIEW_SQL, score_order, score_view, with_views
 
@@ -182,3 +184,27 @@ def _champion_sql(crit: str, ds: str, chk: float) -> str:
 @register("select_champion", with_views(_champion_sql("ks", "test", 3.0), ms=MODEL_SCORES_SQL))
 def select_champion(spark, d):
     return ev.select_champion(metrics_pivot(spark, d), criterion="ks", dataset="test")
+
+
+# --------------------------------------------------- metrics over batches
+@register("metrics_incremental", with_views("""
+sc AS (SELECT model, score, sum(label) AS pos, sum(1 - label) AS neg,
+              sum(CASE WHEN prediction = label THEN 1 ELSE 0 END) AS hits
+       FROM ms GROUP BY model, score),
+r AS (SELECT *, sum(pos) OVER w AS tp, sum(neg) OVER w AS fp, sum(pos) OVER g AS p, sum(neg) OVER g AS n
+      FROM sc WINDOW w AS (PARTITION BY model ORDER BY score DESC ROWS UNBOUNDED PRECEDING),
+                     g AS (PARTITION BY model))
+SELECT model, CAST(sum(pos + neg) AS BIGINT) AS n_rows, CAST(max(p) AS BIGINT) AS n_positive,
+       round(sum(neg * (tp - pos / 2.0)) / (max(p) * max(n)), 6) AS auc,
+       round(max(abs(tp * 1.0 / p - fp * 1.0 / n)) * 100, 4) AS ks,
+       round(sum(pos * tp * 1.0 / (tp + fp)) / max(p), 6) AS average_precision,
+       round(sum(hits) * 1.0 / sum(pos + neg), 6) AS accuracy
+FROM r GROUP BY model""", ms=MODEL_SCORES_SQL))
+def metrics_incremental(spark, d):
+    # three batches arrive one after the other; the metrics are read from their states
+    path = scratch_path(spark, "score-states")
+    ms = model_scores(spark, d)
+    for i in range(3):
+        batch = ms.filter(F.col("l_orderkey") % 3 == i)
+        ss.store_batch(ss.score_state(batch, by=["model"], prediction="prediction"), path, f"{i}")
+    return ss.metrics_from_state(ss.merge_states(ss.read_states(spark, path), ["model"]), ["model"])
