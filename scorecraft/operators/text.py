@@ -43,11 +43,22 @@ def tokenize(df: DataFrame, text: str = "text", out: str = "tokens",
     return res.drop("_raw_tokens")
 
 
+def doc_terms(tokens: DataFrame, doc: str = "doc_id", col: str = "tokens") -> DataFrame:
+    """``doc, term, n``: occurrences of each term in each row's tokens. A row is a
+    document, whether its id repeats or not (as in MLlib's vectors); its sorted tokens
+    are counted as runs inside the row, so no token is shuffled."""
+    rows = tokens.select(doc, F.sort_array(col).alias("_s")).filter(F.size("_s") > 0)
+    rows = rows.withColumn("_end", F.expr(
+        "filter(sequence(1, size(_s)), i -> i = size(_s) OR _s[i - 1] <> _s[i])"))  # last places of the runs
+    runs = F.expr("transform(_end, (e, j) -> struct(_s[e - 1] AS term, "
+                  "CAST(e - if(j = 0, 0, _end[j - 1]) AS BIGINT) AS n))")
+    return rows.select(doc, F.explode(runs).alias("_r")).select(doc, "_r.term", "_r.n")
+
+
 def term_stats(tokens: DataFrame, doc: str = "doc_id", col: str = "tokens") -> DataFrame:
-    """``term, df, tf``: documents containing the term and total occurrences."""
-    per_doc = tokens.select(doc, F.explode(col).alias("term")).groupBy(doc, "term").agg(
-        F.count(F.lit(1)).alias("n"))
-    return per_doc.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("n").alias("tf"))
+    """``term, df, tf``: documents containing the term and total occurrences. Tasks add
+    up their own documents first; one row per task and term is shuffled."""
+    return doc_terms(tokens, doc, col).groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("n").alias("tf"))
 
 
 def count_vectorize(tokens: DataFrame, vocab_size: int, min_df: float = 10,
@@ -97,13 +108,11 @@ def idf_table(tokens: DataFrame, vocab_size: int | None = None, min_df: float =
 
 def tfidf_terms(tokens: DataFrame, vocab_size: int | None = None, min_df: float = 10,
                 doc: str = "doc_id", col: str = "tokens", digits: int = 6) -> DataFrame:
-    """Long ``doc, term, tfidf`` table: per-document term counts (explode +
-    grouped count) times the term's IDF; no vectors are built. The join with the
+    """Long ``doc, term, tfidf`` table: per-document term counts
+    (``doc_terms``) times the term's IDF; no vectors are built. The join with the
     vocabulary is left to adaptive execution, which measures it."""
     weights = vocabulary(tokens, vocab_size, min_df, doc, col).select("term", "idf")
-    per_doc = tokens.select(doc, F.explode(col).alias("term")).groupBy(doc, "term").agg(
-        F.count(F.lit(1)).alias("n"))
-    return per_doc.join(weights, "term").select(
+    return doc_terms(tokens, doc, col).join(weights, "term").select(
         doc, "term", F.round(F.col("n") * F.col("idf"), digits).alias("tfidf"))
 
 
