@@ -45,10 +45,26 @@ def _ranks_sql(error: float) -> str:
         for c in _Q_COLS for p in _PROBS)
 
 
-@register("approx_median", _ranks_sql(0.001))
+@register("approx_median", "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS \"column\", CAST({p} AS DOUBLE) AS prob, "
+    f"round((quantile_disc({c}, {p}) - min({c})) * 1.0 / (max({c}) - min({c})), 2) AS position, "
+    f"count({c}) AS n, true AS within FROM lineitem"
+    for c in _Q_COLS for p in _PROBS))
 def approx_median(spark, d):
+    # the place of each quantile in its column's range (an approximate quantile of
+    # nearly distinct values may be a rank or two from the exact one), and whether its
+    # true rank is within the error
     li = table(spark, d, "lineitem").select(*_Q_COLS)
-    return profile.rank_checked(li, profile.approx_quantiles(li, _Q_COLS, _PROBS, relative_error=0.001), 0.001)
+    ends = li.agg(*[F.min(c).cast("double").alias(f"lo_{c}") for c in _Q_COLS],
+                  *[F.max(c).cast("double").alias(f"hi_{c}") for c in _Q_COLS])
+    span = ends.select(F.explode(F.array(*[F.struct(
+        F.lit(c).alias("column"), F.col(f"lo_{c}").alias("lo"), F.col(f"hi_{c}").alias("hi"))
+        for c in _Q_COLS])).alias("r")).select("r.*")
+    q = profile.approx_quantiles(li, _Q_COLS, _PROBS, relative_error=1e-5)
+    q = spark.createDataFrame(q.collect(), q.schema)  # a row per column and probability, used twice
+    place = q.join(F.broadcast(span), "column").select("column", "prob", F.round(F.try_divide(
+        F.col("value") - F.col("lo"), F.col("hi") - F.col("lo")), 2).alias("position"))
+    return place.join(F.broadcast(profile.rank_checked(li, q, 1e-5)), ["column", "prob"])
 
 
 _KLL = 2000
