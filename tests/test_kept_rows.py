@@ -1,9 +1,9 @@
-"""Model rows and profiles over tables of known rows."""
+"""Rows of the model queries: worked out once, in parts that follow their number."""
 
 import pytest
 from pyspark.sql import functions as F
 
-from scorecraft.plans import load_all, q_profile
+from scorecraft.plans import load_all, q_ml, q_profile, views
 
 
 @pytest.fixture(scope="module")
@@ -24,6 +24,27 @@ def tables(spark, tmp_path_factory):
     return d
 
 
+def test_rows_are_kept_in_parts_that_grow_and_released(spark, tables, monkeypatch):
+    load_all()
+    joined = views.bank_view(spark, tables)
+    for rows, parts in ((400, 8), (10, 40)):
+        monkeypatch.setattr(q_ml, "_PART_ROWS", rows)
+        with q_ml._model_frame(spark, tables) as frame:
+            assert frame.rdd.getNumPartitions() == parts
+            assert "InMemoryTableScan" in frame._jdf.queryExecution().executedPlan().toString()
+            assert frame.count() == joined.count() == 384  # an order without its customer is left out
+            got = {(r.l_orderkey, r.l_linenumber): r.features[0] for r in frame.collect()}
+        assert got == {(r.l_orderkey, r.l_linenumber): r.l_quantity for r in joined.collect()}
+        assert "InMemoryTableScan" not in frame.select("*")._jdf.queryExecution().executedPlan().toString()
+
+
+def test_scores_outlive_the_kept_rows(spark, tables):
+    load_all()
+    scores = q_ml.batch_score(spark, tables)
+    assert scores.count() == 384 and scores.filter("p1 BETWEEN 0 AND 1").count() == 384
+    assert "Exchange" not in scores._jdf.queryExecution().executedPlan().toString()
+
+
 def test_median_gives_the_places_of_the_quantiles(spark, tables):
     load_all()
     got = {(r.column, r.prob): r for r in q_profile.approx_median(spark, tables).collect()}
