@@ -146,12 +146,22 @@ def silhouettes_all(rows: DataFrame, centers: Centers) -> dict[int, float | None
     return {k: float(got[k][0] / got[k][1]) if k in got else None for k in centers}
 
 
+_TASK_ROWS = 200_000
+
+
+def in_few_tasks(cached: DataFrame) -> DataFrame:
+    """Persisted rows in tasks of ``_TASK_ROWS``, at least 8: a fit of hundreds of short
+    jobs sends the driver a result for every task (and a size for every pair of tasks
+    of a shuffle), so the tasks follow the rows and not the shuffle partitions."""
+    return cached.coalesce(max(8, -(-cached.count() // _TASK_ROWS)))
+
+
 def k_sweep(df: DataFrame, ks: Sequence[int], algo: str = "kmeans", seed: int = 1003,
             features: str = "features") -> DataFrame:
     """Silhouette for each k: ``k, silhouette`` (NULL below two clusters). The input is
     persisted for the repeated scans and released afterwards. ``kmeans`` starts every k
     from the same centres (``start_centers``) and fits all k together; ``bisecting`` is
-    one MLlib fit per k."""
+    one MLlib fit per k, over tasks of bounded number."""
     spark = df.sparkSession
     if algo == "kmeans":
         rows = df.select(vector_to_array(features).alias("v")).persist()
@@ -164,7 +174,8 @@ def k_sweep(df: DataFrame, ks: Sequence[int], algo: str = "kmeans", seed: int =
         return spark.createDataFrame([(int(k), found.get(int(k))) for k in ks], "k int, silhouette double")
     cached = df.persist()
     try:
-        out = [(int(k), float(silhouette(bisecting_kmeans(cached, k, seed, features).transform(cached), features)))
+        rows = in_few_tasks(cached)
+        out = [(int(k), float(silhouette(bisecting_kmeans(rows, k, seed, features).transform(rows), features)))
                for k in ks]
     finally:
         cached.unpersist()

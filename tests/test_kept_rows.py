@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from scorecraft.operators import clustering as cl
 from scorecraft.plans import load_all, q_ml, q_profile, views
 
 
@@ -45,6 +46,17 @@ def test_scores_outlive_the_kept_rows(spark, tables):
     assert "Exchange" not in scores._jdf.queryExecution().executedPlan().toString()
 
 
+def test_tasks_of_a_sweep_follow_the_rows(spark, monkeypatch):
+    cached = spark.range(1000).repartition(50).persist()
+    try:
+        assert cl.in_few_tasks(cached).rdd.getNumPartitions() == 8
+        monkeypatch.setattr(cl, "_TASK_ROWS", 50)
+        few = cl.in_few_tasks(cached)
+        assert few.rdd.getNumPartitions() == 20 and few.distinct().count() == 1000
+    finally:
+        cached.unpersist()
+
+
 def test_median_gives_the_places_of_the_quantiles(spark, tables):
     load_all()
     got = {(r.column, r.prob): r for r in q_profile.approx_median(spark, tables).collect()}
