@@ -151,7 +151,8 @@ scored AS (SELECT {k}, f.label, round(any_value(p.prior) + sum(x.w * f.logp), 6)
 SELECT {k}, arg_max(label, s) AS prediction, max(s) AS prediction_score FROM scored GROUP BY {k}""".format(
     k=", ".join(BANK_KEYS)), bank_view=BANK_VIEW_SQL))
 def naive_bayes_predictions(spark, d):
-    scored = _bayes(spark, d).transform(bank_view(spark, d))
+    """One row per key: lines that share their key are scored together."""
+    scored = _bayes(spark, d).transform(bank_view(spark, d), by=BANK_KEYS)
     return scored.select(*BANK_KEYS, "prediction", F.round("prediction_score", 6).alias("prediction_score"))
 
 

@@ -166,6 +166,19 @@ def test_bayes_of_a_wide_column_nulls_and_unseen(spark):
     assert model.frequency_table().count() == 2 * len(vocabulary)
 
 
+def test_bayes_scores_rows_of_one_key_together(spark):
+    rows = [(1, 2.0, "u", 0), (1, 1.0, "v", 1), (2, 4.0, "u", 1), (None, 3.0, "v", 0), (None, 1.0, "u", 0)]
+    df = spark.createDataFrame(rows, "id long, a double, c string, label int")
+    model = NaiveBayesTables(df, "label", ["a"], ["c"])
+    got = {r.id: r for r in model.transform(df, by=["id"]).collect()}
+    assert model.transform(df).count() == 5 and set(got) == {1, 2, None}
+    logs = {(r["column"], r["value"]): r["logs"] for r in model.terms.collect()}
+    for key, r in got.items():
+        scores = [model.priors[k] + sum(a * logs["a", None][k] + logs["c", c][k] for i, a, c, _ in rows if i == key)
+                  for k in range(2)]
+        assert r.prediction == int(np.argmax(scores)) and r.prediction_score == pytest.approx(max(scores))
+
+
 def test_bayes_refuses_and_survives(spark):
     schema = "a double, label int"
     for bad in (-1.0, None, float("nan")):
