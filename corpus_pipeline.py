@@ -10,7 +10,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from scorecraft.llm.common import written
+from scorecraft.llm.common import TEXTS, written
 from scorecraft.llm.line_dedup import PASSAGE, dedup_lines
 from scorecraft.llm.packing import pack
 from scorecraft.llm.pii import mask_pii
@@ -60,5 +60,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages, one after the other, over ``documents``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+        docs = written(stage(spark, docs, sf_dir), f"stage-{name}", TEXTS)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -13,15 +13,20 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and read it
     back: cuts the lineage, survives lost executors, and pins rows whose order
-    or partition a later step relies on."""
+    or partition a later step relies on. ``codec``: the files' compression, the
+    session's by default; whole texts take less disk by ``TEXTS``."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    (df.write.option("compression", codec) if codec else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Compression of written copies of whole texts.
+TEXTS = "zstd"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import TEXTS, written
 from .pii import _scan
 
 #: One line break in so many is a cut, on average.
@@ -150,7 +150,7 @@ def _written_alone(df: DataFrame, name: str) -> DataFrame:
     before = conf.get(key)
     conf.set(key, "true")
     try:
-        return written(df, name)
+        return written(df, name, TEXTS)
     finally:
         conf.set(key, before)
 

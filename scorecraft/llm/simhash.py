@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import hash_partitions, prepare, written
+from .common import TEXTS, hash_partitions, prepare, written
 from .components import components
 
 SEGMENTS = 8
@@ -203,7 +203,7 @@ def keep_one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     rows = written(docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
         F.monotonically_increasing_id().alias("rid"),
-        _fingerprint_column(F.col(text_col), shingle).alias("fp")), "simhash-docs")
+        _fingerprint_column(F.col(text_col), shingle).alias("fp")), "simhash-docs", TEXTS)
     order = F.struct(F.col(f"doc.`{id_col}`").isNull().alias("n"),
                      F.col(f"doc.`{id_col}`").alias("id"), F.col("rid"))
     # Only ids and fingerprints are grouped; then whole rows are picked by their number.

@@ -110,3 +110,11 @@ def test_empty_table(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert S.simhash_groups(df).collect() == []
     assert S.keep_one_per_group(df).collect() == []
+
+
+def test_the_copy_of_whole_texts_is_packed(spark):
+    df = spark.createDataFrame([(i, f"some words of document {i} " * 20, "en", "s", 1) for i in range(30)], SCHEMA)
+    kept = S.keep_one_per_group(df)
+    files = [f for f in kept.inputFiles() if "simhash-docs" in f]
+    assert files and all(f.endswith(".zstd.parquet") for f in files)
+    assert {r.text for r in kept.collect()} <= {r.text for r in df.collect()}
