@@ -20,7 +20,9 @@ ENTRY = 60
 
 #: A word of Latin letters and the marks that end it: a cut for both kinds of
 #: tokenizer, so words need encoding once for all marks that follow them.
-ENDED = re.compile(r"( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?]*)")
+_WORD = r" ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+"
+WORD = re.compile(_WORD)
+ENDED = re.compile(rf"({_WORD})([.,;:!?]*)")
 
 TWO_SPACES = re.compile(r"\s\s")
 BETWEEN_WORDS = re.compile(r"(?<=[^\W_])(?= [^\W_])")
@@ -30,7 +32,8 @@ def spaced_pieces(text: str) -> list[str]:
     """Pieces of a text for splitting patterns that keep one space in front of
     a word: a single white-space character between others always starts a new
     match, so the text may be cut before it (and after a line feed)."""
-    if "\x1f" not in text and not TWO_SPACES.search(text):
+    flat = text.replace("\n", " ")  # printable: no other white space, nor the mark used here
+    if ("  " not in flat and flat.isprintable()) or ("\x1f" not in text and not TWO_SPACES.search(text)):
         return text.replace(" ", "\x1f ").replace("\n", "\x1f\n\x1f").split("\x1f")
     return BETWEEN_WORDS.split(text)
 
@@ -55,11 +58,13 @@ def lower_ended_word(piece: str) -> tuple[str, ...]:
 class PieceMemory:
     """Ids of pieces in one flat array; ``encode_new`` gives the id lists of
     pieces not seen before, ``parts`` says which smaller pieces one consists of. Texts
-    in which ``special`` finds something are encoded whole, by ``encode_whole``."""
+    in which ``special`` finds something are encoded whole, by ``encode_whole``.
+    ``at_once``: most new pieces a call of ``encode_new`` gets; a list is made for each,
+    and few at a time leave Python's garbage collector nothing to walk through."""
 
-    def __init__(self, cut, encode_new, parts=None, special=None, encode_whole=None):
+    def __init__(self, cut, encode_new, parts=None, special=None, encode_whole=None, at_once=1 << 62):
         self.cut, self.encode_new, self.parts = cut, encode_new, parts or (lambda p: (p,))
-        self.special, self.encode_whole = special, encode_whole
+        self.special, self.encode_whole, self.at_once = special, encode_whole, at_once
         self.clear()
 
     def clear(self) -> None:
@@ -121,7 +126,9 @@ class PieceMemory:
         missing = np.flatnonzero(at < 0)
         if len(missing):
             new = [pieces[i] for i in missing.tolist()]
-            self._add(list(dict.fromkeys(new)))
+            different = list(dict.fromkeys(new))
+            for a in range(0, len(different), self.at_once):
+                self._add([p for p in different[a:a + self.at_once] if p not in self.known])
             at[missing] = np.fromiter(map(self.known.__getitem__, new), np.int64, len(new))
         ids, upto = self._gather(at)
         ends = upto[np.cumsum([len(c) for c in cut])] if cut else np.zeros(0, np.int64)
@@ -141,6 +148,16 @@ def _byte_chars() -> dict[int, int]:
 
 
 BYTE_CHARS = _byte_chars()
+
+
+def byte_words(words: list[str]) -> list[str]:
+    """Words as a byte-level vocabulary writes them, rewritten in one go: a line feed,
+    which no word holds, keeps them apart."""
+    if not words:
+        return []
+    return "\n".join(words).encode().decode("latin-1").translate(BYTE_CHARS).split(chr(BYTE_CHARS[10]))
+
+
 _MEMORIES: dict[tuple[int, str], PieceMemory] = {}
 
 
@@ -155,14 +172,14 @@ def memory_of(tokenizer_json: str, cut) -> PieceMemory:
         # Strings of special tokens, in any case: the library cuts texts at them first.
         names = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
         special = re.compile("|".join(map(re.escape, names)), re.IGNORECASE) if names else None
-        model, lower = tokenizer.model, cut is dropped_space_pieces
+        tokenize, lower = tokenizer.model.tokenize, cut is dropped_space_pieces
 
         def encode_new(pieces: list[str]) -> list[list[int]]:
             out: list = [None] * len(pieces)
-            for i, p in enumerate(pieces):
-                # A plain word is one match of the splitting pattern: straight to the model.
-                if (m := ENDED.fullmatch(p)) and not m[2] and not (lower and p != p.lower()):
-                    out[i] = [t.id for t in model.tokenize(p.encode().decode("latin-1").translate(BYTE_CHARS))]
+            # A plain word is one match of the splitting pattern: straight to the model.
+            plain = [i for i, p in enumerate(pieces) if WORD.fullmatch(p) and not (lower and p != p.lower())]
+            for i, word in zip(plain, byte_words([pieces[i] for i in plain]), strict=True):
+                out[i] = [t.id for t in tokenize(word)]
             rest = [i for i, ids in enumerate(out) if ids is None]
             for i, e in zip(rest, tokenizer.encode_batch_fast(
                     [pieces[i] for i in rest], add_special_tokens=False), strict=True):
@@ -173,7 +190,7 @@ def memory_of(tokenizer_json: str, cut) -> PieceMemory:
             return [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
         _MEMORIES[key] = PieceMemory(
-            cut, encode_new, lower_ended_word if lower else ended_word, special, encode_whole)
+            cut, encode_new, lower_ended_word if lower else ended_word, special, encode_whole, at_once=500)
     return _MEMORIES[key]
 
 

@@ -42,6 +42,24 @@ def test_pieces_encode_as_whole_texts(file, cut, monkeypatch):
             assert got.tolist() == tokenizer.encode(t, add_special_tokens=False).ids, repr(t)
 
 
+def test_new_words_are_rewritten_in_one_go_and_few_at_a_time():
+    words = ["word", " word", " été", "ÿ", " Ünd"]
+    assert E.byte_words(words) == [w.encode().decode("latin-1").translate(E.BYTE_CHARS) for w in words]
+    assert E.byte_words([]) == []
+    calls = []
+
+    def encode_new(pieces):
+        calls.append(len(pieces))
+        return [[len(p)] for p in pieces]
+
+    memory = E.PieceMemory(E.dropped_space_pieces, encode_new, E.ended_word, at_once=3)
+    text = "a bb, cc cc dd. bb ee ff. ggg"
+    ids, ends = memory.encode([text, text])
+    assert max(calls) <= 6 and len(calls) > 1  # a word and its marks are two pieces
+    want = [len(x) for p in text.split(" ") for x in E.ended_word(p)]
+    assert ids.tolist() == 2 * want and ends.tolist() == [len(want), 2 * len(want)]
+
+
 def check_pieces(lengths, pieces, capacity):
     by_doc, by_seq = defaultdict(list), defaultdict(list)
     for doc, start, n, seq, offset in pieces:
