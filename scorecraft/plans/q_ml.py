@@ -77,6 +77,19 @@ def _layout(spark, d) -> tuple[int, int | None]:
     return max(usual, n), n if n > usual else None
 
 
+@contextmanager
+def _wide_shuffles(spark, d) -> Iterator:
+    """Shuffles inside the block have the parts of ``_layout``: where scores hardly repeat,
+    a grouping or sort by score holds as many rows as the table. The session's setting comes
+    back after the block, so the work must be done in it (checkpointed or ``_stored``)."""
+    usual, (n, _) = shuffle_partitions(spark), _layout(spark, d)
+    spark.conf.set("spark.sql.shuffle.partitions", n)
+    try:
+        yield n
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", usual)
+
+
 @contextmanager
 def _kept_rows(rows, n) -> Iterator:
     """``rows`` in a fixed layout, worked out once and kept for all scans of the fits
@@ -400,7 +413,8 @@ def cross_validate(spark, d):
 
 @register("leave_one_group_out")
 def leave_one_group_out(spark, d):
-    with _model_frame(spark, d, keep=BANK_KEYS + ["c_mktsegment"]) as frame:
+    with (_model_frame(spark, d, keep=BANK_KEYS + ["c_mktsegment"]) as frame,
+          _wide_shuffles(spark, d)):
         return md.leave_one_group_out(
             frame, "c_mktsegment", lambda t: md.logistic(t, "binomial", max_iter=10))
 
@@ -478,7 +492,8 @@ def model_validation(spark, d):
     """ROC, accuracy and KS of one fitted model on each of the five datasets."""
     with _model_frame(spark, d) as frame:
         scores = _validation_scores(frame)
-    return _validation(scores)
+    with _wide_shuffles(spark, d):
+        return _validation(scores)
 
 
 @register("model_validation_tables")
@@ -494,7 +509,8 @@ def model_validation_tables(spark, d):
             F.coalesce(F.sum(F.when((F.col("label") == y) & (F.col("prediction") == p), F.col("count"))),
                        F.lit(0)).alias(n)
             for n, y, p in (("tp", 1, 1), ("fp", 0, 1), ("fn", 1, 0), ("tn", 0, 0))])
-        tbl = ev.decile_table(part, "label", order).withColumn("dataset", F.lit(name))
+        with _wide_shuffles(spark, d):
+            tbl = ev.decile_table(part, "label", order).withColumn("dataset", F.lit(name))
         tbl = tbl.join(F.broadcast(hits))  # one row
         out = tbl if out is None else out.unionByName(tbl)
     return out
@@ -505,7 +521,9 @@ def metrics_export(spark, d):
     """Metric and importance reports written and read back."""
     with _model_frame(spark, d) as frame:  # both models read the same rows
         scores, importance = _validation_scores(frame), _rf_importance(spark, frame)
-    metrics = _validation(scores).select(
+    with _wide_shuffles(spark, d):
+        metrics = _validation(scores)
+    metrics = metrics.select(
         F.lit("metrics").alias("report"), F.col("dataset").alias("name"), F.col("ks").alias("value"))
     top = importance.orderBy(F.desc("score"), "feature").limit(30)  # a top-30 report
     both = metrics.unionByName(top.select(
@@ -559,8 +577,9 @@ def _stored_pipeline(spark, d) -> Iterator:
 @register("model_roundtrip_scores")
 def model_roundtrip_scores(spark, d):
     with _stored_pipeline(spark, d) as (b, path):
-        loaded = runlog.load_model(path)
-        return _stored(ev.auc_roc(md.probability_of_one(loaded.transform(b)), "p1", "label"), "auc")
+        pred = md.probability_of_one(runlog.load_model(path).transform(b))
+        with _wide_shuffles(spark, d):
+            return _stored(ev.auc_roc(pred, "p1", "label"), "auc")
 
 
 @register("batch_score")

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from scorecraft.operators import clustering as cl
+from scorecraft.operators import ordering
 from scorecraft.plans import load_all, q_ml, q_profile, views
 
 
@@ -46,6 +47,23 @@ def test_scores_outlive_the_kept_rows(spark, tables):
     assert "Exchange" not in scores._jdf.queryExecution().executedPlan().toString()
 
 
+@pytest.mark.parametrize("name", ["model_roundtrip_scores", "model_validation", "model_validation_tables"])
+def test_sorts_by_score_follow_the_rows(spark, tables, monkeypatch, name):
+    load_all()
+    parts, numbered = set(), ordering._numbered
+
+    def seen(*args, **kw):
+        tagged, n = numbered(*args, **kw)
+        parts.add(n)
+        return tagged, n
+
+    monkeypatch.setattr(ordering, "_numbered", seen)
+    monkeypatch.setattr(q_ml, "_PART_ROWS", 40)
+    usual = spark.conf.get("spark.sql.shuffle.partitions")
+    getattr(q_ml, name)(spark, tables)
+    assert parts == {10} and spark.conf.get("spark.sql.shuffle.partitions") == usual
+
+
 def test_tasks_of_a_sweep_follow_the_rows(spark, monkeypatch):
     cached = spark.range(1000).repartition(50).persist()
     try:
