@@ -106,12 +106,13 @@ def _model_frame(spark, d, label="label", features=MODEL_FEATURES, keep=BANK_KEY
     """Keys, label and feature vector. Kept are the plain columns, indices as whole
     numbers (they take few bytes); each scan puts its vectors together."""
     n, joined = _layout(spark, d)
-    df, _ = _indexed(spark, d, joined)
-    cols = dict.fromkeys([*keep, label, *features])
-    whole = [c for c in cols if c in INDEXED]
-    with _kept_rows(df.select(*cols).withColumns({c: F.col(c).cast("int") for c in whole}), n) as rows:
-        yield md.assembled(rows.withColumns({c: F.col(c).cast("double") for c in whole}),
-                           features, label, keep=keep)
+    with _wide_shuffles(spark, d):  # also the join of orders and customers
+        df, _ = _indexed(spark, d, joined)
+        cols = dict.fromkeys([*keep, label, *features])
+        whole = [c for c in cols if c in INDEXED]
+        with _kept_rows(df.select(*cols).withColumns({c: F.col(c).cast("int") for c in whole}), n) as rows:
+            yield md.assembled(rows.withColumns({c: F.col(c).cast("double") for c in whole}),
+                               features, label, keep=keep)
 
 
 def _stored(df, name):
@@ -570,7 +571,7 @@ def _stored_pipeline(spark, d) -> Iterator:
         StringIndexer(inputCols=BANK_CATEGORICAL, outputCols=INDEXED, handleInvalid="keep"),
         VectorAssembler(inputCols=MODEL_FEATURES, outputCol="features"),
         LogisticRegression(featuresCol="features", labelCol="label", maxIter=10)])
-    with _kept_rows(bank_view(spark, d, joined), n) as b:
+    with _wide_shuffles(spark, d), _kept_rows(bank_view(spark, d, joined), n) as b:
         yield b, runlog.save_model(pipe.fit(b), scratch_path(spark, "pipeline_model"))
 
 

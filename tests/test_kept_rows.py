@@ -1,5 +1,7 @@
 """Rows of the model queries: worked out once, in parts that follow their number."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -47,6 +49,24 @@ def test_scores_outlive_the_kept_rows(spark, tables):
     assert "Exchange" not in scores._jdf.queryExecution().executedPlan().toString()
 
 
+@pytest.mark.parametrize("kept", ["_model_frame", "_stored_pipeline"])
+def test_every_join_behind_the_kept_rows_follows_the_rows(spark, tables, monkeypatch, kept):
+    load_all()
+    monkeypatch.setattr(q_ml, "_PART_ROWS", 10)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with getattr(q_ml, kept)(spark, tables) as got:
+            rows = got[0] if isinstance(got, tuple) else got
+            plan = rows._jdf.queryExecution().executedPlan().toString()
+            assert rows.count() == 384
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before["spark.sql.autoBroadcastJoinThreshold"])
+    for key in ("o_custkey", "c_custkey", "o_orderkey", "l_orderkey"):
+        assert set(re.findall(rf"hashpartitioning\({key}#\d+L?, (\d+)\)", plan)) == {"40"}
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before["spark.sql.shuffle.partitions"]
+
+
 @pytest.mark.parametrize("name", ["model_roundtrip_scores", "model_validation", "model_validation_tables"])
 def test_sorts_by_score_follow_the_rows(spark, tables, monkeypatch, name):
     load_all()
