@@ -276,7 +276,8 @@ def tile_counts_by_group(df: DataFrame, runs: DataFrame, group: Sequence[str], s
     Only runs straddling a tile boundary (at most k-1 per group) are resolved
     row by row: their rows are joined back (the straddling table is small and
     broadcast by AQE when its measured size allows) and numbered inside the run
-    by the tie keys with the skew-safe grouped row number."""
+    by the tie keys with the skew-safe grouped row number. Where these runs hold
+    many rows, only those near a boundary are numbered (``_tiles_by_brackets``)."""
     from .ordering import grouped_row_number, ntile_from_rank
 
     first = ntile_from_rank(F.col("_before") + 1, F.col("_n"), k)
@@ -297,6 +298,12 @@ def tile_counts_by_group(df: DataFrame, runs: DataFrame, group: Sequence[str], s
         rows = rows.select(*dict.fromkeys(list(group) + ["_s"] + tie_cols + [label]))
     # checkpointed once, so the range sampling and the shuffle of the numbering
     # read these rows instead of scanning and joining the input twice
+    wide = r.filter(F.col("_t1") != F.col("_t2"))
+    n_runs, n_rows = wide.agg(F.count(F.lit(1)), F.coalesce(F.sum("_cnt"), F.lit(0))).first()
+    ascending = tie_cols and all("DESC" not in str(c).upper() for c in _sort_cols(ties))
+    if n_rows > _NUMBER_AT_MOST and n_runs <= _FEW_RUNS and ascending:
+        part = _tiles_by_brackets(rows, wide, keys, tie_cols, label, k)
+        return _tile_sums(whole.unionByName(part.select(whole.columns)), group)
     j = rows.join(strad, cond).drop(*[f"_k{c}" for c in keys]).checkpoint(eager=True)
     numbered = grouped_row_number(j, keys, ties, out="_rn", keep=[label, "_before", "_n"])
     part = numbered.select(*group, ntile_from_rank(F.col("_before") + F.col("_rn"), F.col("_n"),
@@ -305,11 +312,79 @@ def tile_counts_by_group(df: DataFrame, runs: DataFrame, group: Sequence[str], s
                            F.col(label).cast("long").alias("_t"),
                            (1 - F.col(label)).cast("long").alias("_nt"),
                            F.col("_s").cast("double").alias("_score_sum"))
-    return whole.unionByName(part).groupBy(*group, "_tile").agg(
+    return _tile_sums(whole.unionByName(part), group)
+
+
+def _tile_sums(parts: DataFrame, group: Sequence[str]) -> DataFrame:
+    return parts.groupBy(*group, "_tile").agg(
         F.sum("_rows").alias("_rows"), F.sum("_t").alias("_t"), F.sum("_nt").alias("_nt"),
         F.sum("_score_sum").alias("_score_sum"))
 
 
+#: Rows numbered one by one without looking for brackets, runs that are broadcast, and
+#: rows of a run that its brackets are taken from.
+_NUMBER_AT_MOST, _FEW_RUNS, _BRACKET_ROWS = 2_000_000, 10_000, 20_000
+
+
+def _tiles_by_brackets(rows: DataFrame, wide: DataFrame, keys: Sequence[str], ties: Sequence[str],
+                       label: str, k: int) -> DataFrame:
+    """Tile counts of straddling runs (``keys``; few, in ``wide``) without moving all their
+    rows. Some rows of a run, drawn by a hash, bracket the row on each tile boundary; one
+    scan counts the rows below the bracket, and only those inside it are numbered. A bracket
+    that its counts show to miss the boundary gives way to the whole run, so the counts are
+    exact."""
+    from .ordering import grouped_row_number
+
+    at = F.struct(*ties)
+    named = [F.col(c).alias(f"_k{c}") for c in keys]
+    same = [F.col(c).eqNullSafe(F.col(f"_k{c}")) for c in keys]
+    pos, neg = F.col(label).cast("long"), (1 - F.col(label)).cast("long")
+
+    def rows_of(runs):
+        return rows.join(F.broadcast(runs), same).drop(*[f"_k{c}" for c in keys])
+
+    # rows of the run before the end of each tile that ends inside it
+    tiles, width = F.sequence("_t1", F.col("_t2") - 1), F.floor(F.col("_n") / F.lit(k)).cast("long")
+    ends = wide.select(*keys, "_before", "_cnt", "_n", F.explode(tiles).alias("_tile")).select(
+        *keys, "_cnt", "_tile", (F.col("_tile") * width + F.least("_tile", F.col("_n") - width * k)
+                                 - F.col("_before")).alias("_p"))
+    every = F.greatest(F.lit(1), F.floor(F.col("_cnt") / _BRACKET_ROWS))
+    drawn = (rows_of(wide.select(*named, "_cnt")).filter(F.pmod(F.xxhash64(*ties), every) == 0)
+             .groupBy(*named).agg(F.sort_array(F.collect_list(at)).alias("_some")))
+    place, near = F.col("_p") / F.col("_cnt") * F.size("_some"), 4 * F.sqrt(F.size("_some") / 4) + 2
+    low, high = F.floor(place - near).cast("int"), F.ceil(place + near).cast("int")
+    brackets = ends.join(F.broadcast(drawn), same, "left").select(
+        *keys, "_tile", "_p",
+        F.when(low >= 1, F.get("_some", low - 1)).alias("_low"),
+        F.when(high <= F.size("_some"), F.get("_some", high - 1)).alias("_high")).checkpoint(eager=True)
+    below = F.coalesce(at < F.col("_low"), F.lit(False))
+    inside = ~below & F.coalesce(at <= F.col("_high"), F.lit(True))
+    counted = rows_of(brackets.select(*named, "_tile", "_low", "_high")).filter(below | inside).groupBy(*keys, "_tile").agg(
+        F.count_if(below).alias("_r"), F.sum(F.when(below, pos)).alias("_bp"), F.sum(F.when(below, neg)).alias("_bn"),
+        F.count_if(inside).alias("_in"))
+    tell = [F.col(c).eqNullSafe(F.col(f"_k{c}")) for c in [*keys, "_tile"]]
+    counted = counted.select(*named, F.col("_tile").alias("_k_tile"), "_r", "_bp", "_bn", "_in")
+    found = brackets.join(F.broadcast(counted), tell, "left").withColumn(
+        "_ok", F.coalesce((F.col("_p") >= F.col("_r")) & (F.col("_p") <= F.col("_r") + F.col("_in")), F.lit(False))).select(
+        *keys, "_tile", "_p", "_low", "_high", "_ok", *[F.when(F.col("_ok"), F.coalesce(c, F.lit(0))).otherwise(0).alias(c)
+                                                      for c in ("_r", "_bp", "_bn")]).checkpoint(eager=True)
+    close = rows_of(found.select(*named, "_tile", "_p", "_r", "_low", "_high", "_ok")).filter(~F.col("_ok") | inside).select(
+        *keys, *[c for c in ties if c not in keys], label, "_tile", (F.col("_p") - F.col("_r")).alias("_first")).checkpoint(eager=True)
+    numbered = grouped_row_number(close, [*keys, "_tile"], list(ties), out="_rn", keep=[label, "_first"])
+    head = numbered.filter(F.col("_rn") <= F.col("_first")).groupBy(*keys, "_tile").agg(
+        F.sum(pos).alias("_hp"), F.sum(neg).alias("_hn")).select(
+        *named, F.col("_tile").alias("_k_tile"), "_hp", "_hn")
+    upto = found.join(F.broadcast(head), tell, "left").select(
+        *keys, "_tile", "_p", (F.col("_bp") + F.coalesce("_hp", F.lit(0))).alias("_pos"),
+        (F.col("_bn") + F.coalesce("_hn", F.lit(0))).alias("_neg"))
+    last = wide.select(*keys, F.col("_t2").alias("_tile"), F.col("_cnt").alias("_p"), "_pos", "_neg")
+    w = Window.partitionBy(*keys).orderBy("_tile")  # a row per tile of a run
+    gain = lambda c: F.col(c) - F.lag(c, 1, 0).over(w)
+    return upto.unionByName(last).select(*keys, "_tile", gain("_p").alias("_rows"), gain("_pos").alias("_t"),
+                                         gain("_neg").alias("_nt")).withColumn(
+        "_score_sum", F.col("_s").cast("double") * F.col("_rows"))
+
+
 def ks_from_tiles(tiles: DataFrame, group: Sequence[str]) -> DataFrame:
     """KS (max |cumulative target % - cumulative non-target %| over tiles) per
     group, 2 dp, from a table of k rows per group."""

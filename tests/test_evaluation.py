@@ -1,10 +1,12 @@
 """Evaluation operators: AUC equivalence, KS range, guarded one-class cases."""
 
+import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from scorecraft.operators import evaluation as ev
+from scorecraft.operators import ordering
 from scorecraft.plans.views import score_order, score_view
 from conftest import SF_SMALL
 
@@ -85,3 +87,25 @@ def test_metrics_long_matches_row_level_windows(spark):
         assert abs(got[(g, "roc")] - ev.auc_roc(sub).first()["auc"]) < 1e-6
         acc = sub.agg(F.avg((F.col("prediction") == F.col("label")).cast("int"))).first()[0]
         assert abs(got[(g, "accuracy")] - round(acc, 6)) < 1e-9
+
+
+@pytest.mark.parametrize("some", [20_000, 30, 1])
+def test_tiles_by_brackets_are_those_of_numbered_rows(spark, monkeypatch, some):
+    df = spark.range(3000).select(
+        "id", F.pmod(F.xxhash64("id"), F.lit(900)).alias("tie"),
+        F.when(F.col("id") % 5 == 0, None).otherwise(F.col("id") % 3).alias("g"), (F.col("id") % 7 / 10).alias("score"),
+        (F.pmod(F.xxhash64("id", F.lit(1)), F.lit(3)) == 0).cast("int").alias("label"))
+    df = df.withColumn("label", F.when(F.col("id") % 41 != 0, F.col("label")))
+    for group in ([], ["g"]):
+        runs = ev.score_runs_by_group(df, group)
+        want = ev.tile_counts_by_group(df, runs, group, "score", ["tie", "id"], "label", 10)
+        monkeypatch.setattr(ev, "_NUMBER_AT_MOST", 10)
+        monkeypatch.setattr(ev, "_BRACKET_ROWS", some)
+        seen = []
+        monkeypatch.setattr(ordering, "_numbered", lambda d, *a, f=ordering._numbered, **kw: seen.append(d.count()) or f(d, *a, **kw))
+        got = ev.tile_counts_by_group(df, runs, group, "score", ["tie", "id"], "label", 10)
+        rows = lambda t: sorted([tuple(round(x, 9) if isinstance(x, float) else x if x is not None else -1 for x in r) for r in t.select(want.columns).collect()])
+        assert rows(got) == rows(want)
+        if some == 20_000:
+            assert 0 < sum(seen) < 3000 * 9
+        monkeypatch.undo()
