@@ -146,18 +146,12 @@ def logistic_fits(blocks: DataFrame, first: int, uses: Sequence[Callable], grid:
         y, x = b[:, 0], b[:, first:]
         if not np.isin(y, (0.0, 1.0)).all():
             raise ValueError("labels of a binomial fit are 0 and 1")
-        one = np.column_stack([np.ones(len(x)), y, x])
-        out = []
-        for use in uses:
-            m = one[use(b)]
-            out.append(np.concatenate([m.sum(0), (m * m).sum(0)]))
-        return np.stack(out)
+        return np.stack([u(b) for u in uses]).astype("f8") @ np.column_stack([np.ones(len(x)), y, x])
 
     got = summed(blocks, moments)
     if np.ndim(got) == 0:
         raise ValueError("no rows to fit")
-    k = got.shape[1] // 2
-    n, ones, total = got[:, :1], got[:, 1], got[:, 2:k]
+    n, ones, total = got[:, :1], got[:, 1], got[:, 2:]
     if not (n > 0).all():
         raise ValueError("a fit has no rows")
     mean = total / n
@@ -166,7 +160,7 @@ def logistic_fits(blocks: DataFrame, first: int, uses: Sequence[Callable], grid:
         import numpy as np
 
         x = b[:, first:]
-        return np.stack([((x[use(b)] - m) ** 2).sum(0) for use, m in zip(uses, mean)])
+        return np.stack([use(b).astype("f8") @ (x - m) ** 2 for use, m in zip(uses, mean)])
 
     sd = np.sqrt(summed(blocks, spread) / np.maximum(n - 1, 1))
     per = np.divide(1.0, sd, out=np.zeros_like(sd), where=sd > 0)
@@ -191,19 +185,29 @@ def logistic_fits(blocks: DataFrame, first: int, uses: Sequence[Callable], grid:
         w = np.stack([asked[k][:d] * per[k[0]] for k in keys], axis=1)
         c = np.array([asked[k][d] - asked[k][:d] @ centre[k[0]] for k in keys])
 
-        def step(b):
+        w = np.ascontiguousarray(w.T)
+
+        def step(b):  # a thousand rows at a time, which the processor's cache holds
             import numpy as np
 
-            y, x = b[:, 0], np.ascontiguousarray(b[:, first:])
-            margin = x @ w + c
-            use = np.stack([u(b) for u in uses], axis=1)[:, side]
-            e = np.exp(-np.abs(margin))
-            chance = np.where(margin >= 0, 1.0, e) / (1 + e)
-            off = (chance - y[:, None]) * use
-            e = np.where(use, 1 + e, 1.0)  # logs of products of 256 of them: at most 2^256
-            logs = np.log(np.multiply.reduceat(e, np.arange(0, len(e), 256), axis=0)).sum(0)
-            loss = logs + ((np.maximum(margin, 0) - y[:, None] * margin) * use).sum(0)
-            return np.concatenate([loss[None], off.sum(0)[None], x.T @ off])
+            total = np.zeros((len(w), w.shape[1] + 2))
+            masks = np.stack([u(b) for u in uses]).astype("f8")[side]
+            for at in range(0, len(b), 1024):
+                x, y, use = b[at:at + 1024, first:].T, b[at:at + 1024, 0], masks[:, at:at + 1024]
+                margin = w @ x + c[:, None]
+                total[:, 0] += np.einsum("ij,ij->i", np.maximum(margin, 0), use) - np.einsum("ij,ij,j->i", margin, use, y)
+                off = np.exp(-np.abs(margin))
+                one = off + 1.0
+                np.copyto(off, 1.0, where=margin >= 0)
+                off /= one
+                off -= y
+                off *= use
+                one = (one - 1.0) * use + 1.0
+                for z in range(0, one.shape[1], 256):  # logs of products, at most 2^256
+                    total[:, 0] += np.log(np.multiply.reduce(one[:, z:z + 256], axis=1))
+                total[:, 1] += off.sum(1)
+                total[:, 2:] += off @ x.T
+            return total.T
 
         out = summed(blocks, step)
         for i, key in enumerate(keys):

@@ -141,7 +141,16 @@ def mlp(train: DataFrame, n_features: int, n_classes: int = 2, max_iter: int = 1
     return none.setInitialWeights(Vectors.dense(found)).fit(tiny)
 
 
+#: Rows that the fits of one-vs-rest running at once may hold copies of.
+_ROWS_AT_ONCE = 10_000_000
+
+
 def one_vs_rest(train: DataFrame, parallelism: int = 4):
+    """One forest per class. Each fit keeps its own binned copy of all rows, so the more
+    rows, the fewer fits run at once, at most ``parallelism``: the copies would else fill the
+    disks. Each fit uses all cores, and the models do not depend on it."""
+    if parallelism > 1:
+        parallelism = max(1, min(parallelism, _ROWS_AT_ONCE // max(1, train.count())))
     base = RandomForestClassifier(featuresCol="features", labelCol="label", numTrees=10,
                                   seed=12345)
     return OneVsRest(classifier=base, parallelism=parallelism).fit(train)

@@ -97,3 +97,11 @@ def test_perceptron_takes_the_steps_of_mllib(spark, frame):
         got = md.mlp(small, 3, 2, max_iter=steps)
         assert np.allclose(got.weights.toArray(), want.weights.toArray(), rtol=1e-6, atol=1e-8)
     assert got.transform(small).select("prediction").count() == 800
+
+
+@pytest.mark.parametrize("rows, at_once", [(10_000, 4), (2000, 2), (5, 1)])
+def test_fewer_fits_at_once_for_more_rows(spark, frame, monkeypatch, rows, at_once):
+    seen = []
+    monkeypatch.setattr(md, "_ROWS_AT_ONCE", rows)
+    monkeypatch.setattr(md, "OneVsRest", lambda classifier, parallelism: seen.append(parallelism) or type("Fit", (), {"fit": lambda s, d: d.count()})())
+    assert md.one_vs_rest(frame) == 900 and seen == [at_once]
