@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..session import shuffle_partitions
 from .minimizers import minimize
 
-#: Rows of a block (whole groups of MLlib's 512), scores sorted together, rows of a part.
+#: Rows of a block, scores sorted together, rows of a part.
 _BLOCK, _SORTED, _PART = 1 << 15, 1 << 20, 400_000
 
 
@@ -329,78 +329,3 @@ def areas_under_roc(blocks: DataFrame, first: int, models: np.ndarray, n_areas:
         if p and n:
             out[a] = sum_ / (float(p) * float(n))
     return out
-
-
-# ------------------------------------------------------------------- perceptron
-def perceptron_weights(blocks: DataFrame, layers: Sequence[int], start: np.ndarray, max_iter: int, tol: float,
-                       stack: int) -> np.ndarray:
-    """Weights of a multilayer perceptron (sigmoid layers, softmax on top) after L-BFGS from
-    ``start``, in the order of MLlib's model. As there, the loss is the mean over groups of
-    ``stack`` rows of a part, the last of them shorter, of their mean cross-entropy."""
-    n_classes, shapes = layers[-1], list(zip(layers[1:], layers[:-1]))
-    if _BLOCK % stack:
-        raise ValueError(f"blocks of {_BLOCK} rows are not whole groups of {stack}")
-
-    def apart(w):
-        out, at = [], 0
-        for rows, cols in shapes:
-            out.append((w[at:at + rows * cols].reshape(cols, rows).T, w[at + rows * cols:at + rows * cols + rows]))
-            at += rows * cols + rows
-        return out
-
-    def at_point(w):
-        affine = apart(w)
-
-        def step(b):
-            import numpy as np
-
-            n, total, groups = len(b), np.zeros(len(w) + 1), -(-len(b) // stack)
-            y = b[:, 0].astype(int)
-            if not ((y == b[:, 0]) & (y >= 0) & (y < n_classes)).all():
-                raise ValueError(f"labels are whole numbers from 0 to {n_classes - 1}")
-            weight = np.full(n, 1.0 / stack)
-            weight[n // stack * stack:] = 1.0 / max(n % stack, 1)
-            with np.errstate(all="ignore"):
-                for at in range(0, n, 4096):
-                    x = [b[at:at + 4096, 1:].T]
-                    for k, (m, c) in enumerate(affine):
-                        z = m @ x[-1]
-                        z += c[:, None]
-                        if k < len(affine) - 1:
-                            np.negative(z, out=z)
-                            np.exp(z, out=z)
-                            z += 1.0
-                            np.reciprocal(z, out=z)
-                        x.append(z)
-                    out = x.pop()
-                    out -= out.max(0)
-                    np.exp(out, out=out)
-                    out /= out.sum(0)
-                    of = weight[at:at + 4096]
-                    hot = (np.arange(n_classes)[:, None] == y[at:at + 4096]).astype("f8")
-                    total[0] -= ((hot * np.log(out)).sum(0) * of).sum()
-                    delta, end = (out - hot) * of, len(total)
-                    for k in range(len(affine) - 1, -1, -1):
-                        m, c = affine[k]
-                        begin = end - m.size - len(c)
-                        total[begin:begin + m.size] += (x[k] @ delta.T).ravel()
-                        total[begin + m.size:end] += delta.sum(1)
-                        end = begin
-                        if k:
-                            delta = m.T @ delta
-                            delta *= x[k]
-                            delta *= 1.0 - x[k]
-            return np.append(total, groups)
-
-        return step
-
-    fit = minimize(start, max_iter, tol)
-    w = next(fit)
-    while True:
-        out = summed(blocks, at_point(w))
-        if np.ndim(out) == 0:
-            raise ValueError("no rows to fit")
-        try:
-            w = fit.send((out[0] / out[-1], out[1:-1] / out[-1]))
-        except StopIteration as end:
-            return end.value
